@@ -33,14 +33,14 @@ def round_to_even(value: Column, places: int = 2) -> Column:
 
 
 def to_number(value: Column, default: float | None = None) -> Column:
-    """Number from anything; what is no number becomes ``default`` (NULL unless given)."""
-    parsed = value.try_cast("double")
+    """Number from anything; what is no number, NaN included, becomes ``default`` (NULL unless given)."""
+    parsed = F.nullif(value.try_cast("double"), F.lit(float("nan")))
     return parsed if default is None else F.coalesce(parsed, F.lit(float(default)))
 
 
 def numeric(df: DataFrame, name: str) -> Column:
-    """A column as a number: untouched when it already is one, so sums of counts and money stay exact."""
-    if isinstance(df.schema[name].dataType, T.NumericType):
+    """A column as a number: counts and decimals stay as they are, so that their sums are exact."""
+    if isinstance(df.schema[name].dataType, (T.IntegralType, T.DecimalType)):
         return F.col(name)
     return to_number(F.col(name))
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from slotledger.operators.rows import require_not_null
 from slotledger.settings import TRAILING_ROWS
 
 
@@ -30,7 +31,7 @@ def calendar_grid(df: DataFrame, day: str, series: str, step_days: int = 1) -> D
 
     The span is a scalar, so each distinct series expands by itself and no join is needed.
     """
-    dated = df.select(day, series).dropna(subset=[day])
+    dated = require_not_null(df, day).select(day, series)
     spanned = dated.select(series).distinct().withColumn("_span", _span(dated, day))
     return spanned.select(_days(F.col("_span.first"), F.col("_span.last"), step_days).alias(day), series)
 
@@ -42,7 +43,7 @@ def densify(df: DataFrame, day: str, series: str, value: str, fill: object = 0,
     series, the first also back to the overall start and the last to the overall end. That gives the
     rows of the grid joined with the data, from one pass and without the join.
     """
-    rows = df.select(day, series, value).dropna(subset=[day])
+    rows = require_not_null(df, day).select(day, series, value)
     in_order = Window.partitionBy(series).orderBy(day)
     gaps = rows.select(
         series,

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotledger import settings
+from slotledger.operators.rows import require_not_null
+from slotledger.operators.versions import latest_by
 
 
 def full_outer_coalesce(
@@ -43,9 +45,10 @@ def attach_channel(df: DataFrame, mapping: DataFrame, code: str = "event_type_co
 
 
 def channel_mapping(spend: DataFrame) -> DataFrame:
-    """One channel per event type; of several, the first by name."""
-    return (
-        spend.dropna(subset=["event_type_code", "channel"])
-        .groupBy("event_type_code")
-        .agg(F.min("channel").alias("channel"))
-    )
+    """One channel per event type; of several, the first by name.
+
+    Pairs are made distinct first, which hashes in every task and leaves few. A plain minimum would
+    sort all rows, as aggregating text does.
+    """
+    pairs = require_not_null(spend, "event_type_code", "channel").select("event_type_code", "channel").distinct()
+    return latest_by(pairs, ["event_type_code"], [F.asc("channel")])

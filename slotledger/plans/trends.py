@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from slotledger.functions import dates, numbers
 from slotledger.operators.calendar import calendar_grid, densify, rolling_mean
 from slotledger.operators.ranking import preview
+from slotledger.operators.rows import require_not_null
 from slotledger.plans.channels import daily_channel_bookings
 from slotledger.schemas import require_columns
 from slotledger.settings import TRAILING_ROWS
@@ -27,7 +28,7 @@ def daily_totals(daily: DataFrame) -> DataFrame:
     """Bookings per day over all channels."""
     require_columns(daily, (_DAY, "channel", _COUNT), "bookings trend")
     counts = daily.select(_DAY, numbers.numeric_or_zero(daily, _COUNT).alias(_COUNT))
-    return counts.dropna(subset=[_DAY]).groupBy(_DAY).agg(F.sum(_COUNT).alias(_COUNT))
+    return require_not_null(counts, _DAY).groupBy(_DAY).agg(F.sum(_COUNT).alias(_COUNT))
 
 
 def rolling_total(daily: DataFrame) -> DataFrame:

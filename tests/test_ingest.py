@@ -1,0 +1,117 @@
+"""Raw files with everything that can be wrong with them."""
+
+import json
+import os
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from slotledger.plans import silver
+from slotledger.sinks.tables import upsert_snapshot
+from slotledger.sources.raw import read_spend, read_webhooks
+from slotledger.sources.tables import load_snapshot
+from tests.conftest import rows
+
+API = "https://api.example.com/"
+EV1, ET1 = API + "scheduled_events/EV1", API + "event_types/ET1"
+
+
+def webhook(event, created_at, uri, event_type, email, name, hosts):
+    meeting = {"start_time": "2026-07-01T09:00:00Z", "end_time": "soon", "name": "Intro", "status": "active"}
+    meeting |= {"event_type": event_type, "event_memberships": [{"user_email": h} for h in hosts]}
+    payload = {"event": uri, "email": email, "name": name, "scheduled_event": meeting}
+    return {"event": event, "created_at": created_at, "created_by": "x", "payload": payload}
+
+
+@pytest.fixture
+def webhook_dir(tmp_path):
+    host = ["e1@example.com"]
+    files = {
+        "w1.json": webhook("invitee.created", "2026-06-10T01:02:03.123456Z", EV1, ET1, " A@B.c ", "Jo  Bo", host),
+        "w2.json": webhook("invitee.created", "2026-06-10 T05:00:00.000000Z", EV1 + "?x=1", ET1, "a@b.C", "Jo Bo", host),
+        "sub/w3.json": webhook("invitee.canceled", "2026-06-10T06:00:00.000000Z", EV1, ET1, "a@b.c", "Jo Bo", host),
+        "w4.json": webhook("invitee.created", "garbage", "nomatch", None, None, "Al Z", []),
+        "w5.json": webhook(
+            "invitee.created", "2026-06-10T07:00:00.000000Z", API + "scheduled_events/EV5", API + "event_types/ET2",
+            None, None, host + ["e2@example.com"],
+        ),
+    }
+    for name, document in files.items():
+        path = tmp_path / "webhooks" / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(json.dumps(document, indent=2))
+    return str(tmp_path / "webhooks")
+
+
+@pytest.fixture
+def spend_dir(tmp_path):
+    folder = tmp_path / "spend"
+    folder.mkdir()
+    (folder / "a.json").write_text(
+        '[{"date":"2026-06-09","channel":" Facebook Paid  Ads ","spend":"10.005"},\n'
+        ' {"date":"2026-06-10","channel":"tiktok_paid_ads","spend":20}]'
+    )
+    (folder / "b.json").write_text(
+        '[{"date":"2026-06-10","channel":"TikTok_Paid_Ads","spend":25.5},{"date":"bad","channel":null,"spend":"zz"}]'
+    )
+    os.utime(folder / "a.json", (1_780_000_000, 1_780_000_000))
+    os.utime(folder / "b.json", (1_780_000_100, 1_780_000_100))
+    return str(folder)
+
+
+def test_recursive_and_flat_listing(spark, webhook_dir):
+    assert read_webhooks(spark, webhook_dir).count() == 5
+    assert read_webhooks(spark, webhook_dir, recursive=False).count() == 4
+
+
+def test_lineage(spark, spend_dir):
+    found = read_spend(spark, spend_dir).select("raw_file_path", "raw_file_modified_at").distinct()
+    paths = {path.rsplit("/", 1)[1]: stamp for path, stamp in rows(found)}
+    assert set(paths) == {"a.json", "b.json"} and paths["a.json"] < paths["b.json"]
+
+
+def test_flattening(spark, webhook_dir):
+    flat = silver.with_webhook_key(silver.flatten_webhooks(read_webhooks(spark, webhook_dir)))
+    name = F.regexp_extract("raw_file_path", r"([^/]+)\.json", 1)
+    columns = ["webhook_created_at", "event_id", "user_email", "event_type_code", "invitee_identity"]
+    found = {r[0]: tuple(r)[1:] for r in flat.select(name, *columns, "tracking_utm_source").collect()}
+    host = "e1@example.com"
+    assert found == {
+        "w1": (datetime(2026, 6, 10, 1, 2, 3, 123456), "EV1", host, "ET1", "a@b.c", None),
+        "w2": (datetime(2026, 6, 10, 5), "EV1", host, "ET1", "a@b.c", None),
+        "w3": (datetime(2026, 6, 10, 6), "EV1", host, "ET1", "a@b.c", None),
+        "w4": (None, "", None, None, "al_z", None),
+        "w5": (datetime(2026, 6, 10, 7), "EV5", host, "ET2", "unknown", None),
+    }
+    assert rows(flat.select("event_start_time", "event_end_time").distinct()) == [(datetime(2026, 7, 1, 9), None)]
+
+
+def test_silver_webhooks_keeps_newest_per_key(spark, webhook_dir):
+    found = silver.silver_webhooks(read_webhooks(spark, webhook_dir), as_of=datetime(2026, 6, 11))
+    assert len(found.columns) == 24
+    kept = rows(found.select(F.regexp_extract("raw_file_path", r"([^/]+)\.json", 1)))
+    assert kept == [("w2",), ("w3",), ("w4",), ("w5",)]
+    assert rows(found.select("processed_at").distinct()) == [(datetime(2026, 6, 11),)]
+
+
+def test_spend_cleaning(spark, spend_dir):
+    found = silver.clean_spend(read_spend(spark, spend_dir)).select("spend_date", "channel", "event_type_code", "spend")
+    facebook, tiktok = "d639ecd3-8718-4068-955a-436b10d72c78", "bb339e98-7a67-4af2-b584-8dbf95564312"
+    assert rows(found) == [
+        (None, None, "unknown", None),
+        (date(2026, 6, 9), "facebook_paid_ads", facebook, Decimal("10.01")),
+        (date(2026, 6, 10), "tiktok_paid_ads", tiktok, Decimal("20.00")),
+        (date(2026, 6, 10), "tiktok_paid_ads", tiktok, Decimal("25.50")),
+    ]
+
+
+def test_newest_spend_file_wins_and_merging_again_changes_nothing(spark, spend_dir, tmp_path):
+    table = str(tmp_path / "silver_spend")
+    batch = silver.silver_spend(read_spend(spark, spend_dir), as_of=datetime(2026, 6, 11)).filter("spend_date IS NOT NULL")
+    upsert_snapshot(spark, table, batch, silver.SPEND_KEYS, silver.spend_changed)
+    first = rows(load_snapshot(spark, table))
+    upsert_snapshot(spark, table, batch, silver.SPEND_KEYS, silver.spend_changed)
+    assert rows(load_snapshot(spark, table)) == first
+    assert [r[3] for r in first] == [Decimal("10.01"), Decimal("25.50")]
