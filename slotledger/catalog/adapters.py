@@ -18,7 +18,7 @@ from slotledger.operators.combine import channel_mapping
 from slotledger.plans import marts
 from slotledger.session import configure
 from slotledger.settings import Selection
-from slotledger.sources.tables import clean_mart
+from slotledger.sources.tables import clean_mart, load_table
 
 # Fixed values shared with the SQL in ``ctes``.
 CUTOFF = date(1995, 6, 9)
@@ -27,6 +27,15 @@ EVENT_CODES = {"1-urgent": "click", "2-high": "view", "3-medium": "purchase"}
 SALES_PERIOD = Selection(date(1996, 1, 1), date(1997, 6, 30), ("1-urgent", "3-medium", "unknown"))
 EVENT_PERIOD = Selection(date(2024, 1, 8), date(2024, 1, 21), ("1-urgent", "unknown"))
 API = "https://api.example.com"
+# Declared, so that no job runs just to find out the columns.
+SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
 CREATED_AT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
@@ -38,7 +47,7 @@ class Tables:
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return load_table(self.spark, f"{self.folder}/{name}.parquet", schema=SCHEMAS[name])
 
     def raw_spend(self) -> DataFrame:
         """Orders as rows of spend files: date and amount as text, the channel as typed in."""
@@ -136,7 +145,7 @@ class Tables:
 def _order_lineage() -> list[Column]:
     return [
         F.concat(F.lit("orders/"), F.col("o_orderkey"), F.lit(".json")).alias("raw_file_path"),
-        (F.col("o_orderdate") + F.expr("make_dt_interval(0, 0, 0, o_custkey)")).alias("raw_file_modified_at"),
+        F.expr("timestampadd(SECOND, CAST(o_custkey AS INT), o_orderdate)").alias("raw_file_modified_at"),
     ]
 
 

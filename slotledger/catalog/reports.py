@@ -204,6 +204,11 @@ def channel_leaderboard(t: Tables) -> DataFrame:
     return channels.channel_leaderboard(t.perf())
 
 
+@query("SELECT * FROM leaderboard", "leaderboard")
+def channel_leaderboard_spread(t: Tables) -> DataFrame:
+    return channels.channel_leaderboard(t.perf(), ranking.dense_ranks_spread)
+
+
 @query(
     """SELECT * FROM (SELECT 'volume' AS best_by, channel_display, bookings_count, cost_per_booking, overall_rank
             FROM leaderboard ORDER BY bookings_count DESC, cost_per_booking NULLS LAST, channel_display LIMIT 1)

@@ -20,9 +20,46 @@ def top_one(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     return preview(df, order, 1)
 
 
+def _step(key: Column) -> Column:
+    """Coarse order of a number: eight steps per doubling, so a double has under 20,000 of them."""
+    return F.floor(F.signum(key) * F.log2(1 + F.abs(key)) * 8)
+
+
 def dense_ranks(df: DataFrame, ranks: Mapping[str, Column]) -> DataFrame:
-    """Dense rank columns, one per named ordering, over a per-channel summary."""
-    return df.withColumns({name: F.dense_rank().over(Window.orderBy(order)) for name, order in ranks.items()})
+    """Dense rank columns, one per named number: the least is first, NULL shares the last place.
+
+    One task ranks the whole table, so this is for summaries as long as a report: one row per channel.
+    Sorting spills, so a long table only takes longer; ``dense_ranks_spread`` ranks it over all tasks.
+    """
+    places = {name: F.dense_rank().over(Window.orderBy(key.asc_nulls_last())) for name, key in ranks.items()}
+    return df.withColumns(places)
+
+
+def dense_ranks_spread(df: DataFrame, ranks: Mapping[str, Column]) -> DataFrame:
+    """The same ranks for a table of any length with distinct rows.
+
+    Distinct values are ranked within coarse steps of their size, and each step starts after the
+    values of the steps below it. Only the counts of the steps are broadcast, and their number is
+    bounded. A value that very many rows share is one value here, and a skewed join key that adaptive
+    execution splits when the ranks go back to the rows.
+    """
+    keys = [
+        F.struct(F.lit(name).alias("_rank"), F.coalesce(key.cast("double"), F.lit(float("inf"))).alias("_key"))
+        for name, key in ranks.items()
+    ]
+    each = df.select("*", F.inline(F.array(*keys)))
+    values = each.select("_rank", "_key").distinct().withColumn("_step", _step(F.col("_key")))
+
+    steps = values.groupBy("_rank", "_step").agg(F.count(F.lit(1)).alias("_values"))
+    below = Window.partitionBy("_rank").orderBy("_step").rowsBetween(Window.unboundedPreceding, -1)
+    starts = steps.select("_rank", "_step", F.coalesce(F.sum("_values").over(below), F.lit(0)).alias("_start"))
+
+    within = F.row_number().over(Window.partitionBy("_rank", "_step").orderBy("_key"))
+    places = values.withColumn("_within", within).join(F.broadcast(starts), ["_rank", "_step"])
+    places = places.select("_rank", "_key", (F.col("_start") + F.col("_within")).cast("int").alias("_place"))
+
+    ranked = each.join(places, ["_rank", "_key"]).groupBy(*df.columns)
+    return ranked.agg(*[F.max(F.when(F.col("_rank") == name, F.col("_place"))).alias(name) for name in ranks])
 
 
 def unpivot_metrics(df: DataFrame, by: str, labels: Mapping[str, str] = settings.METRIC_LABELS) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,8 @@ from slotledger.operators.rows import drop_missing, present
 from slotledger.plans.dashboard import spend_figures
 from slotledger.schemas import require_columns
 
+Ranker = Callable[[DataFrame, Mapping[str, Column]], DataFrame]
+
 _LABEL = "channel_display"
 _BOOKED = ("performance_date", "channel", "bookings_count")
 
@@ -139,23 +143,23 @@ def channel_summary(daily: DataFrame) -> DataFrame:
     return _with_cost(rows.groupBy(_LABEL).agg(_bookings(), _spend()))
 
 
-def composite_rank(ranked: DataFrame) -> DataFrame:
+def composite_rank(ranked: DataFrame, rank: Ranker = dense_ranks) -> DataFrame:
     """Score from volume and price ranks, lower is better, and the rank of that score."""
     scored = ranked.withColumn("performance_score", F.col("booking_rank") + F.col("cpb_rank"))
-    return dense_ranks(scored, {"overall_rank": F.asc("performance_score")})
+    return rank(scored, {"overall_rank": F.col("performance_score")})
 
 
-def channel_leaderboard(daily: DataFrame) -> DataFrame:
-    """Every channel with its ranks. Order by ``LEADERBOARD_ORDER`` to show.
+def channel_leaderboard(daily: DataFrame, rank: Ranker = dense_ranks) -> DataFrame:
+    """Every channel with its ranks. Order by ``leaderboard_order()`` to show.
 
-    Ranks are windows over one row per channel, the rows of the finished report.
+    Pass ``dense_ranks_spread`` where channels are too many for a list that somebody reads.
     """
     ranks = {
-        "booking_rank": F.desc("bookings_count"),
-        "spend_rank": F.desc("marketing_spend"),
-        "cpb_rank": F.asc_nulls_last("cost_per_booking"),
+        "booking_rank": -F.col("bookings_count"),
+        "spend_rank": -F.col("marketing_spend"),
+        "cpb_rank": F.col("cost_per_booking"),
     }
-    return composite_rank(dense_ranks(channel_summary(daily), ranks))
+    return composite_rank(rank(channel_summary(daily), ranks), rank)
 
 
 def leaderboard_order() -> list[Column]:

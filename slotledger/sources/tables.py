@@ -25,8 +25,10 @@ def _hadoop_path(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject
     return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def load_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(path)
+def load_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: str | None = None) -> DataFrame:
+    """A stored table; with a declared schema nothing is read before the query runs."""
+    reader = spark.read.format(fmt)
+    return (reader.schema(schema) if schema else reader).load(path)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:

@@ -200,10 +200,18 @@ def test_leaderboard(perf):
     assert "CPB Rank" in channels.leaderboard_detail(board).columns
 
 
-def test_ranks_put_missing_last(spark):
+@pytest.mark.parametrize("rank", [ranking.dense_ranks, ranking.dense_ranks_spread])
+def test_ranks_put_missing_last(spark, rank):
     df = spark.createDataFrame([(0, 3.0), (1, None), (2, 1.0), (3, None), (4, 3.0)], "i int, x double")
-    ranked = ranking.dense_ranks(df, {"place": F.asc_nulls_last("x")})
-    assert [r["place"] for r in ranked.orderBy("i").collect()] == [2, 3, 1, 3, 2]
+    assert [r["place"] for r in rank(df, {"place": F.col("x")}).orderBy("i").collect()] == [2, 3, 1, 3, 2]
+
+
+def test_spread_ranks_are_the_plain_ones(spark):
+    """Many values, close together and far apart, of both signs, a third of them equal."""
+    wide = F.expr("CASE WHEN id % 3 = 0 THEN 7 WHEN id % 50 = 1 THEN NULL ELSE pow(-1.7, id % 90) + (id % 11) / 7 END")
+    df = spark.range(6000).select("id", wide.alias("x"), (F.col("id") % 101).alias("y"))
+    ranks = {"a": F.col("x"), "b": -F.col("y")}
+    assert rows(ranking.dense_ranks_spread(df, ranks)) == rows(ranking.dense_ranks(df, ranks))
 
 
 def test_scores(spark):
