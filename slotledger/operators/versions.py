@@ -32,7 +32,8 @@ def upsert(
 
     ``update_when(target, batch)`` restricts the replacement, e.g.
     ``lambda t, b: t("spend") != b("spend")``; where it is false or NULL the target row stays.
-    Keys must be unique in the batch. A NULL key matches nothing, as in SQL MERGE.
+    Keys must be unique in the batch. A NULL key matches nothing, as in SQL MERGE. The batch is read
+    up to three times, so store it first when it is costly to compute.
 
     Written as anti joins, which can broadcast a batch that Spark has found to be small and then
     never shuffle the table; a full outer join always shuffles every column of both sides.

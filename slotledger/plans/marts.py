@@ -19,17 +19,23 @@ from slotledger.operators.combine import attach_channel, channel_mapping, full_o
 from slotledger.operators.rows import require_not_null, since, with_load_stamp
 
 
-def _eligible(webhooks: DataFrame, key: str, event_types: Sequence[str] | None) -> DataFrame:
+# When a booking counts: on delivery of its notice. Marts can be asked for another time column.
+BOOKED_AT = "webhook_created_at"
+
+
+def _eligible(webhooks: DataFrame, key: str, booked_at: str, event_types: Sequence[str] | None) -> DataFrame:
     """Rows with a booking time and the key; by default every kind of notice counts, cancellations too."""
-    rows = require_not_null(webhooks, "webhook_created_at", key)
+    rows = require_not_null(webhooks, booked_at, key)
     return rows if event_types is None else rows.filter(F.col("webhook_event_type").isin(list(event_types)))
 
 
-def bookings_daily(webhooks: DataFrame, event_types: Sequence[str] | None = None) -> DataFrame:
-    """Bookings per day of delivery and event type."""
+def bookings_daily(
+    webhooks: DataFrame, event_types: Sequence[str] | None = None, booked_at: str = BOOKED_AT
+) -> DataFrame:
+    """Bookings per day and event type."""
     return (
-        _eligible(webhooks, "event_type_code", event_types)
-        .groupBy(F.to_date("webhook_created_at").alias("booking_date"), "event_type_code")
+        _eligible(webhooks, "event_type_code", booked_at, event_types)
+        .groupBy(F.to_date(booked_at).alias("booking_date"), "event_type_code")
         .agg(F.count(F.lit(1)).alias("bookings_count"))
     )
 
@@ -54,13 +60,14 @@ def daily_channel_performance(
     spend: DataFrame,
     cutoff: date | None = settings.SPEND_CUTOFF,
     event_types: Sequence[str] | None = None,
+    booked_at: str = BOOKED_AT,
 ) -> DataFrame:
     """Bookings beside spend per day and channel, with days that have only one of them.
 
     Channels that share an event type each show all of its bookings; bookings without spend have
     no channel. Give ``spend`` the current version of the table, not its superseded files.
     """
-    booked = bookings_daily(webhooks, event_types).withColumnRenamed("booking_date", "performance_date")
+    booked = bookings_daily(webhooks, event_types, booked_at).withColumnRenamed("booking_date", "performance_date")
     spent = spend_daily(distinct_spend(spend, cutoff)).withColumnRenamed("spend_date", "performance_date")
     both = full_outer_coalesce(
         spent, booked, ["performance_date", "event_type_code"], {"marketing_spend": 0, "bookings_count": 0}
@@ -77,7 +84,10 @@ def daily_channel_performance(
 
 
 def booking_time_patterns(
-    webhooks: DataFrame, mapping: DataFrame, event_types: Sequence[str] | None = None
+    webhooks: DataFrame,
+    mapping: DataFrame,
+    event_types: Sequence[str] | None = None,
+    booked_at: str = BOOKED_AT,
 ) -> DataFrame:
     """Bookings by day, hour, part of the day and channel.
 
@@ -85,10 +95,10 @@ def booking_time_patterns(
     three and the rest is computed on the totals.
     """
     hourly = (
-        _eligible(webhooks, "event_type_code", event_types)
+        _eligible(webhooks, "event_type_code", booked_at, event_types)
         .groupBy(
-            F.to_date("webhook_created_at").alias("booking_date"),
-            F.hour("webhook_created_at").alias("hour_of_day"),
+            F.to_date(booked_at).alias("booking_date"),
+            F.hour(booked_at).alias("hour_of_day"),
             "event_type_code",
         )
         .agg(F.count(F.lit(1)).alias("bookings_count"))
@@ -108,15 +118,17 @@ def booking_time_patterns(
     )
 
 
-def weekly_load(webhooks: DataFrame, event_types: Sequence[str] | None = None) -> DataFrame:
+def weekly_load(
+    webhooks: DataFrame, event_types: Sequence[str] | None = None, booked_at: str = BOOKED_AT
+) -> DataFrame:
     """Distinct meetings per employee and week, with the first and last day booked.
 
     Spark removes repeated meetings by (employee, week, meeting) before it counts, so the meetings of
     a busy employee spread over all tasks.
     """
-    day = F.to_date("webhook_created_at")
+    day = F.to_date(booked_at)
     return (
-        _eligible(webhooks, "user_email", event_types)
+        _eligible(webhooks, "user_email", booked_at, event_types)
         .select(
             "user_email",
             dates.week_start(day).alias("week_start_date"),
@@ -146,7 +158,9 @@ def employee_summary(weekly: DataFrame) -> DataFrame:
     return weekly.groupBy("user_email").agg(*[c.alias(name) for name, c in _summary_of_weeks().items()])
 
 
-def employee_meeting_load(webhooks: DataFrame, event_types: Sequence[str] | None = None) -> DataFrame:
+def employee_meeting_load(
+    webhooks: DataFrame, event_types: Sequence[str] | None = None, booked_at: str = BOOKED_AT
+) -> DataFrame:
     """Weekly load beside the employee's summary.
 
     The summary is a window over the weekly totals: one scan, where joining an aggregate back takes
@@ -155,7 +169,7 @@ def employee_meeting_load(webhooks: DataFrame, event_types: Sequence[str] | None
     per_employee = Window.partitionBy("user_email")
     summary = {name: c.over(per_employee) for name, c in _summary_of_weeks().items()}
     summary["avg_meetings_per_week"] = F.round(summary["avg_meetings_per_week"], 2)
-    return weekly_load(webhooks, event_types).select(
+    return weekly_load(webhooks, event_types, booked_at).select(
         "user_email",
         "week_start_date",
         "weekly_meetings",

@@ -13,6 +13,7 @@ from slotledger.functions import dates, numbers, rules, text
 from slotledger.operators.rows import with_load_stamp
 from slotledger.operators.versions import Side, latest_by
 
+# What identifies a row when a batch is merged into its table.
 WEBHOOK_KEYS = ("webhook_key",)
 SPEND_KEYS = ("spend_date", "channel")
 
@@ -64,6 +65,11 @@ def silver_webhooks(raw: DataFrame, as_of: datetime | None = None) -> DataFrame:
     return latest_webhooks(with_webhook_key(with_load_stamp(flatten_webhooks(raw), as_of)))
 
 
+def delivered_later(table: Side, batch: Side) -> Column:
+    """Optional merge condition: only a newer delivery replaces a row. Without it every match does."""
+    return table("webhook_created_at") < batch("webhook_created_at")
+
+
 def clean_spend(raw: DataFrame, codes: Mapping[str, str] = settings.CHANNEL_CODES) -> DataFrame:
     """Typed date and amount, normalised channel and its event type code."""
     channel = text.normalize_channel(F.col("channel"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from slotledger import schemas
 from slotledger.functions import dates, numbers, rules, text
@@ -84,9 +85,25 @@ def employee_weekly(load: DataFrame) -> DataFrame:
 
 
 def employee_heatmap(load: DataFrame) -> DataFrame:
-    """Weekly cells with the employee's leaderboard figures, which give the order of employees."""
-    standing = employee_leaderboard(load).select("user_email", "avg_meetings_per_week", "total_meetings")
-    return employee_weekly(load).join(standing, "user_email")
+    """Weekly cells with the employee's leaderboard figures, which give the order of employees.
+
+    Cells carry how many rows they hold, so a window over an employee's weeks gives the mean over rows.
+    """
+    cells = (
+        valid_load(load)
+        .groupBy("week_start_date", "user_email")
+        .agg(F.sum("weekly_meetings").alias("weekly_meetings"), F.count(F.lit(1)).alias("_rows"))
+    )
+    employee = Window.partitionBy("user_email")
+    total, rows = F.sum("weekly_meetings").over(employee), F.sum("_rows").over(employee)
+    return cells.select(
+        "week_start_date",
+        "user_email",
+        "weekly_meetings",
+        dates.day_label(F.col("week_start_date")).alias("week_label"),
+        numbers.round_to_even(numbers.ratio(total, rows)).alias("avg_meetings_per_week"),
+        total.alias("total_meetings"),
+    )
 
 
 def load_level_summary(load: DataFrame) -> DataFrame:

@@ -19,8 +19,13 @@ def write_table(
     partition_by: Sequence[str] = (),
     replace_schema: bool = False,
 ) -> None:
-    """Create or fully replace a table. Plain Parquet takes any new schema; a table format is told to."""
-    writer = df.write.format(fmt).mode("overwrite")
+    """Create or fully replace a table. Plain Parquet takes any new schema; a table format is told to.
+
+    Rows of a partitioned table are rebalanced by partition first: adaptive execution gives a large
+    partition several tasks and small ones a common task, instead of every task a file in each.
+    """
+    rows = df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
+    writer = rows.write.format(fmt).mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if replace_schema and fmt != "parquet":
