@@ -52,7 +52,7 @@ class Tables:
     def raw_spend(self) -> DataFrame:
         """Orders as rows of spend files: date and amount as text, the channel as typed in."""
         return self.table("orders").select(
-            F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
+            F.to_date("o_orderdate").cast("string").alias("date"),
             F.col("o_orderpriority").alias("channel"),
             F.col("o_totalprice").cast("string").alias("spend"),
             *_order_lineage(),
@@ -155,7 +155,8 @@ def employee_email() -> Column:
 
 def meeting_id(day: Column | None = None) -> Column:
     day = F.to_date("ts") if day is None else day
-    return F.concat(F.lit("EV"), F.col("user_id"), F.lit("-"), F.date_format(day, "yyyyMMdd"))
+    digits = F.replace(day.cast("string"), F.lit("-"), F.lit(""))
+    return F.concat(F.lit("EV"), F.col("user_id"), F.lit("-"), digits)
 
 
 def notice() -> Column:

@@ -44,7 +44,8 @@ def week_ending_monday(day: Column) -> Column:
 
 
 def day_label(day: Column) -> Column:
-    return F.date_format(day, settings.DAY_PATTERN)
+    """``yyyy-MM-dd``, which is a date's own text."""
+    return day.cast("string")
 
 
 def calendar_columns(day: Column) -> dict[str, Column]:

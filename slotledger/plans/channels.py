@@ -116,8 +116,14 @@ def channel_cpb(daily: DataFrame) -> DataFrame:
     return _with_cost(rows.groupBy(_LABEL).agg(_bookings(), _spend()))
 
 
+def overall_figures(daily: DataFrame) -> DataFrame:
+    """Bookings, spend and cost per booking of everything, undated rows included."""
+    return _costed(daily, "channel leaderboard").agg(*spend_figures())
+
+
 def overall_cpb(daily: DataFrame) -> DataFrame:
-    return _costed(_dated(daily), "cost per booking report").agg(*spend_figures())
+    """The same over the dated rows that the cost per booking report shows."""
+    return overall_figures(_dated(daily))
 
 
 def best_cpb_channel(daily: DataFrame) -> DataFrame:

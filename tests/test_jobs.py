@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 
 from slotledger import jobs
-from slotledger.plans import channels, dashboard, marts, patterns, workload
+from slotledger.plans import channels, dashboard, marts, patterns, reports, workload
 from slotledger.settings import Selection
 from slotledger.sinks import staging
 from slotledger.sources.tables import load_snapshot, load_table
@@ -41,6 +41,14 @@ def test_from_files_to_reports(spark, webhook_dir, spend_dir, paths):  # noqa: F
     ]
     assert rows(workload.employee_kpis(load)) == [(3, 1, 3.0, 3, "e1@example.com")]
 
+    shown = {
+        reports.daily_calls: daily, reports.cost_per_booking: daily, reports.bookings_trend: daily,
+        reports.channel_leaderboard: daily, reports.booking_times: times, reports.meeting_load: load,
+    }
+    for report, mart in shown.items():
+        for name, table in report(mart).items():
+            assert table.count() > 0, (report.__name__, name)
+
     daily, _, load = jobs.open_dashboard(spark, paths["exports"], Selection(date(2026, 6, 9), date(2026, 6, 9)))
     assert rows(dashboard.headline_kpis(daily))[0][:3] == (0, Decimal("10.01"), None)
     assert load.count() == 0
