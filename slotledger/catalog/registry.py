@@ -6,6 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from slotledger.catalog.adapters import Tables
 from slotledger.catalog.ctes import with_ctes
@@ -30,9 +31,15 @@ def query(sql: str, *ctes: str) -> Callable[[Callable[[Tables], DataFrame]], Cal
     return register
 
 
+def _zone_free(df: DataFrame) -> DataFrame:
+    """UTC times as plain times, so that the reader's own zone does not show."""
+    times = [name for name, kind in df.dtypes if kind == "timestamp"]
+    return df.withColumns({name: F.col(name).cast("timestamp_ntz") for name in times}) if times else df
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def runner(entry: Entry) -> Callable[[SparkSession, str], DataFrame]:
-        return lambda spark, sf_dir: entry.build(Tables(spark, sf_dir))
+        return lambda spark, sf_dir: _zone_free(entry.build(Tables(spark, sf_dir)))
 
     return {name: runner(entry) for name, entry in _ENTRIES.items()}
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from slotledger import settings
+from slotledger.operators.audit import counted_in_passing
+from slotledger.operators.versions import Side
 from slotledger.plans import dashboard, marts, silver
 from slotledger.session import configure
 from slotledger.sinks.staging import stored
@@ -18,11 +21,34 @@ from slotledger.sources.tables import load_mart, load_snapshot
 MARTS = ("daily", "patterns", "load")
 
 
-def ingest_webhooks(spark: SparkSession, raw_path: str, table_path: str, as_of: datetime | None = None) -> int:
-    """Merge the newest delivery of every key into the webhook table; returns the table's version."""
+@dataclass(frozen=True)
+class Ingested:
+    """The table's new version, and the rows read and merged, counted while they passed."""
+
+    version: int
+    raw_rows: int
+    batch_rows: int
+
+
+def _ingest(
+    spark: SparkSession,
+    raw: DataFrame,
+    clean: Callable[[DataFrame], DataFrame],
+    table_path: str,
+    keys: Sequence[str],
+    update_when: Callable[[Side, Side], Column] | None = None,
+) -> Ingested:
+    raw, raw_rows = counted_in_passing(raw, "raw")
+    batch, batch_rows = counted_in_passing(clean(raw), "batch")
+    version = upsert_snapshot(spark, table_path, stored(batch), keys, update_when)
+    return Ingested(version, raw_rows.get["row_count"], batch_rows.get["row_count"])
+
+
+def ingest_webhooks(spark: SparkSession, raw_path: str, table_path: str, as_of: datetime | None = None) -> Ingested:
+    """Merge the newest delivery of every key into the webhook table."""
     configure(spark)
-    batch = stored(silver.silver_webhooks(read_webhooks(spark, raw_path), as_of))
-    return upsert_snapshot(spark, table_path, batch, silver.WEBHOOK_KEYS)
+    raw = read_webhooks(spark, raw_path)
+    return _ingest(spark, raw, lambda df: silver.silver_webhooks(df, as_of), table_path, silver.WEBHOOK_KEYS)
 
 
 def ingest_spend(
@@ -31,11 +57,11 @@ def ingest_spend(
     table_path: str,
     codes: Mapping[str, str] = settings.CHANNEL_CODES,
     as_of: datetime | None = None,
-) -> int:
+) -> Ingested:
     """Merge the newest spend of every day and channel into the spend table, where it changed."""
     configure(spark)
-    batch = stored(silver.silver_spend(read_spend(spark, raw_path), codes, as_of))
-    return upsert_snapshot(spark, table_path, batch, silver.SPEND_KEYS, silver.spend_changed)
+    raw, keys = read_spend(spark, raw_path), silver.SPEND_KEYS
+    return _ingest(spark, raw, lambda df: silver.silver_spend(df, codes, as_of), table_path, keys, silver.spend_changed)
 
 
 def rebuild_marts(
@@ -46,12 +72,14 @@ def rebuild_marts(
     exports_path: str,
     cutoff: date | None = settings.SPEND_CUTOFF,
     as_of: datetime | None = None,
-) -> None:
-    """Rebuild every mart from the current tables and export it for the dashboard."""
+) -> dict[str, int]:
+    """Rebuild every mart from the current tables and export it for the dashboard; returns their rows."""
     configure(spark)
     webhooks, spend = load_snapshot(spark, webhooks_path), load_snapshot(spark, spend_path)
-    for name, mart in marts.build_marts(webhooks, spend, cutoff, as_of).items():
-        publish_mart(mart, f"{marts_path.rstrip('/')}/{name}", f"{exports_path.rstrip('/')}/{name}")
+    return {
+        name: publish_mart(mart, f"{marts_path.rstrip('/')}/{name}", f"{exports_path.rstrip('/')}/{name}")
+        for name, mart in marts.build_marts(webhooks, spend, cutoff, as_of).items()
+    }
 
 
 def open_dashboard(

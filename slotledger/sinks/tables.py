@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from slotledger.operators.audit import counted_in_passing
 from slotledger.operators.versions import Side, upsert
 from slotledger.sources.tables import latest_snapshot, load_snapshot, load_table, snapshot_path
 
@@ -37,10 +38,15 @@ def export_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def publish_mart(df: DataFrame, table_path: str, export_path: str, fmt: str = "parquet") -> None:
-    """Build a mart once and export what was written, so both copies hold the same rows and load stamp."""
-    write_table(df, table_path, fmt, replace_schema=True)
+def publish_mart(df: DataFrame, table_path: str, export_path: str, fmt: str = "parquet") -> int:
+    """Build a mart once and export what was written, so both copies hold the same rows and load stamp.
+
+    Returns the number of rows, counted while they are written.
+    """
+    counted, rows = counted_in_passing(df, table_path)
+    write_table(counted, table_path, fmt, replace_schema=True)
     export_parquet(load_table(df.sparkSession, table_path, fmt), export_path)
+    return rows.get["row_count"]
 
 
 def write_snapshot(df: DataFrame, root: str) -> int:

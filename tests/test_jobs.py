@@ -23,12 +23,14 @@ def paths(tmp_path):
 
 def test_from_files_to_reports(spark, webhook_dir, spend_dir, paths):  # noqa: F811
     for version in (0, 1):  # running a job again adds a version and no rows
-        assert jobs.ingest_webhooks(spark, webhook_dir, paths["silver_webhooks"], as_of=NOW) == version
+        ingested = jobs.ingest_webhooks(spark, webhook_dir, paths["silver_webhooks"], as_of=NOW)
+        assert ingested == jobs.Ingested(version, raw_rows=5, batch_rows=4)
         assert load_snapshot(spark, paths["silver_webhooks"]).count() == 4
     jobs.ingest_spend(spark, spend_dir, paths["silver_spend"], codes={"tiktok_paid_ads": "ET1"}, as_of=NOW)
     assert load_snapshot(spark, paths["silver_spend"]).count() == 3
 
-    jobs.rebuild_marts(spark, paths["silver_webhooks"], paths["silver_spend"], paths["marts"], paths["exports"], as_of=NOW)
+    folders = [paths[name] for name in ("silver_webhooks", "silver_spend", "marts", "exports")]
+    assert jobs.rebuild_marts(spark, *folders, as_of=NOW) == {"daily": 3, "patterns": 3, "load": 1}
     for name, width in zip(jobs.MARTS, (11, 12, 10)):
         mart, export = (load_table(spark, f"{paths[where]}/{name}") for where in ("marts", "exports"))
         assert len(mart.columns) == width and rows(mart) == rows(export)
