@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -14,7 +15,7 @@ from slotledger.operators.versions import Side
 from slotledger.plans import dashboard, marts, silver
 from slotledger.session import configure
 from slotledger.sinks.staging import stored
-from slotledger.sinks.tables import publish_mart, upsert_snapshot
+from slotledger.sinks.tables import merge_into_table, publish_mart, upsert_snapshot
 from slotledger.sources.raw import read_spend, read_webhooks
 from slotledger.sources.tables import load_mart, load_snapshot
 
@@ -23,9 +24,9 @@ MARTS = ("daily", "patterns", "load")
 
 @dataclass(frozen=True)
 class Ingested:
-    """The table's new version, and the rows read and merged, counted while they passed."""
+    """The table's new version (a catalog keeps its own), and the rows read and merged."""
 
-    version: int
+    version: int | None
     raw_rows: int
     batch_rows: int
 
@@ -34,51 +35,70 @@ def _ingest(
     spark: SparkSession,
     raw: DataFrame,
     clean: Callable[[DataFrame], DataFrame],
-    table_path: str,
+    table: str,
+    in_catalog: bool,
     keys: Sequence[str],
     update_when: Callable[[Side, Side], Column] | None = None,
 ) -> Ingested:
+    """Clean, store and merge a batch; its rows are counted while they are stored."""
     raw, raw_rows = counted_in_passing(raw, "raw")
     batch, batch_rows = counted_in_passing(clean(raw), "batch")
-    version = upsert_snapshot(spark, table_path, stored(batch), keys, update_when)
+    batch, version = stored(batch), None
+    if in_catalog:
+        merge_into_table(batch, table, keys, update_when)
+    else:
+        version = upsert_snapshot(spark, table, batch, keys, update_when)
     return Ingested(version, raw_rows.get["row_count"], batch_rows.get["row_count"])
 
 
-def ingest_webhooks(spark: SparkSession, raw_path: str, table_path: str, as_of: datetime | None = None) -> Ingested:
-    """Merge the newest delivery of every key into the webhook table."""
+def ingest_webhooks(
+    spark: SparkSession, raw_path: str, table: str, in_catalog: bool = False, as_of: datetime | None = None
+) -> Ingested:
+    """Merge the newest delivery of every key into the webhook table.
+
+    ``table`` is the folder of a snapshot table or, ``in_catalog``, the name of a table that supports
+    MERGE INTO: the way for large tables, as a snapshot is rewritten on every run.
+    """
     configure(spark)
     raw = read_webhooks(spark, raw_path)
-    return _ingest(spark, raw, lambda df: silver.silver_webhooks(df, as_of), table_path, silver.WEBHOOK_KEYS)
+    return _ingest(spark, raw, lambda df: silver.silver_webhooks(df, as_of), table, in_catalog, silver.WEBHOOK_KEYS)
 
 
 def ingest_spend(
     spark: SparkSession,
     raw_path: str,
-    table_path: str,
+    table: str,
     codes: Mapping[str, str] = settings.CHANNEL_CODES,
+    in_catalog: bool = False,
     as_of: datetime | None = None,
 ) -> Ingested:
     """Merge the newest spend of every day and channel into the spend table, where it changed."""
     configure(spark)
     raw, keys = read_spend(spark, raw_path), silver.SPEND_KEYS
-    return _ingest(spark, raw, lambda df: silver.silver_spend(df, codes, as_of), table_path, keys, silver.spend_changed)
+    clean = lambda df: silver.silver_spend(df, codes, as_of)
+    return _ingest(spark, raw, clean, table, in_catalog, keys, silver.spend_changed)
 
 
 def rebuild_marts(
     spark: SparkSession,
-    webhooks_path: str,
-    spend_path: str,
+    webhooks_table: str,
+    spend_table: str,
     marts_path: str,
     exports_path: str,
     cutoff: date | None = settings.SPEND_CUTOFF,
+    in_catalog: bool = False,
     as_of: datetime | None = None,
 ) -> dict[str, int]:
-    """Rebuild every mart from the current tables and export it for the dashboard; returns their rows."""
+    """Rebuild every mart from the current tables and export it for the dashboard; returns their rows.
+
+    The tables are those the jobs above keep, with one row per key.
+    """
     configure(spark)
-    webhooks, spend = load_snapshot(spark, webhooks_path), load_snapshot(spark, spend_path)
+    current = spark.table if in_catalog else partial(load_snapshot, spark)
+    webhooks, spend = current(webhooks_table), current(spend_table)
     return {
         name: publish_mart(mart, f"{marts_path.rstrip('/')}/{name}", f"{exports_path.rstrip('/')}/{name}")
-        for name, mart in marts.build_marts(webhooks, spend, cutoff, as_of).items()
+        for name, mart in marts.build_marts(webhooks, spend, cutoff, as_of, keyed=True).items()
     }
 
 

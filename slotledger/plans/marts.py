@@ -2,6 +2,9 @@
 
 Bookings are counted before anything is joined to them: counting combines inside each map task, so a
 popular event type or employee never gathers its raw rows anywhere, and every join sees totals only.
+
+``keyed=True`` says that a table has one row per key, as merging keeps the stored ones. Nothing can
+repeat then, so repeats are not looked for, which saves the only shuffles of raw rows.
 """
 
 from __future__ import annotations
@@ -49,10 +52,10 @@ def spend_daily(spend: DataFrame) -> DataFrame:
     )
 
 
-def distinct_spend(spend: DataFrame, cutoff: date | None = settings.SPEND_CUTOFF) -> DataFrame:
+def distinct_spend(spend: DataFrame, cutoff: date | None = settings.SPEND_CUTOFF, keyed: bool = False) -> DataFrame:
     """Spend from the cutoff on, exact copies of a row once."""
     recent = spend if cutoff is None else since(spend, "spend_date", cutoff)
-    return recent.distinct()
+    return recent if keyed else recent.distinct()
 
 
 def daily_channel_performance(
@@ -61,6 +64,7 @@ def daily_channel_performance(
     cutoff: date | None = settings.SPEND_CUTOFF,
     event_types: Sequence[str] | None = None,
     booked_at: str = BOOKED_AT,
+    keyed: bool = False,
 ) -> DataFrame:
     """Bookings beside spend per day and channel, with days that have only one of them.
 
@@ -68,7 +72,7 @@ def daily_channel_performance(
     no channel. Give ``spend`` the current version of the table, not its superseded files.
     """
     booked = bookings_daily(webhooks, event_types, booked_at).withColumnRenamed("booking_date", "performance_date")
-    spent = spend_daily(distinct_spend(spend, cutoff)).withColumnRenamed("spend_date", "performance_date")
+    spent = spend_daily(distinct_spend(spend, cutoff, keyed)).withColumnRenamed("spend_date", "performance_date")
     both = full_outer_coalesce(
         spent, booked, ["performance_date", "event_type_code"], {"marketing_spend": 0, "bookings_count": 0}
     )
@@ -119,7 +123,10 @@ def booking_time_patterns(
 
 
 def weekly_load(
-    webhooks: DataFrame, event_types: Sequence[str] | None = None, booked_at: str = BOOKED_AT
+    webhooks: DataFrame,
+    event_types: Sequence[str] | None = None,
+    booked_at: str = BOOKED_AT,
+    keyed: bool = False,
 ) -> DataFrame:
     """Distinct meetings per employee and week, with the first and last day booked.
 
@@ -127,6 +134,7 @@ def weekly_load(
     a busy employee spread over all tasks.
     """
     day = F.to_date(booked_at)
+    meetings = F.count("meeting_key") if keyed else F.count_distinct("meeting_key")
     return (
         _eligible(webhooks, "user_email", booked_at, event_types)
         .select(
@@ -137,7 +145,7 @@ def weekly_load(
         )
         .groupBy("user_email", "week_start_date")
         .agg(
-            F.count_distinct("meeting_key").alias("weekly_meetings"),
+            meetings.alias("weekly_meetings"),
             F.min("booking_date").alias("first_booking_date_in_week"),
             F.max("booking_date").alias("last_booking_date_in_week"),
         )
@@ -159,7 +167,10 @@ def employee_summary(weekly: DataFrame) -> DataFrame:
 
 
 def employee_meeting_load(
-    webhooks: DataFrame, event_types: Sequence[str] | None = None, booked_at: str = BOOKED_AT
+    webhooks: DataFrame,
+    event_types: Sequence[str] | None = None,
+    booked_at: str = BOOKED_AT,
+    keyed: bool = False,
 ) -> DataFrame:
     """Weekly load beside the employee's summary.
 
@@ -169,7 +180,7 @@ def employee_meeting_load(
     per_employee = Window.partitionBy("user_email")
     summary = {name: c.over(per_employee) for name, c in _summary_of_weeks().items()}
     summary["avg_meetings_per_week"] = F.round(summary["avg_meetings_per_week"], 2)
-    return weekly_load(webhooks, event_types, booked_at).select(
+    return weekly_load(webhooks, event_types, booked_at, keyed).select(
         "user_email",
         "week_start_date",
         "weekly_meetings",
@@ -184,11 +195,12 @@ def build_marts(
     spend: DataFrame,
     cutoff: date | None = settings.SPEND_CUTOFF,
     as_of: datetime | None = None,
+    keyed: bool = False,
 ) -> dict[str, DataFrame]:
     """All three marts, stamped and ready for ``sinks.tables.publish_mart``."""
     marts = {
-        "daily": daily_channel_performance(webhooks, spend, cutoff),
+        "daily": daily_channel_performance(webhooks, spend, cutoff, keyed=keyed),
         "patterns": booking_time_patterns(webhooks, channel_mapping(spend)),
-        "load": employee_meeting_load(webhooks),
+        "load": employee_meeting_load(webhooks, keyed=keyed),
     }
     return {name: with_load_stamp(mart, as_of) for name, mart in marts.items()}

@@ -82,8 +82,11 @@ def merge_into_table(
 ) -> None:
     """The same merge by MERGE INTO, for catalogs with row-level changes, which rewrite only touched files.
 
-    The table is referred to by its name, the batch by ``batch``.
+    The first batch creates the table.
     """
+    if not batch.sparkSession.catalog.tableExists(table):
+        batch.writeTo(table).create()
+        return
     t: Side = lambda name: F.col(f"{table}.{name}")
     b: Side = lambda name: F.col(f"batch.{name}")
     matched = reduce(Column.__and__, [t(k) == b(k) for k in keys])

@@ -4,6 +4,7 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import UnsupportedOperationException
 
 from slotledger import jobs
 from slotledger.plans import channels, dashboard, marts, patterns, reports, workload
@@ -56,6 +57,33 @@ def test_from_files_to_reports(spark, webhook_dir, spend_dir, paths):  # noqa: F
     assert load.count() == 0
 
 
+def test_catalog_tables(spark, webhook_dir, spend_dir, paths):  # noqa: F811
+    """The first batch creates the tables. The installed catalog cannot MERGE and says so."""
+    jobs.ingest_spend(spark, spend_dir, "spend_t", in_catalog=True, as_of=NOW)
+    found = jobs.ingest_webhooks(spark, webhook_dir, "webhooks_t", in_catalog=True, as_of=NOW)
+    assert found == jobs.Ingested(None, raw_rows=5, batch_rows=4)
+    folders = ["webhooks_t", "spend_t", paths["marts"], paths["exports"]]
+    assert jobs.rebuild_marts(spark, *folders, in_catalog=True, as_of=NOW)["patterns"] == 3
+    with pytest.raises(UnsupportedOperationException, match="MERGE INTO"):
+        jobs.ingest_spend(spark, spend_dir, "spend_t", in_catalog=True, as_of=NOW)
+
+
+def test_keyed_tables_give_the_same_marts_without_shuffling_rows(spark, webhook_dir, spend_dir, paths):  # noqa: F811
+    jobs.ingest_webhooks(spark, webhook_dir, paths["silver_webhooks"], as_of=NOW)
+    jobs.ingest_spend(spark, spend_dir, paths["silver_spend"], as_of=NOW)
+    tables = [load_snapshot(spark, paths[name]) for name in ("silver_webhooks", "silver_spend")]
+    plain, keyed = (marts.build_marts(*tables, as_of=NOW, keyed=keyed) for keyed in (False, True))
+    for name in jobs.MARTS:
+        assert rows(plain[name]) == rows(keyed[name])
+
+    def shuffles(mart):
+        plan = mart._jdf.queryExecution().executedPlan().toString()
+        return plan.split("== Initial Plan ==")[0].count("Exchange hashpartitioning")
+
+    assert [shuffles(plain["daily"]), shuffles(keyed["daily"])] == [4, 3]
+    assert [shuffles(plain["load"]), shuffles(keyed["load"])] == [3, 2]
+
+
 def test_another_booking_time_can_be_asked_for(spark, webhook_dir, paths):  # noqa: F811
     jobs.ingest_webhooks(spark, webhook_dir, paths["silver_webhooks"], as_of=NOW)
     webhooks = load_snapshot(spark, paths["silver_webhooks"])

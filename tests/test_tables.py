@@ -66,6 +66,19 @@ def test_upsert_twice_is_upsert_once(table, batch, condition):
     assert rows(upsert(once, keyed, ["k", "c"], condition)) == rows(once)
 
 
+def test_upsert_of_a_batch_too_large_to_broadcast(spark, table, batch):
+    for setting in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(setting, "-1")
+    try:
+        merged = upsert(table, batch, ["k", "c"], changed)
+        assert "SortMergeJoin" in merged._jdf.queryExecution().executedPlan().toString()
+        by_shuffle = rows(merged)
+    finally:
+        for setting in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+            spark.conf.unset(setting)
+    assert by_shuffle == rows(upsert(table, batch, ["k", "c"], changed))
+
+
 def test_upsert_can_use_the_table_as_its_own_batch(table):
     keyed = table.filter("k IS NOT NULL")
     assert rows(upsert(keyed, keyed, ["k", "c"], changed)) == rows(keyed)
@@ -117,11 +130,6 @@ def test_export_holds_the_rows_of_the_table(spark, table, tmp_path):
     assert first == second and first[0][-1] is not None
 
 
-def test_merge_into_needs_a_catalog_that_can(spark, batch):
-    with pytest.raises(Exception):
-        sinks.merge_into_table(batch, "no_such_table", ["k", "c"], changed)
-
-
 def test_load_stamp(spark, table):
     fixed = with_load_stamp(table, datetime(2026, 1, 2, 3))
     assert {r[-1] for r in rows(fixed)} == {datetime(2026, 1, 2, 3)}
