@@ -8,9 +8,8 @@ import statistics
 import sys
 import time
 
-from pyspark.sql import SparkSession
-
 from slotledger.catalog import queries
+from slotledger.session import build_session
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -40,14 +39,13 @@ HEADLINE = (
 
 
 def main() -> None:
-    spark = (
-        SparkSession.builder.master(f"local[{CPUS}]")
-        .appName("slotledger-bench")
-        .config("spark.sql.shuffle.partitions", CPUS)
-        .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "8g"))
-        .config("spark.ui.enabled", "false")
-        .getOrCreate()
-    )
+    options = {
+        "spark.master": f"local[{CPUS}]",
+        "spark.sql.shuffle.partitions": CPUS,
+        "spark.driver.memory": os.environ.get("BENCH_MEMORY", "8g"),
+        "spark.ui.enabled": "false",
+    }
+    spark = build_session("slotledger-bench", options)
     spark.sparkContext.setLogLevel("ERROR")
     chosen, known = sys.argv[1:] or HEADLINE, queries()
 
