@@ -11,7 +11,8 @@ from slotledger.operators import ranking
 from slotledger.plans import channels, dashboard, patterns, trends, workload
 from slotledger.settings import Selection
 
-_SALES = "performance_date BETWEEN DATE '1996-01-01' AND DATE '1997-06-30' AND channel IN ('1-urgent', '3-medium', 'unknown')"
+_SALES = """performance_date BETWEEN DATE '1996-01-01' AND DATE '1997-06-30'
+    AND channel IN ('1-urgent', '3-medium', 'unknown')"""
 _EVENTS = "BETWEEN DATE '2024-01-08' AND DATE '2024-01-21'"
 _CPB = f"{ctes.cost()} AS cost_per_booking"
 _TOTALS = """CAST(coalesce(sum(bookings_count), 0) AS BIGINT) AS total_bookings,

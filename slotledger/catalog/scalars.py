@@ -181,7 +181,8 @@ def calendar_columns(t: Tables) -> DataFrame:
 def time_slot(t: Tables) -> DataFrame:
     counted = t.table("events").groupBy(F.hour("ts").alias("hour_of_day")).agg(F.count(F.lit(1)).alias("row_count"))
     slot = rules.time_slot(F.col("hour_of_day"))
-    return counted.select("hour_of_day", slot.alias("time_slot"), rules.time_slot_sort(slot).alias("time_slot_sort"), "row_count")
+    slots = {"time_slot": slot, "time_slot_sort": rules.time_slot_sort(slot)}
+    return counted.withColumns(slots)
 
 
 @query(

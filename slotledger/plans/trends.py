@@ -17,11 +17,15 @@ _DAY, _LABEL, _COUNT, _MEAN = "performance_date", "channel_display", "bookings_c
 
 TREND_LABELS = {
     "performance_date": "Date",
-    "week_start_date": "Week Starting",
     "channel_display": "Channel",
     "bookings_count": "Daily Bookings",
     "bookings_7_day_avg": "7-Day Average",
 }
+WEEKLY_LABELS = {
+    "week_start_date": "Week Starting",
+    "channel_display": "Channel",
+    "bookings_count": "Weekly Bookings",
+}
 
 
 def daily_totals(daily: DataFrame) -> DataFrame:
