@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotledger.llm import decontamination, near_duplicates, pii, repeated_bytes
+from slotledger.llm import decontamination, language, near_duplicates, pii, repeated_bytes
 from slotledger.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,11 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.personal_spans(table(spark, sf_dir, "documents")))
 
 
+@query
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = repeated_bytes.remove_repeats(table(spark, sf_dir, "documents"))
