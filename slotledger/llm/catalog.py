@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotledger.llm import decontamination, language, near_duplicates, pii, repeated_bytes
+from slotledger.llm import bpe, decontamination, language, near_duplicates, pii, repeated_bytes
 from slotledger.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +36,14 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+@query
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.encode_and_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return coded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
+    )
+
+
 @query
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicate_groups(table(spark, sf_dir, "documents"))
