@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotledger.llm import bpe, decontamination, language, near_duplicates, pii, repeated_bytes
+from slotledger.llm import bpe, decontamination, language, near_duplicates, pii, repeated_bytes, sharding
 from slotledger.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,6 +62,11 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
 ORACLE_SQL["op9_decontamination"] = r"""
 WITH doc AS (
     SELECT doc_id, row_number() OVER () AS k,
