@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotledger.llm import bpe, decontamination, language, near_duplicates, pii, repeated_bytes, sharding, top_k
+from slotledger.llm import bpe, decontamination, html_text, language, near_duplicates, pii, repeated_bytes, sharding, top_k
 from slotledger.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,6 +68,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicate_groups(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.page_text(table(spark, sf_dir, "pages"))
+
+
 @query
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
