@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotledger.llm import bpe, decontamination, html_text, language, near_duplicates, pii, repeated_bytes, sharding, top_k
+from slotledger.llm import bpe, decontamination, html_text, language, near_duplicates, pii, repeated_bytes, sharding, top_k, warc
 from slotledger.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,6 +68,54 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicate_groups(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derivatives(warc.responses(table(spark, sf_dir, "pages")))
+
+
+def _warc_sql() -> str:
+    quoted = lambda text: "'" + text.replace("'", "''") + "'"
+    text = f"regexp_replace(html, {quoted(warc.UNSEEN)}, ' ', 'g')"
+    text = f"regexp_replace(regexp_replace({text}, {quoted(warc.BREAKS)}, chr(10), 'g'), '{warc.TAGS}', '', 'g')"
+    for entity, shown in warc.ENTITIES:
+        text = f"replace({text}, {quoted(entity)}, {quoted(shown)})"
+    text = f"regexp_replace(regexp_replace({text}, '{warc.SPACES}', ' ', 'g'), '{warc.LINES}', chr(10), 'g')"
+    text = f"regexp_replace({text}, '{warc.ENDS}', '', 'g')"
+    urn = lambda x: (
+        f"(SELECT '<urn:uuid:' || h[1:8] || '-' || h[9:12] || '-' || h[13:16] || '-' || h[17:20] || '-' || h[21:32] || '>' "
+        f"FROM (SELECT sha256({x}) AS h))"
+    )
+    return f"""
+WITH page AS (
+    SELECT page_id, coalesce(url, '') AS target_uri, coalesce(html, '') AS html, chr(13) || chr(10) AS crlf FROM pages),
+source AS (
+    SELECT *, {urn("'response|' || coalesce(CAST(page_id AS VARCHAR), '') || '|' || target_uri")} AS refers_to,
+        'sha256:' || sha256(html) AS payload_digest
+    FROM page),
+made AS (
+    SELECT *, 'metadata' AS type, '{warc.METADATA_TYPE}' AS content_type,
+        'http-status-line: HTTP/1.1 200 OK' || crlf || 'http-header-Content-Type: text/html; charset=utf-8' || crlf
+        || 'http-header-Content-Length: ' || CAST(strlen(html) AS VARCHAR) || crlf AS block
+    FROM source
+    UNION ALL
+    SELECT *, 'conversion' AS type, '{warc.TEXT_TYPE}' AS content_type, {text} AS block FROM source),
+finished AS (
+    SELECT *, {urn("type || '|' || refers_to")} AS record_id, CAST(strlen(block) AS BIGINT) AS content_length,
+        'sha256:' || sha256(block) AS block_digest
+    FROM made)
+SELECT page_id, type, record_id, refers_to, target_uri, content_type, content_length, block_digest, payload_digest,
+    '{warc.VERSION}' || crlf || 'WARC-Type: ' || type || crlf || 'WARC-Record-ID: ' || record_id || crlf
+    || 'WARC-Refers-To: ' || refers_to || crlf || 'WARC-Target-URI: ' || target_uri || crlf || 'WARC-Date: {warc.DATE}' || crlf
+    || 'WARC-Source-Payload-Digest: ' || payload_digest || crlf || 'WARC-Block-Digest: ' || block_digest || crlf
+    || 'Content-Type: ' || content_type || crlf || 'Content-Length: ' || CAST(content_length AS VARCHAR) || crlf
+    || crlf || block || crlf || crlf AS record
+FROM finished
+"""
+
+
+ORACLE_SQL["op7_warc"] = _warc_sql()
+
+
 @query
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.page_text(table(spark, sf_dir, "pages"))
