@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -272,12 +272,15 @@ def joined(spans: Column) -> Column:
     )
 
 
+def _is(kind: int) -> Callable[[Column], Column]:
+    return lambda other: other == kind
+
+
 def digest(spans: DataFrame) -> DataFrame:
     """Counts and the digest of base spans, and all spans as text."""
     base = F.filter("spans", lambda s: s["base"])
-    counts = [
-        F.size(F.filter("spans", lambda s, k=k: s["base"] & (s["kind"] == k))).cast("long").alias(f"n_{KINDS[k]}") for k in range(4)
-    ]
+    kinds = F.transform(base, lambda s: s["kind"])
+    counts = [F.size(F.filter(kinds, _is(k))).cast("long").alias(f"n_{KINDS[k]}") for k in range(4)]
     return spans.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
