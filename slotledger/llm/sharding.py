@@ -58,8 +58,9 @@ def balanced_labels(links: DataFrame, capacity: list[int], rounds: int = ROUNDS)
     number = nodes.count()
     first = _ranked(nodes, "node", number).select("node", "lead", (F.col("rank") % shards).cast("int").alias("label"))
     labels = stored(first, "labels")
+    full: set[int] = set()
     for _ in range(rounds):
-        room = [c - n for c, n in zip(capacity, _counts(labels, shards), strict=True)]
+        room = [0 if j in full else c - n for j, (c, n) in enumerate(zip(capacity, _counts(labels, shards), strict=True))]
         votes = [F.count_if(F.col("label") == j).alias(f"n{j}") for j in range(shards)]
         by_group = links.join(labels, "node").groupBy("group").agg(*votes)
         by_node = links.join(by_group, "group").groupBy("node").agg(*[F.sum(f"n{j}").alias(f"n{j}") for j in range(shards)])
@@ -74,10 +75,13 @@ def balanced_labels(links: DataFrame, capacity: list[int], rounds: int = ROUNDS)
         )
         moving = wishes.filter("wish <> label").groupBy("wish", "bucket").agg(F.count("*").alias("n"))
         so_far = F.sum("n").over(Window.partitionBy("wish").orderBy("bucket"))
-        admitted = moving.withColumn("so_far", so_far).filter(F.col("so_far") <= _choose(F.col("wish"), room))
-        last = {r["wish"]: r["last"] for r in admitted.groupBy("wish").agg(F.max("bucket").alias("last")).collect()}
-        if not last:
+        fits = moving.withColumn("so_far", so_far).withColumn("fits", F.col("so_far") <= _choose(F.col("wish"), room))
+        quotas = fits.groupBy("wish").agg(F.max(F.when(F.col("fits"), F.col("bucket"))).alias("last"), F.min("fits").alias("all")).collect()
+        if not quotas:
             break
+        # a shard that turned movers away has less room than one bucket of them needs: later rounds look elsewhere
+        full |= {r["wish"] for r in quotas if not r["all"]}
+        last = {r["wish"]: r["last"] for r in quotas if r["last"] is not None}
         enters = F.col("bucket") <= _choose(F.col("wish"), [last.get(j, -1) for j in range(shards)])
         labels = stored(wishes.select("node", "lead", F.when(enters, F.col("wish")).otherwise(F.col("label")).alias("label")), "labels")
     return labels.select("node", "label")
