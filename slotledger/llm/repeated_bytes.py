@@ -27,7 +27,7 @@ from slotledger.llm.common import mix64, ragged, scratch_path, stored, utf8
 
 THRESHOLD = 400
 HOT_RUNS = 1 << 15
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 BATCH_ROWS = 4096
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd, so that they can be inverted modulo 2 to the 64
 _PLACE = np.uint64((1 << 28) - 1)
