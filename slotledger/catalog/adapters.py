@@ -133,7 +133,7 @@ class Tables:
         return channel_mapping(self.spend(EVENT_CODES))
 
     def perf(self) -> DataFrame:
-        return clean_mart(marts.daily_channel_performance(self.bookings(), self.spend(), CUTOFF), "daily")
+        return clean_mart(marts.daily_channel_performance(self.bookings(), self.spend()), "daily")
 
     def patterns(self) -> DataFrame:
         return clean_mart(marts.booking_time_patterns(self.webhooks(), self.mapping()), "patterns")

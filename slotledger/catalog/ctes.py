@@ -102,6 +102,47 @@ SUM_S = "CAST(sum(marketing_spend) AS DECIMAL(32,2)) AS marketing_spend"
 # Mean of weekly counts to two decimals, nearest even on the scaled double.
 MEAN_WEEK = "round_even(avg(weekly_meetings) * 100, 0) / 100"
 
+
+def _daily(spent: str, booked: str = "bookings_daily") -> str:
+    return f"""SELECT performance_date, {calendar("performance_date")}, channel, event_type_code, bookings_count,
+                marketing_spend, {cents_ratio("marketing_spend", "bookings_count")} AS cost_per_booking
+            FROM (SELECT coalesce(b.booking_date, s.spend_date) AS performance_date, s.channel,
+                    coalesce(b.event_type_code, s.event_type_code) AS event_type_code,
+                    coalesce(b.bookings_count, 0) AS bookings_count,
+                    coalesce(s.marketing_spend, CAST(0 AS DECIMAL(22,2))) AS marketing_spend
+                FROM {spent} s FULL OUTER JOIN {booked} b
+                ON s.spend_date = b.booking_date AND s.event_type_code = b.event_type_code)"""
+
+
+def _patterns(webhooks: str) -> str:
+    return f"""SELECT booking_date, {calendar("booking_date")}, hour_of_day, time_slot,
+                {slot_sort("time_slot")} AS time_slot_sort, channel, event_type_code, bookings_count
+            FROM (SELECT CAST(webhook_created_at AS DATE) AS booking_date,
+                    CAST(hour(webhook_created_at) AS INTEGER) AS hour_of_day,
+                    {slot("hour(webhook_created_at)")} AS time_slot, coalesce(m.channel, 'unknown') AS channel,
+                    w.event_type_code, count(*) AS bookings_count
+                FROM {webhooks} w LEFT JOIN mapping m ON w.event_type_code = m.event_type_code
+                WHERE webhook_created_at IS NOT NULL AND w.event_type_code IS NOT NULL GROUP BY ALL)"""
+
+
+def _weekly(webhooks: str) -> str:
+    return f"""SELECT user_email, CAST(date_trunc('week', webhook_created_at) AS DATE) AS week_start_date,
+                count(DISTINCT coalesce(webhook_key, event_id)) AS weekly_meetings,
+                CAST(min(webhook_created_at) AS DATE) AS first_booking_date_in_week,
+                CAST(max(webhook_created_at) AS DATE) AS last_booking_date_in_week
+            FROM {webhooks} WHERE webhook_created_at IS NOT NULL AND user_email IS NOT NULL GROUP BY 1, 2"""
+
+
+def _load(weekly: str) -> str:
+    return f"""SELECT user_email, week_start_date, weekly_meetings, total_meetings, number_of_weeks,
+                ((200 * total_meetings + number_of_weeks) // (2 * number_of_weeks)) / 100.0::DOUBLE
+                    AS avg_meetings_per_week,
+                max_meetings_in_week, first_booking_date_in_week, last_booking_date_in_week
+            FROM {weekly} JOIN (SELECT user_email, CAST(sum(weekly_meetings) AS BIGINT) AS total_meetings,
+                    count(*) AS number_of_weeks, max(weekly_meetings) AS max_meetings_in_week
+                FROM {weekly} GROUP BY user_email) USING (user_email)"""
+
+
 _CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "spend": (
         (),
@@ -123,22 +164,18 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
             FROM bookings WHERE webhook_created_at IS NOT NULL AND event_type_code IS NOT NULL GROUP BY ALL""",
     ),
     "spend_daily": (
+        ("spend",),
+        """SELECT spend_date, channel, event_type_code, CAST(sum(spend) AS DECIMAL(22,2)) AS marketing_spend
+            FROM (SELECT DISTINCT * FROM spend) WHERE channel IS NOT NULL AND event_type_code IS NOT NULL GROUP BY ALL""",
+    ),
+    "mart": (("bookings_daily", "spend_daily"), _daily("spend_daily")),
+    "recent_spend_daily": (
         ("spend",),
         """SELECT spend_date, channel, event_type_code, CAST(sum(spend) AS DECIMAL(22,2)) AS marketing_spend
             FROM (SELECT DISTINCT * FROM spend WHERE spend_date >= DATE '1995-06-09')
             WHERE channel IS NOT NULL AND event_type_code IS NOT NULL GROUP BY ALL""",
     ),
-    "mart": (
-        ("bookings_daily", "spend_daily"),
-        f"""SELECT performance_date, {calendar("performance_date")}, channel, event_type_code, bookings_count,
-                marketing_spend, {cents_ratio("marketing_spend", "bookings_count")} AS cost_per_booking
-            FROM (SELECT coalesce(b.booking_date, s.spend_date) AS performance_date, s.channel,
-                    coalesce(b.event_type_code, s.event_type_code) AS event_type_code,
-                    coalesce(b.bookings_count, 0) AS bookings_count,
-                    coalesce(s.marketing_spend, CAST(0 AS DECIMAL(22,2))) AS marketing_spend
-                FROM spend_daily s FULL OUTER JOIN bookings_daily b
-                ON s.spend_date = b.booking_date AND s.event_type_code = b.event_type_code)""",
-    ),
+    "recent_mart": (("bookings_daily", "recent_spend_daily"), _daily("recent_spend_daily")),
     "perf": (
         ("mart",),
         "SELECT * REPLACE (coalesce(nullif(channel, ''), 'unknown') AS channel) FROM mart",
@@ -186,35 +223,43 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
         f"""SELECT {code(CHANNEL, "click", "view", "purchase")} AS event_type_code, min({CHANNEL}) AS channel
             FROM orders GROUP BY ALL""",
     ),
-    "patterns": (
-        ("webhooks", "mapping"),
-        f"""SELECT booking_date, {calendar("booking_date")}, hour_of_day, time_slot,
-                {slot_sort("time_slot")} AS time_slot_sort, channel, event_type_code, bookings_count
-            FROM (SELECT CAST(webhook_created_at AS DATE) AS booking_date,
-                    CAST(hour(webhook_created_at) AS INTEGER) AS hour_of_day,
-                    {slot("hour(webhook_created_at)")} AS time_slot, coalesce(m.channel, 'unknown') AS channel,
-                    w.event_type_code, count(*) AS bookings_count
-                FROM webhooks w LEFT JOIN mapping m ON w.event_type_code = m.event_type_code
-                WHERE webhook_created_at IS NOT NULL AND w.event_type_code IS NOT NULL GROUP BY ALL)""",
+    "patterns": (("webhooks", "mapping"), _patterns("webhooks")),
+    "weekly": (("webhooks",), _weekly("webhooks")),
+    "load": (("weekly",), _load("weekly")),
+    # the same marts over cleaned, keyed deliveries
+    "silver_webhooks": (
+        (),
+        f"""SELECT *, sha256(concat_ws('||', event_id, webhook_event_type, invitee_identity)) AS webhook_key
+            FROM (SELECT {MEETING} AS event_id, {NOTICE} AS webhook_event_type, {IDENTITY} AS invitee_identity,
+                    {CREATED_AT} AS webhook_created_at, event_type AS event_type_code,
+                    CASE WHEN event_type <> 'purchase' THEN {EMPLOYEE} END AS user_email,
+                    'webhooks/' || event_id || '.json' AS raw_file_path FROM events)
+            QUALIFY row_number() OVER (PARTITION BY webhook_key
+                ORDER BY webhook_created_at DESC NULLS LAST, raw_file_path DESC) = 1""",
     ),
-    "weekly": (
-        ("webhooks",),
-        """SELECT user_email, CAST(date_trunc('week', webhook_created_at) AS DATE) AS week_start_date,
-                count(DISTINCT coalesce(webhook_key, event_id)) AS weekly_meetings,
-                CAST(min(webhook_created_at) AS DATE) AS first_booking_date_in_week,
-                CAST(max(webhook_created_at) AS DATE) AS last_booking_date_in_week
-            FROM webhooks WHERE webhook_created_at IS NOT NULL AND user_email IS NOT NULL GROUP BY 1, 2""",
+    "silver_spend": (
+        ("spend",),
+        f"""SELECT spend_date, channel, {code("channel", "click", "view", "purchase")} AS event_type_code, spend FROM spend
+            QUALIFY row_number() OVER (PARTITION BY spend_date, channel
+                ORDER BY raw_file_modified_at DESC NULLS LAST, raw_file_path DESC) = 1""",
     ),
-    "load": (
-        ("weekly",),
-        """SELECT user_email, week_start_date, weekly_meetings, total_meetings, number_of_weeks,
-                ((200 * total_meetings + number_of_weeks) // (2 * number_of_weeks)) / 100.0::DOUBLE
-                    AS avg_meetings_per_week,
-                max_meetings_in_week, first_booking_date_in_week, last_booking_date_in_week
-            FROM weekly JOIN (SELECT user_email, CAST(sum(weekly_meetings) AS BIGINT) AS total_meetings,
-                    count(*) AS number_of_weeks, max(weekly_meetings) AS max_meetings_in_week
-                FROM weekly GROUP BY user_email) USING (user_email)""",
+    "silver_bookings_daily": (
+        ("silver_webhooks",),
+        """SELECT CAST(webhook_created_at AS DATE) AS booking_date, event_type_code, count(*) AS bookings_count
+            FROM silver_webhooks WHERE webhook_created_at IS NOT NULL GROUP BY ALL""",
+    ),
+    "silver_spend_daily": (
+        ("silver_spend",),
+        """SELECT spend_date, channel, event_type_code, CAST(sum(spend) AS DECIMAL(22,2)) AS marketing_spend
+            FROM silver_spend GROUP BY ALL""",
+    ),
+    "silver_mart": (
+        ("silver_bookings_daily", "silver_spend_daily"),
+        _daily("silver_spend_daily", "silver_bookings_daily"),
     ),
+    "silver_patterns": (("silver_webhooks", "mapping"), _patterns("silver_webhooks")),
+    "silver_weekly": (("silver_webhooks",), _weekly("silver_webhooks")),
+    "silver_load": (("silver_weekly",), _load("silver_weekly")),
     "employees": (
         ("load",),
         f"""SELECT *, {level("avg_meetings_per_week")} AS load_level

@@ -42,7 +42,7 @@ def scan_parquet(t: Tables) -> DataFrame:
             json_extract_string(props, '$.k') AS utm_campaign, 'webhooks/' || event_id || '.json' AS raw_file_path
         FROM events"""
 )
-def scan_json_nested(t: Tables) -> DataFrame:
+def parse_json_document(t: Tables) -> DataFrame:
     return t.raw_webhooks_json().select(
         "event",
         text.uri_part(F.col("payload.event"), "scheduled_events").alias("meeting"),
@@ -58,7 +58,7 @@ def scan_json_nested(t: Tables) -> DataFrame:
         UNION ALL SELECT strftime(o_orderdate + INTERVAL 1 DAY, '%Y-%m-%d'), o_orderpriority,
             CAST(o_custkey AS DECIMAL(12,2)) FROM orders"""
 )
-def scan_json_array(t: Tables) -> DataFrame:
+def parse_json_array(t: Tables) -> DataFrame:
     def element(day: Column, amount: Column) -> Column:
         label = F.date_format(day, "yyyy-MM-dd").alias("date")
         return F.struct(label, F.col("o_orderpriority").alias("channel"), amount.alias("spend"))
@@ -178,13 +178,19 @@ def upsert_conditional(t: Tables) -> DataFrame:
     "webhooks",
 )
 def stage_audit(t: Tables) -> DataFrame:
-    stages = {"raw": t.raw_spend(), "clean": t.spend(), "silver": silver.latest_spend(t.spend()), "webhooks": t.webhooks()}
-    return audit.stage_audit(stages, {"clean": ["spend"], "webhooks": ["webhook_key"]})
+    rows, nothing = F.count(F.lit(1)), F.lit(0).cast("long")
+    spend = {
+        "raw": (rows, nothing),
+        "clean": (rows, F.count_if(F.col("spend").isNull())),
+        "silver": (F.count_distinct(F.struct(*silver.SPEND_KEYS)), nothing),
+    }
+    webhooks = {"webhooks": (rows, F.count_if(F.col("webhook_key").isNull()))}
+    return audit.stage_audit([(t.spend(), spend), (t.webhooks(), webhooks)])
 
 
-@query("SELECT DISTINCT spend_date, channel, event_type_code FROM spend WHERE spend_date >= DATE '1995-06-09'", "spend")
+@query("SELECT DISTINCT spend_date, channel, event_type_code FROM spend", "spend")
 def distinct_rows(t: Tables) -> DataFrame:
-    return marts.distinct_spend(t.spend().select("spend_date", "channel", "event_type_code"), adapters.CUTOFF)
+    return marts.distinct_spend(t.spend().select("spend_date", "channel", "event_type_code"))
 
 
 @query("SELECT event_type_code, min(channel) AS channel FROM spend GROUP BY ALL", "spend")
@@ -213,5 +219,4 @@ def ordered_preview(t: Tables) -> DataFrame:
 
 @query("SELECT * FROM perf", "perf")
 def load_mart_clean(t: Tables) -> DataFrame:
-    mart = marts.daily_channel_performance(t.bookings(), t.spend(), adapters.CUTOFF)
-    return clean_mart(mart, "daily")
+    return clean_mart(marts.daily_channel_performance(t.bookings(), t.spend()), "daily")

@@ -8,7 +8,7 @@ from slotledger.catalog import adapters
 from slotledger.catalog.adapters import Tables
 from slotledger.catalog.registry import query
 from slotledger.operators import combine
-from slotledger.plans import marts
+from slotledger.plans import marts, silver
 
 
 @query("SELECT * FROM bookings_daily", "bookings_daily")
@@ -18,10 +18,10 @@ def bookings_daily(t: Tables) -> DataFrame:
 
 @query("SELECT * FROM spend_daily", "spend_daily")
 def spend_daily(t: Tables) -> DataFrame:
-    return marts.spend_daily(marts.distinct_spend(t.spend(), adapters.CUTOFF))
+    return marts.spend_daily(marts.distinct_spend(t.spend()))
 
 
-@query("SELECT * FROM mart", "mart")
+@query("SELECT * FROM recent_mart", "recent_mart")
 def daily_channel_performance(t: Tables) -> DataFrame:
     return marts.daily_channel_performance(t.bookings(), t.spend(), adapters.CUTOFF)
 
@@ -60,3 +60,23 @@ def employee_summary(t: Tables) -> DataFrame:
 @query("SELECT * FROM load", "load")
 def employee_meeting_load(t: Tables) -> DataFrame:
     return marts.employee_meeting_load(t.webhooks())
+
+
+# The production path: raw documents, cleaned and keyed, into marts that rely on the keys.
+
+
+@query("SELECT * FROM silver_mart", "silver_mart")
+def keyed_daily_performance(t: Tables) -> DataFrame:
+    webhooks, spend = silver.silver_webhooks(t.raw_webhooks()), silver.silver_spend(t.raw_spend(), adapters.EVENT_CODES)
+    return marts.daily_channel_performance(webhooks, spend, keyed=True)
+
+
+@query("SELECT * FROM silver_patterns", "silver_patterns")
+def keyed_time_patterns(t: Tables) -> DataFrame:
+    spend = silver.silver_spend(t.raw_spend(), adapters.EVENT_CODES)
+    return marts.booking_time_patterns(silver.silver_webhooks(t.raw_webhooks()), combine.channel_mapping(spend))
+
+
+@query("SELECT * FROM silver_load", "silver_load")
+def keyed_meeting_load(t: Tables) -> DataFrame:
+    return marts.employee_meeting_load(silver.silver_webhooks(t.raw_webhooks()), keyed=True)

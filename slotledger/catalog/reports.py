@@ -58,12 +58,11 @@ def filter_options(t: Tables) -> DataFrame:
 
 
 @query(
-    f"""SELECT {_TOTALS}, min(performance_date) AS first_date, max(performance_date) AS last_date
-        FROM perf WHERE {_SALES}""",
+    f"SELECT {_TOTALS}, min(performance_date) AS first_date, max(performance_date) AS last_date FROM perf",
     "perf",
 )
 def headline_kpis(t: Tables) -> DataFrame:
-    return dashboard.headline_kpis(dashboard.select_daily(t.perf(), SALES_PERIOD))
+    return dashboard.headline_kpis(t.perf())
 
 
 # Bookings by day and channel
@@ -259,12 +258,11 @@ def metric_heatmap(t: Tables) -> DataFrame:
 
 
 @query(
-    f"""SELECT CAST(coalesce(sum(bookings_count), 0) AS BIGINT) AS total_bookings FROM patterns
-        WHERE booking_date {_EVENTS} AND channel IN ('1-urgent', 'unknown')""",
+    "SELECT CAST(coalesce(sum(bookings_count), 0) AS BIGINT) AS total_bookings FROM patterns",
     "patterns",
 )
 def pattern_kpis(t: Tables) -> DataFrame:
-    return patterns.pattern_kpis(dashboard.select_patterns(t.patterns(), EVENT_PERIOD))
+    return patterns.pattern_kpis(t.patterns())
 
 
 @query(f"SELECT {_PER_HOUR}, {ctes.SUM_N} FROM patterns GROUP BY ALL", "patterns")

@@ -3,20 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import date, datetime
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from slotledger import settings
 from slotledger.operators.audit import counted_in_passing
-from slotledger.operators.versions import Side
+from slotledger.operators.versions import Side, is_keyed
 from slotledger.plans import dashboard, marts, silver
 from slotledger.session import configure
-from slotledger.sinks.staging import stored
+from slotledger.sinks.staging import staged
 from slotledger.sinks.tables import merge_into_table, publish_mart, upsert_snapshot
-from slotledger.sources.raw import read_spend, read_webhooks
+from slotledger.sources.raw import UNREADABLE, read_spend, read_webhooks, readable, unreadable
 from slotledger.sources.tables import load_mart, load_snapshot
 
 MARTS = ("daily", "patterns", "load")
@@ -24,44 +25,72 @@ MARTS = ("daily", "patterns", "load")
 
 @dataclass(frozen=True)
 class Ingested:
-    """The table's new version (a catalog keeps its own), and the rows read and merged."""
+    """The table's new version (a catalog keeps its own), and what was counted on the way.
+
+    ``counts``: rows of the table after the merge, documents that could not be read, and batch rows that lack a date,
+    an amount or a known event type.
+    """
 
     version: int | None
     raw_rows: int
     batch_rows: int
+    counts: Mapping[str, int] = field(default_factory=dict, compare=False)
 
 
 def _ingest(
     spark: SparkSession,
     raw: DataFrame,
     clean: Callable[[DataFrame], DataFrame],
+    measures: Mapping[str, Column],
     table: str,
     in_catalog: bool,
     keys: Sequence[str],
-    update_when: Callable[[Side, Side], Column] | None = None,
+    update_when: Callable[[Side, Side], Column] | None,
+    provider: str | None,
 ) -> Ingested:
-    """Clean, store and merge a batch; its rows are counted while they are stored."""
-    raw, raw_rows = counted_in_passing(raw, "raw")
-    batch, batch_rows = counted_in_passing(clean(raw), "batch")
-    batch, version = stored(batch), None
-    if in_catalog:
-        merge_into_table(batch, table, keys, update_when)
-    else:
-        version = upsert_snapshot(spark, table, batch, keys, update_when)
-    return Ingested(version, raw_rows.get["row_count"], batch_rows.get["row_count"])
+    """Clean, store and merge a batch; everything is counted while it is stored.
+
+    Documents that cannot be read are not merged. In a snapshot table their text and file go to ``_unreadable`` below
+    it; with a catalog they stay in the raw folder, and their number is returned.
+    """
+    counted, raw_rows = counted_in_passing(raw, "raw", {"unreadable": F.count_if(F.col(UNREADABLE).isNotNull())})
+    batch, batch_rows = counted_in_passing(clean(readable(counted)), "batch", measures)
+    with staged(batch) as batch:
+        found = {"unreadable": raw_rows.get["unreadable"]} | {name: batch_rows.get[name] for name in measures}
+        if in_catalog:
+            merge_into_table(batch, table, keys, update_when, provider)
+            version, found["table_rows"] = None, spark.table(table).count()
+        else:
+            if found["unreadable"]:
+                unreadable(raw).write.mode("append").parquet(f"{table.rstrip('/')}/_unreadable")
+            version, found["table_rows"] = upsert_snapshot(spark, table, batch, keys, update_when)
+    return Ingested(version, raw_rows.get["row_count"] - found["unreadable"], batch_rows.get["row_count"], found)
+
+
+def _missing(column: str) -> Column:
+    return F.count_if(F.col(column).isNull())
 
 
 def ingest_webhooks(
-    spark: SparkSession, raw_path: str, table: str, in_catalog: bool = False, as_of: datetime | None = None
+    spark: SparkSession,
+    raw_path: str,
+    table: str,
+    in_catalog: bool = False,
+    as_of: datetime | None = None,
+    modified_after: datetime | None = None,
+    provider: str | None = None,
 ) -> Ingested:
     """Merge the newest delivery of every key into the webhook table.
 
     ``table`` is the folder of a snapshot table or, ``in_catalog``, the name of a table that supports
-    MERGE INTO: the way for large tables, as a snapshot is rewritten on every run.
+    MERGE INTO: the way for large tables, as a snapshot is rewritten on every run. With ``modified_after``, only files
+    changed later are read.
     """
     configure(spark)
-    raw = read_webhooks(spark, raw_path)
-    return _ingest(spark, raw, lambda df: silver.silver_webhooks(df, as_of), table, in_catalog, silver.WEBHOOK_KEYS)
+    raw = read_webhooks(spark, raw_path, modified_after=modified_after)
+    clean = lambda df: silver.silver_webhooks(df, as_of)
+    measures = {"no_date": _missing("webhook_created_at"), "no_event_type": _missing("event_type_code")}
+    return _ingest(spark, raw, clean, measures, table, in_catalog, silver.WEBHOOK_KEYS, None, provider)
 
 
 def ingest_spend(
@@ -71,12 +100,19 @@ def ingest_spend(
     codes: Mapping[str, str] = settings.CHANNEL_CODES,
     in_catalog: bool = False,
     as_of: datetime | None = None,
+    modified_after: datetime | None = None,
+    provider: str | None = None,
 ) -> Ingested:
     """Merge the newest spend of every day and channel into the spend table, where it changed."""
     configure(spark)
-    raw, keys = read_spend(spark, raw_path), silver.SPEND_KEYS
+    raw, keys = read_spend(spark, raw_path, modified_after=modified_after), silver.SPEND_KEYS
     clean = lambda df: silver.silver_spend(df, codes, as_of)
-    return _ingest(spark, raw, clean, table, in_catalog, keys, silver.spend_changed)
+    measures = {
+        "no_date": _missing("spend_date"),
+        "no_amount": _missing("spend"),
+        "no_event_type": F.count_if(F.col("event_type_code") == settings.UNKNOWN),
+    }
+    return _ingest(spark, raw, clean, measures, table, in_catalog, keys, silver.spend_changed, provider)
 
 
 def rebuild_marts(
@@ -85,20 +121,24 @@ def rebuild_marts(
     spend_table: str,
     marts_path: str,
     exports_path: str,
-    cutoff: date | None = settings.SPEND_CUTOFF,
+    cutoff: date | None = None,
     in_catalog: bool = False,
     as_of: datetime | None = None,
+    keyed: bool | None = None,
 ) -> dict[str, int]:
     """Rebuild every mart from the current tables and export it for the dashboard; returns their rows.
 
-    The tables are those the jobs above keep, with one row per key.
+    ``keyed`` says that both tables have one row per key, as the jobs above keep them; repeats are then not looked for.
+    By default that is checked, by counting keys only. All spend is used unless there is a cutoff.
     """
     configure(spark)
     current = spark.table if in_catalog else partial(load_snapshot, spark)
     webhooks, spend = current(webhooks_table), current(spend_table)
+    if keyed is None:
+        keyed = is_keyed(webhooks, silver.WEBHOOK_KEYS) and is_keyed(spend, silver.SPEND_KEYS)
     return {
         name: publish_mart(mart, f"{marts_path.rstrip('/')}/{name}", f"{exports_path.rstrip('/')}/{name}")
-        for name, mart in marts.build_marts(webhooks, spend, cutoff, as_of, keyed=True).items()
+        for name, mart in marts.build_marts(webhooks, spend, cutoff, as_of, keyed=keyed).items()
     }
 
 

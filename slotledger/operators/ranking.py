@@ -20,46 +20,47 @@ def top_one(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     return preview(df, order, 1)
 
 
-def _step(key: Column) -> Column:
-    """Coarse order of a number: eight steps per doubling, so a double has under 20,000 of them."""
-    return F.floor(F.signum(key) * F.log2(1 + F.abs(key)) * 8)
+BUCKETS = 64
 
 
 def dense_ranks(df: DataFrame, ranks: Mapping[str, Column]) -> DataFrame:
     """Dense rank columns, one per named number: the least is first, NULL shares the last place.
 
-    One task ranks the whole table, so this is for summaries as long as a report: one row per channel.
-    Sorting spills, so a long table only takes longer; ``dense_ranks_spread`` ranks it over all tasks.
+    The distinct values of all ranks form one table, each value in a field of its own type. They are dealt into buckets
+    of about equal count by approximate quantiles, a short array for each rank from a scalar subquery. The quantiles
+    only divide the work: values are ranked inside their bucket, which starts after the buckets below it, so ranks are
+    exact and no task sorts everything. They go back to the rows by value, so equal rows stay as many as they were; a
+    value that very many rows share is a skewed join key, which adaptive execution splits.
     """
-    places = {name: F.dense_rank().over(Window.orderBy(key.asc_nulls_last())) for name, key in ranks.items()}
-    return df.withColumns(places)
-
-
-def dense_ranks_spread(df: DataFrame, ranks: Mapping[str, Column]) -> DataFrame:
-    """The same ranks for a table of any length with distinct rows.
-
-    Distinct values are ranked within coarse steps of their size, and each step starts after the
-    values of the steps below it. Only the counts of the steps are broadcast, and their number is
-    bounded. A value that very many rows share is one value here, and a skewed join key that adaptive
-    execution splits when the ranks go back to the rows.
-    """
-    keys = [
-        F.struct(F.lit(name).alias("_rank"), F.coalesce(key.cast("double"), F.lit(float("inf"))).alias("_key"))
-        for name, key in ranks.items()
-    ]
-    each = df.select("*", F.inline(F.array(*keys)))
-    values = each.select("_rank", "_key").distinct().withColumn("_step", _step(F.col("_key")))
-
-    steps = values.groupBy("_rank", "_step").agg(F.count(F.lit(1)).alias("_values"))
-    below = Window.partitionBy("_rank").orderBy("_step").rowsBetween(Window.unboundedPreceding, -1)
-    starts = steps.select("_rank", "_step", F.coalesce(F.sum("_values").over(below), F.lit(0)).alias("_start"))
-
-    within = F.row_number().over(Window.partitionBy("_rank", "_step").orderBy("_key"))
-    places = values.withColumn("_within", within).join(F.broadcast(starts), ["_rank", "_step"])
-    places = places.select("_rank", "_key", (F.col("_start") + F.col("_within")).cast("int").alias("_place"))
-
-    ranked = each.join(places, ["_rank", "_key"]).groupBy(*df.columns)
-    return ranked.agg(*[F.max(F.when(F.col("_rank") == name, F.col("_place"))).alias(name) for name in ranks])
+    kinds = [df.select(key).schema[0].dataType for key in ranks.values()]
+
+    def identity(i: int, key: Column) -> Column:
+        fields = [(key if j == i else F.lit(None)).cast(kind).alias(f"k{j}") for j, kind in enumerate(kinds)]
+        return F.struct(F.lit(i).alias("rank"), key.isNull().alias("missing"), *fields)
+
+    identities = [identity(i, key) for i, key in enumerate(ranks.values())]
+    values = df.select(F.explode(F.array(*identities)).alias("_key")).distinct()
+    size = F.coalesce(*[F.col(f"_key.k{j}").cast("double") for j in range(len(kinds))])
+    parts = [i / BUCKETS for i in range(1, BUCKETS)]
+    quantiles = values.groupBy("_key.rank").agg(F.percentile_approx(size, parts, 1000).alias("bounds"))
+    bounds = quantiles.agg(F.map_from_entries(F.collect_list(F.struct("rank", "bounds"))).alias("_bounds")).scalar()
+    lower = F.filter(F.element_at("_bounds", F.col("_key.rank")), lambda b: b < size)
+    bucket = F.when(F.col("_key.missing"), BUCKETS).otherwise(F.size(lower))
+    placed = values.withColumn("_bounds", bounds).select("_key", "_key.rank", bucket.alias("_bucket"))
+    sizes = placed.groupBy("rank", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    below = Window.partitionBy("rank").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("rank", "_bucket", F.coalesce(F.sum("_n").over(below), F.lit(0)).alias("_start"))
+    within = F.row_number().over(Window.partitionBy("rank", "_bucket").orderBy("_key"))
+    places = placed.withColumn("_within", within).join(starts, ["rank", "_bucket"])
+    places = places.select("_key", (F.col("_start") + F.col("_within")).cast("int").alias("_place"))
+    out, names = df, list(df.columns)
+    for own, name in zip(identities, ranks, strict=True):  # the same table each time, so its shuffle is reused
+        out = out.join(places, own == F.col("_key"), "left").select(*names, F.col("_place").alias(name))
+        names.append(name)
+    return out
+
+
+dense_ranks_spread = dense_ranks  # its name before it became the only way
 
 
 def unpivot_metrics(df: DataFrame, by: str, labels: Mapping[str, str] = settings.METRIC_LABELS) -> DataFrame:
@@ -77,8 +78,7 @@ def minmax_score(df: DataFrame, by: str, value: str, name: str, inverted: Sequen
     """Place of each value between its group's least and greatest, 0 to 1.
 
     A group without spread scores the neutral value throughout; groups in ``inverted`` count down.
-    ``by`` is the metric column of an unpivoted table, so the bounds are one row per metric: a number
-    of rows fixed by the query's text, which makes the broadcast safe at any table size.
+    Rows without a group form one of their own. The bounds are joined as Spark's measured sizes suggest.
     """
     bounds = df.groupBy(by).agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
     spread = F.col("_high") - F.col("_low")
@@ -86,4 +86,5 @@ def minmax_score(df: DataFrame, by: str, value: str, name: str, inverted: Sequen
     score = F.when(flat, F.lit(settings.NEUTRAL_SCORE)).otherwise((F.col(value) - F.col("_low")) / spread)
     if inverted:
         score = F.when(F.col(by).isin(list(inverted)), 1 - score).otherwise(score)
-    return df.join(F.broadcast(bounds), by).withColumn(name, score).drop("_low", "_high")
+    bounds = bounds.withColumnRenamed(by, "_by")
+    return df.join(bounds, F.col(by).eqNullSafe(F.col("_by")), "left").withColumn(name, score).drop("_by", "_low", "_high")

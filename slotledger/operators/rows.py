@@ -30,10 +30,10 @@ def since(df: DataFrame, column: str, day: date) -> DataFrame:
 
 
 def in_period(df: DataFrame, column: str, start: date | None, end: date | None) -> DataFrame:
-    """Rows of an inclusive period; both ends are needed, else nothing is restricted."""
-    if start is None or end is None:
-        return df
-    return df.filter(F.col(column).between(F.lit(start), F.lit(end)))
+    """Rows of an inclusive period; an end that is not given is open."""
+    if start is not None:
+        df = df.filter(F.col(column) >= F.lit(start))
+    return df if end is None else df.filter(F.col(column) <= F.lit(end))
 
 
 def in_channels(

@@ -52,3 +52,8 @@ def upsert(
     held = old.join(new, matched & ~replaces, "left_semi").select(*keys).alias("h")
     lost = reduce(Column.__and__, [b(k) == F.col(f"h.{k}") for k in keys])
     return untouched.unionByName(new.join(held, lost, "left_anti"))
+
+
+def is_keyed(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether no two rows share their keys. Only keys are shuffled, counted in the tasks first."""
+    return df.groupBy(*keys).count().filter("count > 1").isEmpty()

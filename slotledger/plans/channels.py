@@ -19,6 +19,7 @@ Ranker = Callable[[DataFrame, Mapping[str, Column]], DataFrame]
 _LABEL = "channel_display"
 _BOOKED = ("performance_date", "channel", "bookings_count")
 
+# Headings that readers of the reports rely on.
 COLUMN_LABELS = {
     "performance_date": "Date",
     "channel_display": "Channel",
@@ -26,6 +27,7 @@ COLUMN_LABELS = {
     "marketing_spend": "Spend",
     "cost_per_booking": "Cost Per Booking",
 }
+# Headings that readers of the reports rely on.
 LEADERBOARD_LABELS = {"overall_rank": "Rank"} | COLUMN_LABELS
 LEADERBOARD_DETAIL_LABELS = COLUMN_LABELS | {
     "booking_rank": "Booking Rank",
@@ -156,10 +158,7 @@ def composite_rank(ranked: DataFrame, rank: Ranker = dense_ranks) -> DataFrame:
 
 
 def channel_leaderboard(daily: DataFrame, rank: Ranker = dense_ranks) -> DataFrame:
-    """Every channel with its ranks. Order by ``leaderboard_order()`` to show.
-
-    Pass ``dense_ranks_spread`` where channels are too many for a list that somebody reads.
-    """
+    """Every channel with its ranks. Order by ``leaderboard_order()`` to show."""
     ranks = {
         "booking_rank": -F.col("bookings_count"),
         "spend_rank": -F.col("marketing_spend"),

@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from slotledger import settings
 from slotledger.functions import dates, numbers, rules
 from slotledger.operators.combine import attach_channel, channel_mapping, full_outer_coalesce
 from slotledger.operators.rows import require_not_null, since, with_load_stamp
@@ -52,8 +51,8 @@ def spend_daily(spend: DataFrame) -> DataFrame:
     )
 
 
-def distinct_spend(spend: DataFrame, cutoff: date | None = settings.SPEND_CUTOFF, keyed: bool = False) -> DataFrame:
-    """Spend from the cutoff on, exact copies of a row once."""
+def distinct_spend(spend: DataFrame, cutoff: date | None = None, keyed: bool = False) -> DataFrame:
+    """Exact copies of a spend row once; with a cutoff, only spend from that day on."""
     recent = spend if cutoff is None else since(spend, "spend_date", cutoff)
     return recent if keyed else recent.distinct()
 
@@ -61,7 +60,7 @@ def distinct_spend(spend: DataFrame, cutoff: date | None = settings.SPEND_CUTOFF
 def daily_channel_performance(
     webhooks: DataFrame,
     spend: DataFrame,
-    cutoff: date | None = settings.SPEND_CUTOFF,
+    cutoff: date | None = None,
     event_types: Sequence[str] | None = None,
     booked_at: str = BOOKED_AT,
     keyed: bool = False,
@@ -69,7 +68,8 @@ def daily_channel_performance(
     """Bookings beside spend per day and channel, with days that have only one of them.
 
     Channels that share an event type each show all of its bookings; bookings without spend have
-    no channel. Give ``spend`` the current version of the table, not its superseded files.
+    no channel. All spend counts unless a cutoff is asked for; bookings before it then stand without cost.
+    Give ``spend`` the current version of the table, not its superseded files.
     """
     booked = bookings_daily(webhooks, event_types, booked_at).withColumnRenamed("booking_date", "performance_date")
     spent = spend_daily(distinct_spend(spend, cutoff, keyed)).withColumnRenamed("spend_date", "performance_date")
@@ -193,7 +193,7 @@ def employee_meeting_load(
 def build_marts(
     webhooks: DataFrame,
     spend: DataFrame,
-    cutoff: date | None = settings.SPEND_CUTOFF,
+    cutoff: date | None = None,
     as_of: datetime | None = None,
     keyed: bool = False,
 ) -> dict[str, DataFrame]:

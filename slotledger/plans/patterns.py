@@ -18,6 +18,7 @@ _LABELS = {
     "time_slot": ("time_slot_display", text.display_slot),
 }
 
+# Headings that readers of the reports rely on.
 PATTERN_LABELS = {
     "booking_date": "Booking Date",
     "day_of_week_name": "Day",

@@ -15,6 +15,7 @@ from slotledger.settings import TRAILING_ROWS
 
 _DAY, _LABEL, _COUNT, _MEAN = "performance_date", "channel_display", "bookings_count", "bookings_7_day_avg"
 
+# Headings that readers of the reports rely on.
 TREND_LABELS = {
     "performance_date": "Date",
     "channel_display": "Channel",

@@ -12,6 +12,7 @@ from slotledger.operators.ranking import top_one
 from slotledger.operators.rows import drop_missing, present
 from slotledger.schemas import require_columns
 
+# Headings that readers of the reports rely on.
 LOAD_LABELS = {
     "user_email": "Employee",
     "week_start_date": "Week Starting",
@@ -26,6 +27,11 @@ LOAD_LABELS = {
 }
 
 
+# Columns that a report shows if the table has them, read as leniently as the required ones.
+OPTIONAL_NUMBERS = ("total_meetings", "number_of_weeks", "avg_meetings_per_week", "max_meetings_in_week")
+OPTIONAL_DATES = ("first_booking_date_in_week", "last_booking_date_in_week")
+
+
 def valid_load(load: DataFrame) -> DataFrame:
     """Typed rows that have a week, with one spelling per employee."""
     require_columns(load, schemas.MEETING_LOAD, "meeting load report")
@@ -35,6 +41,8 @@ def valid_load(load: DataFrame) -> DataFrame:
             "week_start_date": dates.to_day(F.col("week_start_date")),
             "weekly_meetings": numbers.numeric_or_zero(load, "weekly_meetings"),
         }
+        | {c: numbers.numeric(load, c) for c in OPTIONAL_NUMBERS if c in load.columns}
+        | {c: dates.to_day(F.col(c)) for c in OPTIONAL_DATES if c in load.columns}
     )
     return drop_missing(typed, "week_start_date")
 

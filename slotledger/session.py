@@ -20,7 +20,10 @@ BUILD_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Pin the zone to UTC, so a booking day is the same for every reader, and keep AQE on."""
+    """Pin the zone to UTC, so a booking day is the same for every reader, and keep AQE on.
+
+    Jobs and queries call this, so it changes these settings of the session it is given, for good.
+    """
     for name, value in RUNTIME_SETTINGS.items():
         spark.conf.set(name, value)
     return spark

@@ -13,7 +13,7 @@ KEY_SEPARATOR = "||"
 CREATED_AT_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSX"
 DAY_PATTERN = "yyyy-MM-dd"
 PAID_ADS_SUFFIX = "_paid_ads"
-SPEND_CUTOFF = date(2026, 6, 9)
+SPEND_CUTOFF = date(2026, 6, 9)  # used only where a caller asks for it
 CHANNEL_CODES = {
     "facebook_paid_ads": "d639ecd3-8718-4068-955a-436b10d72c78",
     "youtube_paid_ads": "dbb4ec50-38cd-4bcd-bbff-efb7b5a6f098",

@@ -2,26 +2,31 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from slotledger.sources.tables import remove_folder
+
 _SETTING = "spark.checkpoint.dir"
 
 
 def staging_folder(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where everything runs on this machine."""
+    """The shared folder that the cluster names."""
     shared = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
-    if shared:
-        return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not shared:
         raise ValueError(f"set {_SETTING} to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="slotledger-")
-
-
-def stored(df: DataFrame) -> DataFrame:
-    """The same rows, read from files: computed once, and still there when executors are lost."""
-    path = f"{staging_folder(df.sparkSession)}/slotledger-{uuid.uuid4()}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return shared.rstrip("/")
+
+
+@contextmanager
+def staged(df: DataFrame) -> Iterator[DataFrame]:
+    """The same rows, read from files: computed once, and still there when executors are lost; removed at the end."""
+    spark, path = df.sparkSession, f"{staging_folder(df.sparkSession)}/slotledger-{uuid.uuid4()}"
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        remove_folder(spark, path)

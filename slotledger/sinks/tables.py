@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from slotledger.operators.audit import counted_in_passing
 from slotledger.operators.versions import Side, upsert
-from slotledger.sources.tables import latest_snapshot, load_snapshot, load_table, snapshot_path
+from slotledger.sources.tables import commit_snapshot, has_data, latest_snapshot, load_table, new_snapshot_path, snapshot_path
+
+FILE_FORMATS = ("parquet", "orc", "csv", "json", "text", "avro", "xml", "binaryfile", "hive")
 
 
 def write_table(
@@ -49,15 +51,21 @@ def publish_mart(df: DataFrame, table_path: str, export_path: str, fmt: str = "p
     return rows.get["row_count"]
 
 
-def write_snapshot(df: DataFrame, root: str) -> int:
-    """Write the next version of a table beside the one being read.
+def write_snapshot(df: DataFrame, root: str, newest: int | None = None) -> int:
+    """Write the version after ``newest`` (the one the rows were made from) beside it, and commit it by a record.
 
-    Readers take the newest version with Spark's own completion marker, so a job that dies half way
-    leaves the table as it was and can simply run again.
+    The data goes to a folder of its own, and only one writer can create a version's record. A job that dies half way,
+    or a second writer of the same version, leaves the table as it was; the second one fails and can run again. A first
+    version is refused where other data lies.
     """
-    newest = latest_snapshot(df.sparkSession, root)
-    number = 0 if newest is None else newest + 1
-    df.write.mode("overwrite").parquet(snapshot_path(root, number))
+    spark = df.sparkSession
+    if newest is None and latest_snapshot(spark, root) is not None:
+        raise FileExistsError(f"{root} has versions already")
+    if newest is None and has_data(spark, root):
+        raise FileExistsError(f"{root} holds data that is not a committed version; it would be hidden by a first one")
+    number, path = 0 if newest is None else newest + 1, new_snapshot_path(root)
+    df.write.mode("errorifexists").parquet(path)
+    commit_snapshot(spark, root, number, path)
     return number
 
 
@@ -67,11 +75,28 @@ def upsert_snapshot(
     batch: DataFrame,
     keys: Sequence[str],
     update_when: Callable[[Side, Side], Column] | None = None,
-) -> int:
-    """Create the table from the batch, or merge the batch into its current version."""
-    if latest_snapshot(spark, root) is None:
-        return write_snapshot(batch, root)
-    return write_snapshot(upsert(load_snapshot(spark, root), batch, keys, update_when), root)
+) -> tuple[int, int]:
+    """Create the table from the batch, or merge the batch into its current version.
+
+    Returns the version and its number of rows, counted while they are written. Each version is a full copy: for large
+    tables, use a catalog table with row-level changes.
+    """
+    newest = latest_snapshot(spark, root)
+    rows = batch if newest is None else upsert(spark.read.parquet(snapshot_path(spark, root, newest)), batch, keys, update_when)
+    counted, count = counted_in_passing(rows, root)
+    return write_snapshot(counted, root, newest), count.get["row_count"]
+
+
+def _can_merge(spark: SparkSession, table: str, provider: str | None) -> bool:
+    """Whether a table that would be created now could take MERGE: plain files cannot, table formats and catalogs can."""
+    parts = table.split(".")
+    own_catalog = len(parts) > 2 or (len(parts) == 2 and spark.conf.get(f"spark.sql.catalog.{parts[0]}", None) is not None)
+    replaced = spark.conf.get("spark.sql.catalog.spark_catalog", None) is not None
+    if provider is None:
+        if own_catalog or replaced:
+            return True
+        provider = spark.conf.get("spark.sql.sources.default")
+    return provider.lower() not in FILE_FORMATS
 
 
 def merge_into_table(
@@ -79,13 +104,19 @@ def merge_into_table(
     table: str,
     keys: Sequence[str],
     update_when: Callable[[Side, Side], Column] | None = None,
+    provider: str | None = None,
 ) -> None:
     """The same merge by MERGE INTO, for catalogs with row-level changes, which rewrite only touched files.
 
-    The first batch creates the table.
+    The first batch creates the table, with ``provider`` or the catalog's own format; a format that could not take the
+    second batch is refused before anything is created.
     """
-    if not batch.sparkSession.catalog.tableExists(table):
-        batch.writeTo(table).create()
+    spark = batch.sparkSession
+    if not spark.catalog.tableExists(table):
+        if not _can_merge(spark, table, provider):
+            raise ValueError(f"{table} would be a table of plain files, which cannot take MERGE; name a provider or catalog that can")
+        writer = batch.writeTo(table)
+        (writer.using(provider) if provider else writer).create()
         return
     t: Side = lambda name: F.col(f"{table}.{name}")
     b: Side = lambda name: F.col(f"batch.{name}")

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import datetime
+
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from slotledger import schemas
 
+UNREADABLE = "unreadable_text"
+
 
 def with_lineage(df: DataFrame) -> DataFrame:
     """Path and modification time of the file each row came from."""
@@ -17,11 +21,27 @@ def with_lineage(df: DataFrame) -> DataFrame:
     )
 
 
+def _json(spark: SparkSession, schema: str, modified_after: datetime | None) -> DataFrameReader:
+    """Documents of a declared shape; what cannot be read as one is kept as text in ``unreadable_text``."""
+    reader = spark.read.schema(f"{schema}, {UNREADABLE} string").option("multiLine", True).option("columnNameOfCorruptRecord", UNREADABLE)
+    # the reader compares in the session's zone, as it is written here
+    return reader.option("modifiedAfter", modified_after.strftime("%Y-%m-%dT%H:%M:%S")) if modified_after else reader
+
+
 def read_webhooks(
-    spark: SparkSession, path: str | list[str], schema: str = schemas.RAW_WEBHOOK, recursive: bool = True
+    spark: SparkSession,
+    path: str | list[str],
+    schema: str = schemas.RAW_WEBHOOK,
+    recursive: bool = True,
+    modified_after: datetime | None = None,
 ) -> DataFrame:
-    """Booking webhooks, one JSON document per file, from a folder tree or from ``*.json`` of one folder."""
-    reader = spark.read.schema(schema).option("multiLine", True)
+    """Booking webhooks, one JSON document per file, from a folder tree or from ``*.json`` of one folder.
+
+    With ``modified_after`` (session zone, whole seconds), only files changed later are read: the way not to parse the
+    whole history on every run. By default everything is read. Unreadable documents are rows of their own; see
+    ``readable`` and ``unreadable``.
+    """
+    reader = _json(spark, schema, modified_after)
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
     else:
@@ -29,6 +49,18 @@ def read_webhooks(
     return with_lineage(reader.json(path))
 
 
-def read_spend(spark: SparkSession, path: str | list[str], schema: str = schemas.RAW_SPEND) -> DataFrame:
-    """Spend snapshots: each file is a JSON array, each element a row."""
-    return with_lineage(spark.read.schema(schema).option("multiLine", True).json(path))
+def read_spend(
+    spark: SparkSession, path: str | list[str], schema: str = schemas.RAW_SPEND, modified_after: datetime | None = None
+) -> DataFrame:
+    """Spend snapshots: each file is a JSON array, each element a row. ``modified_after`` as for webhooks."""
+    return with_lineage(_json(spark, schema, modified_after).json(path))
+
+
+def readable(raw: DataFrame) -> DataFrame:
+    """The documents that have the declared shape."""
+    return raw.filter(F.col(UNREADABLE).isNull()).drop(UNREADABLE)
+
+
+def unreadable(raw: DataFrame) -> DataFrame:
+    """The other documents as text, with whatever could be read of them and the files they came from."""
+    return raw.filter(F.col(UNREADABLE).isNotNull())

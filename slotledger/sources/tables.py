@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+
 from py4j.java_gateway import JavaObject
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,11 +19,14 @@ MART_CLEANING = {
     "load": ("week_start_date", ("user_email",)),
 }
 _SNAPSHOT = "snapshot="
-_COMMITTED = "_SUCCESS"
+_VERSIONS = "_versions"
 
 
 def _hadoop_path(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
-    """The path and the file system it lives on, whatever its scheme."""
+    """The path and the file system it lives on, whatever its scheme.
+
+    The only use of the session's private handles; so tables in folders need a classic session, not Spark Connect.
+    """
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
 
@@ -32,28 +38,73 @@ def load_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: str
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """True once a write to the path, or a snapshot below it, has been completed."""
-    target, fs = _hadoop_path(spark, f"{path.rstrip('/')}/{_COMMITTED}")
-    return fs.exists(target) or latest_snapshot(spark, path) is not None
+    """True if the path holds a committed version, or data files of a plain table; no success marker is needed."""
+    return latest_snapshot(spark, path) is not None or has_data(spark, path)
+
+
+def has_data(spark: SparkSession, path: str) -> bool:
+    """Whether there are data files below the path, other than hidden ones and those of snapshots."""
+    target, fs = _hadoop_path(spark, path)
+    if not fs.exists(target):
+        return False
+    skipped = ("_", ".", _SNAPSHOT)
+    depth, files = len(fs.makeQualified(target).toString().rstrip("/")) + 1, fs.listFiles(target, True)
+    while files.hasNext():
+        inside = files.next().getPath().toString()[depth:]
+        if not any(part.startswith(skipped) for part in inside.split("/")):
+            return True
+    return False
 
 
 def latest_snapshot(spark: SparkSession, root: str) -> int | None:
-    """Number of the newest completed snapshot below ``root``; unfinished ones are passed over."""
-    target, fs = _hadoop_path(spark, f"{root.rstrip('/')}/{_SNAPSHOT}*/{_COMMITTED}")
-    found = fs.globStatus(target) or []
-    return max((int(f.getPath().getParent().getName()[len(_SNAPSHOT) :]) for f in found), default=None)
+    """Number of the newest committed version below ``root``; uncommitted data is passed over."""
+    target, fs = _hadoop_path(spark, f"{root.rstrip('/')}/{_VERSIONS}/*")
+    return max((int(f.getPath().getName()) for f in fs.globStatus(target) or [] if f.getPath().getName().isdigit()), default=None)
+
+
+def new_snapshot_path(root: str) -> str:
+    """A folder that no other writer uses."""
+    return f"{root.rstrip('/')}/{_SNAPSHOT}{uuid.uuid4().hex}"
+
+
+def snapshot_path(spark: SparkSession, root: str, number: int) -> str:
+    """The folder that a version's record names."""
+    target, fs = _hadoop_path(spark, f"{root.rstrip('/')}/{_VERSIONS}/{number}")
+    stream = fs.open(target)
+    try:
+        folder = bytearray()
+        while (byte := stream.read()) >= 0:
+            folder.append(byte)
+    finally:
+        stream.close()
+    return f"{root.rstrip('/')}/{folder.decode()}"
+
+
+def commit_snapshot(spark: SparkSession, root: str, number: int, path: str) -> None:
+    """Make a written folder version ``number``, by a record that is created only if there is none yet."""
+    target, fs = _hadoop_path(spark, f"{root.rstrip('/')}/{_VERSIONS}/{number}")
+    try:
+        stream = fs.create(target, False)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in str(error.java_exception.getClass().getName()) or fs.exists(target):
+            raise FileExistsError(f"another writer has committed version {number} of {root}; its data and this folder stay: {path}") from error
+        raise
+    stream.write(bytearray(path.rsplit("/", 1)[1].encode()))
+    stream.close()
 
 
-def snapshot_path(root: str, number: int) -> str:
-    return f"{root.rstrip('/')}/{_SNAPSHOT}{number}"
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete exactly this folder."""
+    target, fs = _hadoop_path(spark, path)
+    fs.delete(target, True)
 
 
 def load_snapshot(spark: SparkSession, root: str) -> DataFrame:
     """Current version of a snapshot table, and only that one."""
     number = latest_snapshot(spark, root)
     if number is None:
-        raise FileNotFoundError(f"no completed snapshot below {root}")
-    return spark.read.parquet(snapshot_path(root, number))
+        raise FileNotFoundError(f"no committed snapshot below {root}")
+    return spark.read.parquet(snapshot_path(spark, root, number))
 
 
 def clean_mart(df: DataFrame, kind: str) -> DataFrame:

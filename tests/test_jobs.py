@@ -1,10 +1,10 @@
 """Raw files to reports, the way a user runs it."""
 
-from datetime import date, datetime
+import os
+from datetime import date, datetime, timezone
 from decimal import Decimal
 
 import pytest
-from pyspark.errors import UnsupportedOperationException
 
 from slotledger import jobs
 from slotledger.plans import channels, dashboard, marts, patterns, reports, workload
@@ -58,14 +58,66 @@ def test_from_files_to_reports(spark, webhook_dir, spend_dir, paths):  # noqa: F
 
 
 def test_catalog_tables(spark, webhook_dir, spend_dir, paths):  # noqa: F811
-    """The first batch creates the tables. The installed catalog cannot MERGE and says so."""
-    jobs.ingest_spend(spark, spend_dir, "spend_t", in_catalog=True, as_of=NOW)
-    found = jobs.ingest_webhooks(spark, webhook_dir, "webhooks_t", in_catalog=True, as_of=NOW)
-    assert found == jobs.Ingested(None, raw_rows=5, batch_rows=4)
-    folders = ["webhooks_t", "spend_t", paths["marts"], paths["exports"]]
+    """The installed catalog cannot MERGE, so the first run refuses before it creates anything."""
+    for ingest, name, path in ((jobs.ingest_spend, "spend_t", spend_dir), (jobs.ingest_webhooks, "webhooks_t", webhook_dir)):
+        with pytest.raises(ValueError, match="cannot take MERGE"):
+            ingest(spark, path, name, in_catalog=True, as_of=NOW)
+        with pytest.raises(ValueError, match="cannot take MERGE"):
+            ingest(spark, path, name, in_catalog=True, as_of=NOW, provider="orc")
+        assert not spark.catalog.tableExists(name)
+    # tables that exist can be read by the marts
+    jobs.ingest_webhooks(spark, webhook_dir, paths["silver_webhooks"], as_of=NOW)
+    jobs.ingest_spend(spark, spend_dir, paths["silver_spend"], as_of=NOW)
+    for name in ("silver_webhooks", "silver_spend"):
+        load_snapshot(spark, paths[name]).write.mode("overwrite").saveAsTable(f"{name}_t")
+    folders = ["silver_webhooks_t", "silver_spend_t", paths["marts"], paths["exports"]]
     assert jobs.rebuild_marts(spark, *folders, in_catalog=True, as_of=NOW)["patterns"] == 3
-    with pytest.raises(UnsupportedOperationException, match="MERGE INTO"):
-        jobs.ingest_spend(spark, spend_dir, "spend_t", in_catalog=True, as_of=NOW)
+
+
+def test_marts_keep_all_spend_unless_a_cutoff_is_given(spark, webhook_dir, tmp_path, paths):  # noqa: F811
+    folder = tmp_path / "old_spend"
+    folder.mkdir()
+    (folder / "a.json").write_text('[{"date": "2020-01-01", "channel": "tiktok_paid_ads", "spend": 5}]')
+    jobs.ingest_webhooks(spark, webhook_dir, paths["silver_webhooks"], as_of=NOW)
+    jobs.ingest_spend(spark, str(folder), paths["silver_spend"], as_of=NOW)
+    folders = [paths[name] for name in ("silver_webhooks", "silver_spend", "marts", "exports")]
+    jobs.rebuild_marts(spark, *folders)
+    days = load_table(spark, f"{paths['marts']}/daily").select("performance_date", "marketing_spend")
+    assert (date(2020, 1, 1), Decimal("5.00")) in rows(days)
+    jobs.rebuild_marts(spark, *folders, cutoff=date(2021, 1, 1))
+    days = load_table(spark, f"{paths['marts']}/daily").select("performance_date", "marketing_spend")
+    assert date(2020, 1, 1) not in [r[0] for r in rows(days)]
+
+
+def test_unreadable_documents_are_kept_apart_and_counted(spark, tmp_path, paths):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    (folder / "good.json").write_text(
+        '[{"date": "2026-06-10", "channel": "tiktok_paid_ads", "spend": "x"}, {"date": "bad", "channel": "new", "spend": 1}]'
+    )
+    for i in range(3):
+        (folder / f"bad{i}.json").write_text("{ not json %d" % i)
+    found = jobs.ingest_spend(spark, str(folder), paths["silver_spend"])
+    assert (found.raw_rows, found.batch_rows) == (2, 2)
+    assert found.counts == {"unreadable": 3, "no_date": 1, "no_amount": 1, "no_event_type": 1, "table_rows": 2}
+    kept = spark.read.parquet(f"{paths['silver_spend']}/_unreadable").collect()
+    assert sorted(r["raw_file_path"][-9:] for r in kept) == ["bad0.json", "bad1.json", "bad2.json"]
+    assert all(r["unreadable_text"].startswith("{ not json") for r in kept)
+    assert load_snapshot(spark, paths["silver_spend"]).filter("spend_date IS NULL AND channel IS NULL").count() == 0
+
+
+def test_only_files_changed_since_are_read(spark, tmp_path, paths):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    for i, day in enumerate(("2026-06-01", "2026-06-02")):
+        file = folder / f"{i}.json"
+        file.write_text('[{"date": "%s", "channel": "a", "spend": 1}]' % day)
+        os.utime(file, (1_780_000_000 + 86_400 * i,) * 2)
+    since = datetime.fromtimestamp(1_780_000_000 + 3_600, timezone.utc).replace(tzinfo=None)
+    found = jobs.ingest_spend(spark, str(folder), paths["silver_spend"], modified_after=since)
+    assert found.raw_rows == 1
+    assert [r["spend_date"] for r in load_snapshot(spark, paths["silver_spend"]).collect()] == [date(2026, 6, 2)]
+    assert jobs.ingest_spend(spark, str(folder), paths["silver_spend"]).counts["table_rows"] == 2
 
 
 def test_keyed_tables_give_the_same_marts_without_shuffling_rows(spark, webhook_dir, spend_dir, paths):  # noqa: F811
@@ -91,12 +143,12 @@ def test_another_booking_time_can_be_asked_for(spark, webhook_dir, paths):  # no
     assert rows(found) == [(date(2026, 7, 1), "ET1", 2), (date(2026, 7, 1), "ET2", 1)]
 
 
-def test_staging_uses_the_folder_the_session_names(spark):
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    folder = staging.staging_folder(spark)
-    assert folder == named.rstrip("/") if named else "slotledger-" in folder
-    kept = staging.stored(spark.range(5))
-    assert kept.count() == 5 and "/slotledger-" in kept.inputFiles()[0]
+def test_staged_rows_are_removed_after_use(spark):
+    with staging.staged(spark.range(5)) as kept:
+        path = kept.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+        assert kept.count() == 5 and path.startswith(staging.staging_folder(spark).removeprefix("file://"))
+        assert os.path.exists(path)
+    assert not os.path.exists(path)
 
 
 def test_no_machine_local_folder_on_a_cluster():

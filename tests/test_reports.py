@@ -1,5 +1,6 @@
 """Marts and reports against hand-made cases and brute-force pandas."""
 
+import re
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
@@ -8,12 +9,14 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from slotledger.operators import calendar, ranking, rows as row_ops
 from slotledger.operators.combine import channel_mapping
+from slotledger.operators.rows import in_period
 from slotledger.plans import channels, dashboard, marts, patterns, trends, workload
 from slotledger.schemas import MissingColumnsError
-from slotledger.settings import Selection
+from slotledger.settings import SPEND_CUTOFF, Selection
 from slotledger.sources.tables import clean_mart
 from tests.conftest import rows
 
@@ -77,7 +80,7 @@ def test_daily_performance(spark):
         + [(date(2026, 6, 9), "one", "T", Decimal("7.00"), "a"), (DAY, None, "T", Decimal("1.00"), "a")],
         SPEND,
     )
-    found = marts.daily_channel_performance(webhooks, spend)
+    found = marts.daily_channel_performance(webhooks, spend, SPEND_CUTOFF)
     columns = ["performance_date", "channel", "event_type_code", "bookings_count", "marketing_spend", "cost_per_booking"]
     assert rows(found.select(*columns)) == rows(
         spark.createDataFrame(
@@ -136,7 +139,7 @@ def test_meeting_load(spark):
 def test_selection(spark, perf):
     assert dashboard.select_daily(perf, Selection()).count() == 5
     assert dashboard.select_daily(perf, Selection(DAY, DAY)).count() == 2
-    assert dashboard.select_daily(perf, Selection(DAY, None)).count() == 5
+    assert dashboard.select_daily(perf, Selection(DAY, None)).count() == 4
     assert dashboard.select_daily(perf, Selection(channels=())).count() == 0
     assert dashboard.select_daily(perf, Selection(channels=("unknown",))).count() == 1
 
@@ -207,11 +210,45 @@ def test_ranks_put_missing_last(spark, rank):
 
 
 def test_spread_ranks_are_the_plain_ones(spark):
-    """Many values, close together and far apart, of both signs, a third of them equal."""
+    """Many values, close together and far apart, of both signs, a third of them equal; and repeated rows."""
     wide = F.expr("CASE WHEN id % 3 = 0 THEN 7 WHEN id % 50 = 1 THEN NULL ELSE pow(-1.7, id % 90) + (id % 11) / 7 END")
     df = spark.range(6000).select("id", wide.alias("x"), (F.col("id") % 101).alias("y"))
+    df = df.union(df.filter("id % 7 = 0"))
     ranks = {"a": F.col("x"), "b": -F.col("y")}
-    assert rows(ranking.dense_ranks_spread(df, ranks)) == rows(ranking.dense_ranks(df, ranks))
+    plain = df.withColumns({n: F.dense_rank().over(Window.orderBy(k.asc_nulls_last())) for n, k in ranks.items()})
+    assert rows(ranking.dense_ranks(df, ranks)) == rows(plain)
+
+
+def test_close_decimals_do_not_tie_and_spread(spark):
+    """200,000 values between 100 and 101, apart only in their last decimals, as doubles equal in part."""
+    close = F.concat(F.lit("100."), F.lpad("id", 20, "0")).cast("decimal(38,20)")
+    ranked = ranking.dense_ranks(spark.range(1000).select("id", close.alias("x")), {"place": F.col("x")})
+    assert ranked.filter("place <> id + 1").count() == 0
+    many = spark.range(200_000).select((100 + F.col("id") / 200_000).alias("x"))
+    ranked = ranking.dense_ranks(many, {"place": F.col("x")})
+    assert ranked.agg(F.max("place")).first()[0] == 200_000
+    # the only rows that meet in one task are the quantiles, a row for each rank
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SinglePartition") == len(re.findall(r"SinglePartition[^\n]*\n[^\n]*partial_collect_list", plan))
+
+
+def test_scores_of_rows_without_a_group(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 2.0), (None, 5.0), (None, 7.0)], "m string, x double")
+    scored = ranking.minmax_score(df, "m", "x", "score")
+    assert rows(scored) == [(None, 5.0, 0.0), (None, 7.0, 1.0), ("a", 1.0, 0.0), ("a", 2.0, 1.0)]
+    assert "broadcast" not in scored._jdf.queryExecution().logical().toString().lower()
+
+
+def test_optional_load_columns_are_parsed(spark):
+    load = spark.createDataFrame([("A@b.c", "2024-01-01", "3", "x", "2024-01-02T05:00:00")], "user_email string, week_start_date string, weekly_meetings string, total_meetings string, first_booking_date_in_week string")
+    assert rows(workload.valid_load(load)) == [("a@b.c", date(2024, 1, 1), 3.0, None, date(2024, 1, 2))]
+
+
+@pytest.mark.parametrize(("start", "end", "expected"), [(2, None, [2, 3]), (None, 2, [1, 2]), (2, 2, [2]), (None, None, [1, 2, 3])])
+def test_half_open_periods(spark, start, end, expected):
+    df = spark.createDataFrame([(date(2024, 1, d),) for d in (1, 2, 3)], "d date")
+    day = lambda n: n and date(2024, 1, n)
+    assert [r[0].day for r in rows(in_period(df, "d", day(start), day(end)))] == expected
 
 
 def test_scores(spark):

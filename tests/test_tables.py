@@ -96,17 +96,51 @@ def test_snapshots_survive_a_failed_write(spark, table, batch, tmp_path):
     assert not sources.table_exists(spark, root)
     with pytest.raises(FileNotFoundError):
         sources.load_snapshot(spark, root)
-    assert sinks.upsert_snapshot(spark, root, table, ["k", "c"], changed) == 0
+    assert sinks.upsert_snapshot(spark, root, table, ["k", "c"], changed) == (0, 4)
     assert sources.table_exists(spark, root)
     before = rows(sources.load_snapshot(spark, root))
     broken = batch.withColumn("v", F.raise_error(F.lit("executor lost")).cast("int"))
     with pytest.raises(Exception, match="executor lost"):
         sinks.upsert_snapshot(spark, root, broken, ["k", "c"], changed)
     assert rows(sources.load_snapshot(spark, root)) == before
-    assert sinks.upsert_snapshot(spark, root, batch, ["k", "c"], changed) == 1
+    assert sinks.upsert_snapshot(spark, root, batch, ["k", "c"], changed) == (1, 6)
     assert rows(sources.load_snapshot(spark, root)) == rows(upsert(table, batch, ["k", "c"], changed))
 
 
+def test_two_writers_of_a_version_lose_nothing(spark, table, batch, tmp_path):
+    root = str(tmp_path / "silver")
+    sinks.write_snapshot(table, root)
+    first = sinks.write_snapshot(batch, root, 0)
+    with pytest.raises(FileExistsError, match="another writer"):
+        sinks.write_snapshot(table, root, 0)
+    assert first == sources.latest_snapshot(spark, root) == 1
+    assert rows(sources.load_snapshot(spark, root)) == rows(batch)
+    with pytest.raises(FileExistsError):
+        sinks.write_snapshot(table, root)
+
+
+def test_snapshots_need_no_success_marker(spark, table, batch, tmp_path):
+    root, setting = str(tmp_path / "silver"), "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set(setting, "false")
+    try:
+        sinks.upsert_snapshot(spark, root, table, ["k", "c"], changed)
+        assert sinks.upsert_snapshot(spark, root, batch, ["k", "c"], changed)[0] == 1
+        sinks.write_table(table, str(tmp_path / "plain"))
+    finally:
+        conf.unset(setting)
+    assert rows(sources.load_snapshot(spark, root)) == rows(upsert(table, batch, ["k", "c"], changed))
+    assert sources.table_exists(spark, str(tmp_path / "plain"))
+
+
+def test_no_first_version_over_other_data(spark, table, tmp_path):
+    root = str(tmp_path / "silver")
+    table.write.parquet(root)
+    with pytest.raises(FileExistsError, match="not a committed version"):
+        sinks.upsert_snapshot(spark, root, table, ["k", "c"])
+    assert spark.read.parquet(root).count() == 4
+
+
 def test_rebuild_may_change_the_schema(spark, table, tmp_path):
     path = str(tmp_path / "mart")
     sinks.write_table(table, path)
