@@ -188,7 +188,7 @@ def near_duplicate_groups(docs: DataFrame, shingle_words: int = 3, pair_block: i
 
 SMALLEST = 8
 WIDE_RADIUS = 24  # texts of similarity 0.8 differ in 9.7 bits on average; five standard deviations more
-NEAREST = 2
+CROWDED_KEYS, BANDS = 2, 4  # how a document with crowded keys is placed
 
 
 def row_key(docs: DataFrame) -> F.Column:
@@ -212,20 +212,20 @@ def _sketches(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
     return run
 
 
-def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a block that pivots and fingerprints leave; near: the other one is among the nearest earlier members."""
+def _pairs_by_distance(rows: pa.Table, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of each block that pivots and fingerprints leave, nearest first."""
+    prints = rows.column(2).to_numpy().view(np.uint64)
+    left, right = close_pairs(prints, starts, np.diff(np.append(starts, len(prints))), WIDE_RADIUS)
+    order = np.argsort(np.bitwise_count(prints[left] ^ prints[right]), kind="stable")
+    return left[order], right[order]
+
+
+def _paired_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The members of a block that are in any pair that is left: only their texts will be needed."""
     for rows, starts in _whole_groups(batches, 2, 1 << 13):
-        prints, nodes = rows.column(2).to_numpy().view(np.uint64), rows.column(3).to_numpy()
-        sizes = np.diff(np.append(starts, len(prints)))
-        left, right = close_pairs(prints, starts, sizes, WIDE_RADIUS)
-        bits = np.bitwise_count(prints[left] ^ prints[right])
-        order = np.lexsort((left, bits, right))
-        left, right = left[order], right[order]
-        first = np.concatenate(([True], right[1:] != right[:-1])) if len(right) else np.zeros(0, bool)
-        place = np.arange(len(right)) - np.flatnonzero(first)[np.cumsum(first) - 1] if len(right) else right
-        a, b = nodes[left], nodes[right]
-        columns = [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(place < NEAREST)]
-        yield pa.RecordBatch.from_arrays(columns, ["a", "b", "near"])
+        left, right = _pairs_by_distance(rows, starts)
+        used = np.unique(np.concatenate((left, right)))
+        yield from rows.take(pa.array(used)).to_batches()
 
 
 def _shingle_sets(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -243,15 +243,35 @@ def _shingle_sets(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
     return run
 
 
-def _similar(least: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _links(least: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Links between members of a block whose shingle sets are similar enough; pairs that links have joined are skipped."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint32), np.frombuffer(y.as_buffer(), np.uint32)
-                both = len(np.intersect1d(x, y, assume_unique=True)) if min(len(x), len(y)) >= least * max(len(x), len(y)) else 0
-                keep.append(both >= least * (len(x) + len(y) - both) - 1e-9)
-            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        for rows, starts in _whole_groups(batches, 2, 1 << 11):
+            nodes, bodies = rows.column(3).to_numpy(), rows.column(4).to_pylist()
+            sets = [np.frombuffer(b, np.uint32) for b in bodies]
+            parent = list(range(len(nodes)))
+
+            def root(i: int, parent: list[int] = parent) -> int:
+                while parent[i] != i:
+                    parent[i] = parent[parent[i]]
+                    i = parent[i]
+                return i
+
+            found = []
+            for i, j in zip(*(x.tolist() for x in _pairs_by_distance(rows, starts)), strict=True):
+                one, other = root(i), root(j)
+                if one == other:
+                    continue
+                x, y = sets[i], sets[j]
+                if min(len(x), len(y)) < least * max(len(x), len(y)):
+                    continue
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                if both >= least * (len(x) + len(y) - both) - 1e-9:
+                    parent[other] = one
+                    found.append((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])))
+            a, b = zip(*found, strict=True) if found else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return run
 
@@ -267,8 +287,8 @@ def _blocks(nodes: DataFrame, pair_block: int) -> DataFrame:
     shared = keyed.join(counts, "key")
     small = shared.filter(F.col("count") <= pair_block).select(F.col("key").alias("block"), F.lit(0).alias("part"), "fp", "node")
     crowded = shared.filter(F.col("count") > pair_block)
-    few = crowded.groupBy("node", "fp").agg(F.slice(F.sort_array(F.collect_list("key")), 1, 2).alias("keys"))
-    bands = F.array(*[F.shiftrightunsigned("fp", 8 * j).bitwiseAND(F.lit(255)) for j in range(8)])
+    few = crowded.groupBy("node", "fp").agg(F.slice(F.sort_array(F.collect_list("key")), 1, CROWDED_KEYS).alias("keys"))
+    bands = F.array(*[F.shiftrightunsigned("fp", 8 * j).bitwiseAND(F.lit(255)) for j in range(BANDS)])
     split_keys = few.select("node", "fp", F.explode("keys").alias("key"), bands.alias("bands"))
     banded = split_keys.select("node", "fp", "key", F.posexplode("bands").alias("band", "bits")).select(
         "node", "fp", F.xxhash64("key", "band", "bits").alias("block")
@@ -286,8 +306,8 @@ def similar_groups(
     """(row, doc_id, group): documents linked by a shingle-set similarity of at least ``similarity``, or by equal text.
 
     ``row`` is row_key, and ``group`` a number that all rows of a group share. Texts without words are only linked to
-    equal ones. Candidates are first verified against the nearest members of their block, and the others of it only
-    where those links have not joined them yet, so large groups cost a few comparisons a document.
+    equal ones. Members of a block are compared where they lie, nearest first, and not again once they are joined, so
+    a block of any kind yields fewer links than it has members.
     """
     docs = docs.select("doc_id", "text")
     digest = F.sha2(F.coalesce("text", F.lit("")), 256)
@@ -303,32 +323,19 @@ def similar_groups(
         .withColumn("node", F.monotonically_increasing_id()),
         "sketch-nodes",
     )
-    blocks = _blocks(nodes, pair_block).repartition("block", "part").sortWithinPartitions("block", "part")
-    pairs = stored(
-        blocks.mapInArrow(_candidates, "a long, b long, near boolean").groupBy("a", "b").agg(F.max("near").alias("near")), "candidates"
+    def by_block(rows: DataFrame) -> DataFrame:
+        return rows.repartition("block", "part").sortWithinPartitions("block", "part", "node")
+
+    members = stored(
+        by_block(_blocks(nodes, pair_block)).mapInArrow(_paired_members, "block long, part int, fp long, node long"), "members"
     )
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = members.select("node").distinct()
     texts = docs.select(row_key(docs).alias("row"), F.coalesce("text", F.lit("")).alias("text"))
     texts = texts.join(nodes.join(wanted, "node").select("row", "node"), "row").select("node", "text")
     sets = stored(texts.mapInArrow(_shingle_sets(shingle_words), "node long, shingles binary").dropDuplicates(["node"]), "shingle-sets")
 
-    def verified(which: DataFrame) -> DataFrame:
-        left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
-        right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-        joined = which.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-        return stored(joined.mapInArrow(_similar(similarity), "a long, b long"), "similar")
-
-    links = verified(pairs.filter("near").select("a", "b"))
-    roots = components(links)
-    root_a, root_b = (roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in "ab")
-    apart = (
-        pairs.filter(~F.col("near"))
-        .join(root_a, "a", "left")
-        .join(root_b, "b", "left")
-        .filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
-        .select("a", "b")
-    )
-    roots = components(links.union(verified(apart)))
+    compared = members.join(sets, "node").select("block", "part", "fp", "node", "shingles")
+    roots = components(by_block(compared).mapInArrow(_links(similarity), "a long, b long"))
     named = nodes.join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("group"))
     return sketched.select("row", "doc_id", "digest").join(named, "digest").select("row", "doc_id", "group")
 
