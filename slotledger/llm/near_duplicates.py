@@ -188,7 +188,8 @@ def near_duplicate_groups(docs: DataFrame, shingle_words: int = 3, pair_block: i
 
 SMALLEST = 8
 WIDE_RADIUS = 24  # texts of similarity 0.8 differ in 9.7 bits on average; five standard deviations more
-CROWDED_KEYS, BANDS = 2, 4  # how a document with crowded keys is placed
+CROWDED_KEYS, BANDS = 2, 4  # how a document with crowded keys is placed at first
+PART = 512  # members of a block that meet at once; larger blocks are compared part against part
 
 
 def row_key(docs: DataFrame) -> F.Column:
@@ -221,9 +222,16 @@ def _pairs_by_distance(rows: pa.Table, starts: np.ndarray) -> tuple[np.ndarray,
 
 
 def _paired_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The members of a block that are in any pair that is left: only their texts will be needed."""
+    """The members of a block that are in any pair that is left: only their texts will be needed.
+
+    A fifth column tells which members are joined already; pairs of those do not count.
+    """
     for rows, starts in _whole_groups(batches, 2, 1 << 13):
         left, right = _pairs_by_distance(rows, starts)
+        if rows.num_columns > 4:
+            roots = rows.column(4).to_numpy()
+            apart = roots[left] != roots[right]
+            left, right = left[apart], right[apart]
         used = np.unique(np.concatenate((left, right)))
         yield from rows.take(pa.array(used)).to_batches()
 
@@ -243,6 +251,27 @@ def _shingle_sets(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
     return run
 
 
+def _all_shingles(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = utf8(batch.column(2))
+            for first, last in slices(offsets, 8 << 20):
+                found = [np.unique(shingle_hashes(words_of(data[offsets[i] : offsets[i + 1]].tobytes()), size)).view(np.int64) for i in range(first, last)]
+                columns = [c.slice(first, last - first) for c in batch.columns[:2]]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.list_(pa.int64()))], ["node", "fp", "keys"])
+
+    return run
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lists of shingles as the sorted sets that _links reads."""
+    for batch in batches:
+        lists = batch.column(1)
+        values, offsets = lists.values.to_numpy().view(np.uint64).astype(np.uint32), lists.offsets.to_numpy()
+        sets = [np.unique(values[a:b]).tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["node", "shingles"])
+
+
 def _links(least: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Links between members of a block whose shingle sets are similar enough; pairs that links have joined are skipped."""
 
@@ -276,15 +305,18 @@ def _links(least: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
     return run
 
 
-def _blocks(nodes: DataFrame, pair_block: int) -> DataFrame:
+def _shared_keys(nodes: DataFrame) -> DataFrame:
+    keyed = nodes.select("node", "fp", F.explode("keys").alias("key"))
+    return keyed.join(keyed.groupBy("key").count().filter("count > 1"), "key")
+
+
+def _blocks(shared: DataFrame, pair_block: int) -> DataFrame:
     """(block, part, fp, node): rows of a block are compared with each other; no block is much larger than pair_block.
 
     A key shared by more documents is split by eight-bit bands of the fingerprint, and what is still larger by a hash,
     differently for each key and band, so that a large group of copies hangs together through its overlapping parts.
+    That joins most of a group cheaply, but not every pair; _rare_blocks bring the others together.
     """
-    keyed = nodes.select("node", "fp", F.explode("keys").alias("key"))
-    counts = keyed.groupBy("key").count().filter("count > 1")
-    shared = keyed.join(counts, "key")
     small = shared.filter(F.col("count") <= pair_block).select(F.col("key").alias("block"), F.lit(0).alias("part"), "fp", "node")
     crowded = shared.filter(F.col("count") > pair_block)
     few = crowded.groupBy("node", "fp").agg(F.slice(F.sort_array(F.collect_list("key")), 1, CROWDED_KEYS).alias("keys"))
@@ -300,6 +332,42 @@ def _blocks(nodes: DataFrame, pair_block: int) -> DataFrame:
     return small.union(split)
 
 
+def _rare_blocks(crowded: DataFrame, roots: DataFrame, similarity: float, part: int = PART) -> DataFrame:
+    """(block, part, fp, node, root): every pair of ``crowded`` (node, fp, keys: all shingles) that is not joined yet.
+
+    With shingles in one order for all, here the rarest first, sets of at least that similarity share one of their first
+    n - ceil(similarity n) + 1 shingles. So no pair is missed, and a passage that many texts share is no key of theirs
+    unless it is nearly all they hold. Blocks whose members have one root are done; of blocks with the same members one
+    stays. In the others, members outside the most frequent root meet all members, part against part.
+    """
+    rows = crowded.select("node", "fp", F.size("keys").alias("n"), F.explode("keys").alias("key"))
+    shared = rows.join(rows.groupBy("key").count().filter("count > 1"), "key")
+    # shingles of one document alone come first and lead nowhere
+    ranked = shared.groupBy("node", "fp", "n").agg(F.sort_array(F.collect_list(F.struct("count", "key"))).alias("keys"))
+    first = F.col("n") - F.ceil(F.lit(similarity) * F.col("n") - 1e-9) + 1 - (F.col("n") - F.size("keys"))
+    prefix = ranked.select("node", "fp", F.explode(F.slice("keys", F.lit(1), F.greatest(first, F.lit(0)).cast("int"))["key"]).alias("key"))
+    prefix = prefix.join(roots, "node", "left").select("key", "node", "fp", F.coalesce("root", "node").alias("root"))
+    prefix = stored(prefix, "rare-keys")
+    same = [F.bit_xor(F.xxhash64("node")).alias("same"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("too")]
+    own = prefix.groupBy("key", "root").agg(F.count("*").alias("n"), *same)
+    whole = own.groupBy("key").agg(
+        F.sum("n").alias("n"), F.count("*").alias("roots"), F.max(F.struct("n", "root")).alias("most"), F.bit_xor("same").alias("same"), F.bit_xor("too").alias("too")
+    )
+    open_ = whole.filter("roots > 1").groupBy("n", "same", "too").agg(F.min(F.struct("key", "most")).alias("one"))
+    open_ = open_.select(
+        "one.key",
+        F.col("one.most.root").alias("most"),
+        F.ceil(F.col("n") / part).cast("int").alias("parts"),
+        F.ceil((F.col("n") - F.col("one.most.n")) / part).cast("int").alias("others"),
+    )
+    members = prefix.join(open_, "key")
+    at, other = (F.pmod(F.xxhash64("node", "key"), F.col(c)).cast("int") for c in ("parts", "others"))
+    meets = F.transform(F.sequence(F.lit(0), F.col("others") - 1), lambda r: r * F.col("parts") + at)
+    calls = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda t: other * F.col("parts") + t)
+    parts = F.when(F.col("root") == F.col("most"), meets).otherwise(F.array_union(meets, calls))
+    return members.select(F.col("key").alias("block"), F.explode(parts).alias("part"), "fp", "node", "root")
+
+
 def similar_groups(
     docs: DataFrame, shingle_words: int = SHINGLE_WORDS, similarity: float = SIMILARITY, pair_block: int = PAIR_BLOCK
 ) -> DataFrame:
@@ -326,16 +394,35 @@ def similar_groups(
     def by_block(rows: DataFrame) -> DataFrame:
         return rows.repartition("block", "part").sortWithinPartitions("block", "part", "node")
 
+    shared = stored(_shared_keys(nodes), "shared-keys")
     members = stored(
-        by_block(_blocks(nodes, pair_block)).mapInArrow(_paired_members, "block long, part int, fp long, node long"), "members"
+        by_block(_blocks(shared, pair_block)).mapInArrow(_paired_members, "block long, part int, fp long, node long"), "members"
     )
-    wanted = members.select("node").distinct()
     texts = docs.select(row_key(docs).alias("row"), F.coalesce("text", F.lit("")).alias("text"))
-    texts = texts.join(nodes.join(wanted, "node").select("row", "node"), "row").select("node", "text")
-    sets = stored(texts.mapInArrow(_shingle_sets(shingle_words), "node long, shingles binary").dropDuplicates(["node"]), "shingle-sets")
 
-    compared = members.join(sets, "node").select("block", "part", "fp", "node", "shingles")
-    roots = components(by_block(compared).mapInArrow(_links(similarity), "a long, b long"))
+    def texts_of(some: DataFrame) -> DataFrame:
+        return texts.join(nodes.join(some.select("node").distinct(), "node").select("row", "node", "fp"), "row").select("node", "fp", "text")
+
+    sets = stored(
+        texts_of(members).select("node", "text").mapInArrow(_shingle_sets(shingle_words), "node long, shingles binary").dropDuplicates(["node"]),
+        "shingle-sets",
+    )
+
+    def linked(members: DataFrame, sets: DataFrame) -> DataFrame:
+        compared = members.join(sets, "node").select("block", "part", "fp", "node", "shingles")
+        return by_block(compared).mapInArrow(_links(similarity), "a long, b long")
+
+    roots = components(linked(members, sets))
+    crowded = texts_of(shared.filter(F.col("count") > pair_block))
+    if not crowded.isEmpty():
+        crowded = stored(
+            crowded.mapInArrow(_all_shingles(shingle_words), "node long, fp long, keys array<long>").dropDuplicates(["node"]), "shingles"
+        )
+        rest = by_block(_rare_blocks(crowded, roots, similarity))
+        rest = stored(rest.mapInArrow(_paired_members, "block long, part int, fp long, node long, root long"), "rare-members")
+        used = crowded.join(rest.select("node").distinct(), "node", "left_semi").select("node", "keys")
+        more = linked(rest, used.mapInArrow(_packed, "node long, shingles binary"))
+        roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
     named = nodes.join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("group"))
     return sketched.select("row", "doc_id", "digest").join(named, "digest").select("row", "doc_id", "group")
 

@@ -402,6 +402,44 @@ def test_keep_one_of_similar_documents(spark, pair_block):
     assert sorted([(r["doc_id"], r["text"] or "") for r in kept.collect()], key=key) == expected
 
 
+def test_near_copies_in_a_crowd_that_shares_a_passage(spark):
+    """A passage of four fifths of 200 texts crowds nearly all keys; the planted near copies among them are still found."""
+    rng = random.Random(7)
+    passage = [f"p{i}" for i in range(160)]
+    texts = []
+    for i in range(200):
+        texts.append(passage + [f"t{i}w{j}" for j in range(40)])
+    for i in range(0, 200, 4):
+        near = list(texts[i])
+        near[rng.randrange(5, 155)] = f"changed{i}"
+        near[rng.randrange(165, 195)] = f"other{i}"
+        texts.append(near)
+    rows = [(i, " ".join(words)) for i, words in enumerate(texts)]
+    groups = near_duplicates.similar_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    by_group = collections.defaultdict(set)
+    for r in groups:
+        by_group[r["group"]].add(r["doc_id"])
+    expected = [{i, 200 + i // 4} if i % 4 == 0 else {i} for i in range(200)]
+    assert sorted(map(sorted, by_group.values())) == sorted(map(sorted, expected))
+
+
+@pytest.mark.parametrize("part", [3, 512])
+def test_rare_blocks_bring_all_open_pairs_together(spark, part):
+    rng = random.Random(3)
+    common = list(range(100))
+    sets = [sorted(set(common) - set(rng.sample(common, 4)) | {1000 + 10 * i + j for j in range(rng.randrange(8))}) for i in range(40)]
+    sets += [sorted(set(rng.sample(range(5000, 5030), 25))) for _ in range(10)]
+    frame = spark.createDataFrame([(i, 0, x) for i, x in enumerate(sets)], "node long, fp long, keys array<long>")
+    roots = spark.createDataFrame([(i, 0) for i in range(30)], "node long, root long")
+    blocks = collections.defaultdict(list)
+    for r in near_duplicates._rare_blocks(frame, roots, 0.8, part).collect():
+        blocks[r["block"], r["part"]].append(r["node"])
+    met = {(i, j) for x in blocks.values() for i in x for j in x}
+    similar = {(i, j) for i in range(50) for j in range(50) if len(set(sets[i]) & set(sets[j])) >= 0.8 * len(set(sets[i]) | set(sets[j]))}
+    assert {(i, j) for i, j in similar if i != j and not (i < 30 and j < 30)} <= met
+    assert max(map(len, blocks.values())) <= 50
+
+
 def test_keep_one_of_awkward_rows(awkward, crowded, no_documents):
     for frame in (awkward, crowded):
         kept = near_duplicates.keep_one(frame)
