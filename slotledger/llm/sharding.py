@@ -1,9 +1,10 @@
 """Sharding by balanced label propagation, in DataFrame operations only.
 
-Every linked document starts in a shard by its rank, and moves, round by round, to the shard in which most of its
-group's documents are, as long as that shard's quota has room. Movers enter by the rank of their group's hash, so groups
-stay together, and a group larger than a shard fills one shard after another. Documents without links then fill the
-shards up to sizes that differ by at most one row.
+Linked documents start in equal shares, in the order of their group's hash, so that few groups start apart. Round by
+round they move to the shard in which most of their group's documents are. Movers have quotas for each pair of shards: a
+place may be free, or left in the same round, so that shards without room exchange documents. They enter by the rank of
+their group's hash, so groups stay together, and a group larger than a shard fills one shard after another. Documents
+without links then fill the shards up to sizes that differ by at most one row.
 
 Only sums for each shard reach the driver. Ranks are made of counts of hash buckets and positions inside a bucket, so
 no task sorts a shard; votes are counted before they are shuffled, so a group of a third of all documents is no burden.
@@ -47,6 +48,64 @@ def _counts(labels: DataFrame, shards: int) -> list[int]:
     return [found.get(j, 0) for j in range(shards)]
 
 
+def _seeded(nodes: DataFrame, shards: int) -> DataFrame:
+    """(node, lead, label): equal shares of the nodes, by the order of their leads, so that few groups start apart."""
+    sizes = stored(nodes.groupBy("lead").agg(F.count("*").alias("n")).withColumn("bucket", F.pmod("lead", F.lit(BUCKET_ROWS))), "sizes")
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    total = sizes.groupBy().agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    parts = sizes.groupBy("bucket").agg(F.sum("n").alias("size"))
+    offsets = parts.select("bucket", F.coalesce(F.sum("size").over(before.orderBy("bucket")), F.lit(0)).alias("offset"))
+    inside = F.coalesce(F.sum("n").over(before.partitionBy("bucket").orderBy("lead")), F.lit(0))
+    starts = sizes.withColumn("inside", inside).join(offsets, "bucket").select("lead", "n", (F.col("offset") + F.col("inside")).alias("start"))
+    ends = [sum(total // shards + (k < total % shards) for k in range(j + 1)) for j in range(shards)]
+
+    def shard(place: Column) -> Column:
+        return reduce(lambda a, j: F.when(place < ends[j], j).otherwise(a), reversed(range(shards - 1)), F.lit(shards - 1)).cast("int")
+
+    starts = starts.select("lead", "start", shard(F.col("start")).alias("label"), shard(F.col("start") + F.col("n") - 1).alias("end"))
+    placed = nodes.join(starts, "lead")
+    whole = placed.filter("label = end").select("node", "lead", "label")
+    # fewer groups than shards lie across an end
+    cut = _ranked(placed.filter("label < end").select("node", "lead", "start"), "node", total, "lead")
+    return whole.union(cut.select("node", "lead", shard(F.col("start") + F.col("rank")).alias("label")))
+
+
+def admitted(wanted: list[list[int]], room: list[int]) -> list[list[int]]:
+    """How many of the movers wanted[from][to] may go at once: along ways that end in a shard with room, or in a circle.
+
+    So places that others leave in the same round count, and no shard gets more than ``room`` beyond what leaves it.
+    """
+    shards = len(room)
+    left, free = [list(row) for row in wanted], list(room)
+
+    def way(start: int) -> list[int]:
+        """The shortest way out of ``start``."""
+        came, queue = {}, [start]
+        for i in queue:
+            for j in range(shards):
+                if left[i][j] and j not in came and i != j:
+                    came[j] = i
+                    if free[j] > 0 and j != start or j == start:
+                        out = [j, i]
+                        while out[-1] != start:
+                            out.append(came[out[-1]])
+                        return out[::-1]
+                    queue.append(j)
+        return []
+
+    for start in range(shards):
+        while found := way(start):
+            steps = list(zip(found, found[1:], strict=False))
+            n = min(left[i][j] for i, j in steps)
+            if found[0] != found[-1]:
+                n = min(n, free[found[-1]])
+                free[found[-1]] -= n
+                free[start] += n
+            for i, j in steps:
+                left[i][j] -= n
+    return [[a - b for a, b in zip(x, y, strict=True)] for x, y in zip(wanted, left, strict=True)]
+
+
 def balanced_labels(links: DataFrame, capacity: list[int], rounds: int = ROUNDS) -> DataFrame:
     """(node, label): shards for all nodes of ``links`` (node long, group), at most capacity[label] nodes in each.
 
@@ -55,35 +114,63 @@ def balanced_labels(links: DataFrame, capacity: list[int], rounds: int = ROUNDS)
     shards = len(capacity)
     links = stored(links.select("node", "group").distinct(), "links")
     nodes = links.groupBy("node").agg(F.min(F.xxhash64("group")).alias("lead"))
-    number = nodes.count()
-    first = _ranked(nodes, "node", number).select("node", "lead", (F.col("rank") % shards).cast("int").alias("label"))
-    labels = stored(first, "labels")
-    full: set[int] = set()
-    for _ in range(rounds):
-        room = [0 if j in full else c - n for j, (c, n) in enumerate(zip(capacity, _counts(labels, shards), strict=True))]
+    labels = stored(_seeded(stored(nodes, "leads"), shards), "labels")
+    full: dict[int, int] = {}
+    idle = 0
+    for turn in range(rounds):
+        counts = _counts(labels, shards)
+        room = [c - n for c, n in zip(capacity, counts, strict=True)]
+        # in turn, all shards may be wished for, and those with room that did not turn movers away since they lost members
+        full = {j: n for j, n in full.items() if counts[j] >= n}
+        open_ = [turn % 2 == 0 or (room[j] > 0 and j not in full) for j in range(shards)]
         votes = [F.count_if(F.col("label") == j).alias(f"n{j}") for j in range(shards)]
         by_group = links.join(labels, "node").groupBy("group").agg(*votes)
         by_node = links.join(by_group, "group").groupBy("node").agg(*[F.sum(f"n{j}").alias(f"n{j}") for j in range(shards)])
-        # the most votes among the own shard and those with room; the lowest shard among equals
-        offers = F.array(*[F.struct(F.when((F.col("label") == j) | F.lit(room[j] > 0), F.col(f"n{j}")).otherwise(-1).alias("n"), F.lit(-j).alias("j")) for j in range(shards)])
+        # the most votes among the own shard and open ones; among equals, members of a group agree, differently each round,
+        # so that about as many go each way
+        offers = F.array(
+            *[
+                F.struct(
+                    F.when((F.col("label") == j) | F.lit(open_[j]), F.col(f"n{j}")).otherwise(-1).alias("n"),
+                    F.xxhash64("lead", F.lit(j), F.lit(turn)).alias("tie"),
+                    F.lit(j).alias("j"),
+                )
+                for j in range(shards)
+            ]
+        )
         bucket = F.pmod("lead", F.lit(GROUP_BUCKETS)) * NODE_BUCKETS + F.pmod(F.xxhash64("node"), F.lit(NODE_BUCKETS))
         wishes = stored(
             labels.join(by_node, "node").select(
-                "node", "lead", "label", (-F.array_max(offers)["j"]).cast("int").alias("wish"), bucket.cast("int").alias("bucket")
+                "node", "lead", "label", F.array_max(offers)["j"].cast("int").alias("wish"), bucket.cast("int").alias("bucket")
             ),
             "wishes",
         )
-        moving = wishes.filter("wish <> label").groupBy("wish", "bucket").agg(F.count("*").alias("n"))
-        so_far = F.sum("n").over(Window.partitionBy("wish").orderBy("bucket"))
-        fits = moving.withColumn("so_far", so_far).withColumn("fits", F.col("so_far") <= _choose(F.col("wish"), room))
-        quotas = fits.groupBy("wish").agg(F.max(F.when(F.col("fits"), F.col("bucket"))).alias("last"), F.min("fits").alias("all")).collect()
-        if not quotas:
+        moving = stored(wishes.filter("wish <> label").groupBy("label", "wish", "bucket").agg(F.count("*").alias("n")), "moving")
+        wanted = [[0] * shards for _ in range(shards)]
+        for r in moving.groupBy("label", "wish").agg(F.sum("n").alias("n")).collect():
+            wanted[r["label"]][r["wish"]] = r["n"]
+        quotas = admitted(wanted, room)
+        full |= {j: counts[j] for j in range(shards) if any(wanted[i][j] > quotas[i][j] for i in range(shards))}
+        idle = 0 if any(map(any, quotas)) else idle + 1
+        if idle == 2:
             break
-        # a shard that turned movers away has less room than one bucket of them needs: later rounds look elsewhere
-        full |= {r["wish"] for r in quotas if not r["all"]}
-        last = {r["wish"]: r["last"] for r in quotas if r["last"] is not None}
-        enters = F.col("bucket") <= _choose(F.col("wish"), [last.get(j, -1) for j in range(shards)])
-        labels = stored(wishes.select("node", "lead", F.when(enters, F.col("wish")).otherwise(F.col("label")).alias("label")), "labels")
+        if idle:
+            continue
+        # whole buckets below the one in which a quota ends, and the first of that one
+        pair = F.col("label") * shards + F.col("wish")
+        so_far = F.sum("n").over(Window.partitionBy("label", "wish").orderBy("bucket"))
+        left = _choose(pair, [q for row in quotas for q in row]) - so_far + F.col("n")
+        ends = moving.withColumn("left", left).filter((F.col("left") >= 0) & (F.col("left") < F.col("n")))
+        cuts = {r["label"] * shards + r["wish"]: (r["bucket"], r["left"]) for r in ends.collect()}
+        # quotas that take all have no such bucket
+        cut = [cuts.get(k, (GROUP_BUCKETS * NODE_BUCKETS, 0)) for k in range(shards * shards)]
+        place = F.row_number().over(Window.partitionBy("label", "wish", "bucket").orderBy("lead", "node"))
+        last = _choose(pair, [c[0] for c in cut])
+        enters = (F.col("bucket") < last) | ((F.col("bucket") == last) & (F.col("place") <= _choose(pair, [c[1] for c in cut])))
+        labels = stored(
+            wishes.withColumn("place", place).select("node", "lead", F.when(enters, F.col("wish")).otherwise(F.col("label")).alias("label")),
+            "labels",
+        )
     return labels.select("node", "label")
 
 

@@ -563,6 +563,47 @@ def test_nodes_in_several_groups(spark):
     assert len(labels) == 200 and max(collections.Counter(r["label"] for r in labels).values()) <= 55
 
 
+def test_shards_of_a_table_in_which_all_is_linked(spark):
+    rng = random.Random(4)
+    rows = [(i, f"text {i}") for i in range(900) for _ in range(rng.choice([2, 3]))] + [(2000 + i, "one large group") for i in range(600)]
+    found = sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), 8).collect()
+    sizes = collections.Counter(r["shard"] for r in found)
+    assert max(sizes.values()) - min(sizes.values()) <= 1
+    shards = collections.defaultdict(set)
+    for r in found:
+        shards[r["doc_id"] if r["doc_id"] < 2000 else "large"].add(r["shard"])
+    assert sum(len(x) > 1 for k, x in shards.items() if k != "large") <= 8
+    assert len(shards["large"]) <= 4
+
+
+def test_full_shards_exchange_members(spark, monkeypatch):
+    """All shards start full and every group starts scattered."""
+
+    def scattered(nodes, shards):
+        ranked = sharding._ranked(nodes, "node", 240)
+        return ranked.select("node", "lead", (sharding.F.col("rank") % shards).cast("int").alias("label"))
+
+    monkeypatch.setattr(sharding, "_seeded", scattered)
+    links = [(2 * i + j, f"g{i}") for i in range(120) for j in range(2)]
+    labels = sharding.balanced_labels(spark.createDataFrame(links, "node long, group string"), [60] * 4).collect()
+    assert collections.Counter(r["label"] for r in labels) == {0: 60, 1: 60, 2: 60, 3: 60}
+    shard = {r["node"]: r["label"] for r in labels}
+    assert sum(shard[2 * i] == shard[2 * i + 1] for i in range(120)) >= 110
+
+
+def test_admitted_movers_count_leavers():
+    assert sharding.admitted([[0, 5], [3, 0]], [0, 0]) == [[0, 3], [3, 0]]
+    assert sharding.admitted([[0, 4, 0], [0, 0, 4], [4, 0, 0]], [0, 0, 0]) == [[0, 4, 0], [0, 0, 4], [4, 0, 0]]
+    assert sharding.admitted([[0, 4, 0], [0, 0, 9], [0, 0, 0]], [0, 0, 2]) == [[0, 2, 0], [0, 0, 2], [0, 0, 0]]
+    rng = random.Random(5)
+    for _ in range(200):
+        wanted = [[rng.randrange(9) * (i != j) for j in range(5)] for i in range(5)]
+        room = [rng.randrange(4) for _ in range(5)]
+        found = sharding.admitted(wanted, room)
+        assert all(0 <= found[i][j] <= wanted[i][j] for i in range(5) for j in range(5))
+        assert all(sum(found[i][j] for i in range(5)) - sum(found[j]) <= room[j] for j in range(5))
+
+
 def test_sharding_runs_no_python(awkward, capsys):
     sharding.shard_documents(awkward).explain()
     assert "Python" not in capsys.readouterr().out
