@@ -5,8 +5,9 @@ in one Bloom filter for all languages: at each position of the filter lies a bit
 bit-sliced filter), so the masks at a trigram's positions, combined by "and", give all languages that contain it. Each
 language's hits in a text are counted, and those expected by chance, from the filter's fill, are taken off.
 
-Learning counts trigrams of all labelled documents: in the tasks first, then over the cluster. The filter has a fixed
-number of positions, so what is collected and sent to the tasks is bounded whatever the size of the corpus.
+Learning counts trigrams of all labelled documents: in the tasks first, then over the cluster. The filter's positions
+grow with the typical trigrams of the language that has most, so that no language's slice fills; a corpus whose filter
+would take more than MOST_BYTES is refused.
 """
 
 from __future__ import annotations
@@ -21,8 +22,10 @@ from pyspark.sql import functions as F
 
 from slotledger.llm.common import mix64, slices, stored, utf8
 
-POSITIONS = 1 << 20
+POSITIONS = 1 << 20  # at least
 HASHES = 3
+FULLEST = 0.5  # part of a language's positions that may be set: one of eight foreign trigrams is then taken for its own
+MOST_BYTES = 256 << 20
 TYPICAL = 0.25  # a trigram belongs to a language whose share of it is at least this part of the largest share
 LEAST_COUNT = 3
 UNKNOWN = "und"
@@ -63,11 +66,16 @@ def positions(grams: np.ndarray, size: int) -> list[np.ndarray]:
     return out
 
 
+def fill(mask: np.ndarray, bit: int) -> float:
+    return float(np.count_nonzero(mask & mask.dtype.type(1 << bit)) / len(mask))
+
+
 class LanguageFilter(NamedTuple):
-    """Languages in order of their names, and mask words of the filter: masks[word][position]."""
+    """Languages in order of their names, mask words of the filter (masks[word][position]), and parts of positions set."""
 
     languages: list[str]
     masks: list[np.ndarray]
+    fills: list[float] | None = None
 
     def hits(self, grams: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """For each text and language: the trigrams that the language contains, less those expected by chance."""
@@ -82,7 +90,7 @@ class LanguageFilter(NamedTuple):
             for bit in range(min(LANGUAGES_A_WORD, len(self.languages) - word * LANGUAGES_A_WORD)):
                 language = word * LANGUAGES_A_WORD + bit
                 one = mask.dtype.type(1 << bit)
-                chance = float(np.count_nonzero(mask & one) / len(mask)) ** HASHES
+                chance = (self.fills[language] if self.fills else fill(mask, bit)) ** HASHES
                 if len(some):
                     counts[some, language] = np.add.reduceat((found & one != 0).astype(np.int64), bounds[some])
                 counts[:, language] = np.maximum(0, counts[:, language] - total * chance) / (1 - chance if chance < 1 else 1)
@@ -146,10 +154,19 @@ def _bits(languages: list[str], size: int) -> Callable[[Iterator[pa.RecordBatch]
     return run
 
 
-def learn(labelled: DataFrame, size: int = POSITIONS) -> LanguageFilter:
+def filter_size(most: int, width: int) -> int:
+    """Positions for ``most`` trigrams of one language: a power of two at which at most FULLEST of them are expected set."""
+    size = max(POSITIONS, 1 << (int(HASHES * most / -np.log(1 - 0.96 * FULLEST))).bit_length())
+    if size > POSITIONS and size * width > MOST_BYTES:
+        raise ValueError(f"{most} typical trigrams of one language need a filter of {size * width} bytes, more than {MOST_BYTES}")
+    return size
+
+
+def learn(labelled: DataFrame, size: int | None = None) -> LanguageFilter:
     """Fit the filter to the columns text and lang; rows without either are left out.
 
-    Collected: the languages, and at most ``size`` masks for each 63 of them. No labelled text gives an empty filter.
+    Collected: the languages, and at most ``size`` masks (by default filter_size) for each 63 of them. No labelled text
+    gives an empty filter. A filter that is too full to tell languages apart is an error.
     """
     used = labelled.select(F.col("lang"), F.col("text")).filter("lang IS NOT NULL AND text IS NOT NULL")
     counts = stored(
@@ -160,13 +177,21 @@ def learn(labelled: DataFrame, size: int = POSITIONS) -> LanguageFilter:
     # a window over one trigram holds a row for each language at most
     largest = F.max("share").over(Window.partitionBy("gram"))
     typical = shares.withColumn("largest", largest).filter((F.col("share") >= TYPICAL * F.col("largest")) & (F.col("n") >= LEAST_COUNT))
+    typical = stored(typical.select("lang", "gram"), "typical")
     languages = sorted(r["lang"] for r in totals.select("lang").collect())
+    kind = next((k for k in (np.uint8, np.uint16, np.uint32) if len(languages) <= 8 * np.dtype(k).itemsize), np.uint64)
+    words = -(-len(languages) // LANGUAGES_A_WORD)
+    if size is None:
+        most = typical.groupBy("lang").count().agg(F.max("count").alias("n")).first()["n"] or 0
+        size = filter_size(most, words * np.dtype(kind).itemsize)
     bits = typical.select("lang", "gram").mapInArrow(_bits(languages, size), "word long, position long, mask long")
-    kind = np.uint8 if len(languages) <= 8 else np.uint64
-    masks = [np.zeros(size, kind) for _ in range(-(-len(languages) // LANGUAGES_A_WORD))]
+    masks = [np.zeros(size, kind) for _ in range(words)]
     for row in bits.groupBy("word", "position").agg(F.bit_or("mask").alias("mask")).toLocalIterator():
         masks[row["word"]][row["position"]] = row["mask"]
-    return LanguageFilter(languages, masks)
+    fills = [fill(masks[k // LANGUAGES_A_WORD], k % LANGUAGES_A_WORD) for k in range(len(languages))]
+    if any(part > FULLEST for part in fills):
+        raise ValueError(f"the filter of {size} positions is too full: {max(fills):.2f} of them are set for one language")
+    return LanguageFilter(languages, masks, fills)
 
 
 def _predict(model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -190,7 +215,7 @@ def held_out(docs: DataFrame) -> F.Column:
     return F.coalesce(F.crc32(docs["doc_id"].cast("string")) % 4 == 2, F.lit(True))
 
 
-def identify(docs: DataFrame, size: int = POSITIONS) -> DataFrame:
+def identify(docs: DataFrame, size: int | None = None) -> DataFrame:
     """Learn from the documents that are not held out, and predict the language of every whole text.
 
     One row per document: doc_id, held_out, lang_pred and score, the corrected part (0 to 1) of the text's trigrams

@@ -165,6 +165,24 @@ def test_filter_has_no_false_negatives_and_corrects_chance():
     assert hits[2, 0] == pytest.approx(max(0, raw - 3 * chance) / (1 - chance))
 
 
+def test_filter_grows_with_the_trigrams(spark, monkeypatch):
+    monkeypatch.setattr(language, "POSITIONS", 64)
+    rng = random.Random(6)
+    pools = {lang: [chr(first + k) for k in range(2000)] for lang, first in (("aa", 0x4E00), ("bb", 0x6E00))}
+    known = {lang: ["".join(rng.choice(pool) for _ in range(20)) for _ in range(200)] for lang, pool in pools.items()}
+    docs = [(4 * i, " ".join([t] * 3), lang) for lang, texts in known.items() for i, t in enumerate(texts)]
+    model = language.learn(spark.createDataFrame(docs, "doc_id long, text string, lang string"))
+    assert all(fill <= language.FULLEST for fill in model.fills)
+    for lang, texts in known.items():
+        names, scores = model.predict(texts)
+        assert set(names) == {lang} and min(scores) > 0.9
+    with pytest.raises(ValueError, match="full"):
+        language.learn(spark.createDataFrame(docs, "doc_id long, text string, lang string"), 64)
+    monkeypatch.setattr(language, "MOST_BYTES", 1 << 10)
+    with pytest.raises(ValueError, match="typical trigrams"):
+        language.learn(spark.createDataFrame(docs, "doc_id long, text string, lang string"))
+
+
 def test_more_languages_than_bits_in_a_word(spark):
     rows = [(4 * i + j, chr(0x3400 + 7 * i) * 3 + " ", f"l{i:03}") for i in range(70) for j in range(8)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
