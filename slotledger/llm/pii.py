@@ -35,7 +35,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _ASSIGNED = re.compile(
-    r"(?i:token|secret|passw(?:or)?d|api[_-]?key|access[_-]?key|private[_-]?key)[\"']?\x20?[:=]{1,2}\x20?[\"']?([A-Za-z0-9+/_=.-]{12,512})"
+    r"(?i:token|secret|passw(?:or)?d|api[_-]?key|access[_-]?key|private[_-]?key)[\"']?\x20?[:=]{1,2}\x20?[\"']?([A-Za-z0-9+/_=.-]{12,}+)"
 )
 
 # Gazetteers.
@@ -101,7 +101,7 @@ def numbers(text: str) -> Iterator[tuple[str, int, int, bool]]:
 
 def votes_and_features(text: str, kind: str, start: int, end: int, passed: bool) -> int:
     """The labelers' votes (0 no opinion, 1 personal, 2 not), three to the power of each, and then yes/no features."""
-    value, before = text[start : min(end, start + 512)], text[max(0, start - CONTEXT) : start]
+    value, before = text[start:end], text[max(0, start - CONTEXT) : start]
     after = text[end : end + 1]
     digits = sum(c.isdigit() for c in value)
     glued = (before[-1:].isalnum() and value[0].isalnum()) or (after.isalnum() and text[end - 1].isalnum())

@@ -108,6 +108,16 @@ def test_redaction_replaces_spans_only(spark):
     )
 
 
+def test_long_secrets_are_redacted_whole(spark):
+    rng = random.Random(11)
+    token = lambda n: "".join(rng.choice("ABCDEFGHabcdefgh0123456789+/_") for _ in range(n))
+    tokens = [token(2000 if i % 4 == 0 else 40) for i in range(40)]
+    long = pii.candidates(f"token = {tokens[0]} end")
+    assert [(c.start, c.end) for c in long] == [(8, 2008)]
+    docs = spark.createDataFrame([(i, f"set api_key = {t} now") for i, t in enumerate(tokens)], "doc_id long, text string")
+    assert {r["text"] for r in pii.redact(docs).collect()} == {"set api_key = [SECRET] now"}
+
+
 # language
 
 SAMPLES = {
