@@ -1,15 +1,20 @@
 """WARC derivatives: from response records to linked metadata and plain-text conversion records.
 
-Everything is DataFrame expressions. Each record is made from its own response: nothing is shuffled, and a response
-becomes its two derivatives in one pass.
+Each record is made from its own response: nothing is shuffled, and a response becomes its two derivatives in one pass.
+Everything is DataFrame expressions, except that texts with other character references than the usual ones are decoded
+in Python, by the full HTML table.
 """
 
 from __future__ import annotations
 
+import html
+import re
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Parts of the record format.
 VERSION = "WARC/1.1"
@@ -41,6 +46,9 @@ ENTITIES = (
     ("&middot;", "·"),
     ("&amp;", "&"),
 )
+# A reference that ENTITIES do not hold; texts without one need no Python.
+OTHERS = "&(?!(?:" + "|".join(e[0][1:-1] for e in ENTITIES) + ");)[#A-Za-z]"
+REFERENCE = re.compile(r"&(?:#[0-9]+;?|#[xX][0-9A-Fa-f]+;?|[A-Za-z][A-Za-z0-9]*;?)")
 SPACES = r"[ \t\r\f\x0B]+"
 LINES = r" ?\n[ \n]*"
 ENDS = r"\A[ \n]+|[ \n]+\z"
@@ -78,10 +86,26 @@ def responses(pages: DataFrame, date: str = DATE) -> DataFrame:
     )
 
 
-def plain_text(page: Column) -> Column:
+@F.arrow_udf(StringType())
+def _decoded(texts: pa.Array) -> pa.Array:
+    """All character references, each once; a no-break space that a reference stands for is a space."""
+    one = lambda m: html.unescape(m[0]).replace("\xa0", " ")
+    return pa.array([None if t is None else REFERENCE.sub(one, t) for t in texts.to_pylist()], pa.string())
+
+
+def untagged(page: Column) -> Column:
     text = F.regexp_replace(page, UNSEEN, " ")
-    text = F.regexp_replace(F.regexp_replace(text, BREAKS, "\n"), TAGS, "")
-    text = reduce(lambda t, e: F.replace(t, F.lit(e[0]), F.lit(e[1])), ENTITIES, text)
+    return F.regexp_replace(F.regexp_replace(text, BREAKS, "\n"), TAGS, "")
+
+
+def decoded(text: Column) -> Column:
+    usual = reduce(lambda t, e: F.replace(t, F.lit(e[0]), F.lit(e[1])), ENTITIES, text)
+    other = F.rlike(text, F.lit(OTHERS))
+    return F.when(other, _decoded(F.when(other, text))).otherwise(usual)
+
+
+def plain_text(text: Column) -> Column:
+    """From a decoded text without tags."""
     text = F.regexp_replace(F.regexp_replace(text, SPACES, " "), LINES, "\n")
     return F.regexp_replace(text, ENDS, "")
 
@@ -110,6 +134,7 @@ def derivatives(source: DataFrame) -> DataFrame:
         F.when(cut > 0, F.substring(F.col("block"), F.lit(1), cut - 1)).otherwise(F.col("block")).alias("head"),
         F.when(cut > 0, F.substring(F.col("block"), cut + 4, F.length("block"))).otherwise(F.lit("")).alias("payload"),
     )
+    parted = parted.withColumn("payload", untagged(F.col("payload"))).withColumn("payload", decoded(F.col("payload")))
     lines = F.split("head", LINE)
     headers = F.transform(F.filter(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))), lambda x: x != ""), lambda x: F.concat(F.lit("http-header-"), x))
     named = F.concat(F.array(F.concat(F.lit("http-status-line: "), F.element_at(lines, 1))), headers)

@@ -1,5 +1,6 @@
 """Web pages, archive records and vector search."""
 
+import hashlib
 import math
 import random
 import re
@@ -199,3 +200,19 @@ def test_query_equals_sql(spark, name):
     result = catalog.QUERIES[name](spark, SF_TINY)
     assert sorted(result.columns) == sorted(names)
     assert sorted(map(tuple, result.select(*names).collect()), key=str) == sorted(cursor.fetchall(), key=str)
+
+
+def test_conversion_decodes_all_character_references(spark):
+    shown = {
+        "a&mdash;b &eacute;&hellip; &euro;5 &rsquo;": "a—b é… €5 ’",
+        "&#8212;&#x2014;&#X41; &#128512;": "——A 😀",
+        "&amp;mdash; &amp;amp; &amp;#65; &lt;b&gt; &mdash;": "&mdash; &amp; &#65; <b> —",
+        "x&#160;y&nbsp;z &hearts;": "x y z ♥",
+        "AT&T &unknown; & &; &#; &copy 2020": "AT&T &unknown; & &; &#; © 2020",
+        "&copy; &middot; &quot;&#39;&apos;&amp;": "© · \"''&",
+    }
+    pages = spark.createDataFrame([(i, "u", f"<p>{t}</p>") for i, t in enumerate(shown)], "page_id long, url string, html string")
+    rows = warc.derivatives(warc.responses(pages)).filter("type = 'conversion'").orderBy("page_id").collect()
+    assert [r["record"].partition("\r\n\r\n")[2][:-4] for r in rows] == list(shown.values())
+    for r, text in zip(rows, shown.values(), strict=True):
+        assert r["content_length"] == len(text.encode()) and r["block_digest"] == "sha256:" + hashlib.sha256(text.encode()).hexdigest()
