@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotledger.llm import bpe, decontamination, html_text, language, near_duplicates, pii, repeated_bytes, sharding, top_k, warc
+from slotledger.llm import (
+    bpe,
+    decontamination,
+    html_text,
+    language,
+    lexical,
+    near_duplicates,
+    pii,
+    repeated_bytes,
+    sharding,
+    top_k,
+    toxicity,
+    warc,
+    whitening,
+)
 from slotledger.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -169,3 +183,50 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
     coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc LEFT JOIN covered USING (k) LEFT JOIN found USING (k)
 """
+
+
+@query
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE_SQL["op12_lexical_search"] = r"""
+WITH doc AS (
+    SELECT doc_id, row_number() OVER () AS k,
+        regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents),
+item AS (
+    SELECT item_id, row_number() OVER () AS i,
+        regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM benchmark),
+asked AS (SELECT DISTINCT i, unnest(terms) AS term FROM item),
+whole AS (SELECT count(*) AS docs, CAST(sum(len(terms)) AS BIGINT) AS length FROM doc WHERE len(terms) > 0),
+posting AS (
+    SELECT k, term, count(*) AS tf FROM (SELECT k, unnest(terms) AS term FROM doc) SEMI JOIN asked USING (term) GROUP BY k, term),
+weight AS (
+    SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+    FROM (SELECT term, count(*) AS df FROM posting GROUP BY term), whole),
+impact AS (
+    SELECT k, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * len(terms) * docs) // length))) AS part
+    FROM posting JOIN weight USING (term) JOIN doc USING (k), whole),
+scored AS (SELECT i, k, CAST(sum(part) AS BIGINT) AS score FROM asked JOIN impact USING (term) GROUP BY i, k)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (
+    SELECT i, doc_id, score, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank
+    FROM scored JOIN doc USING (k) WHERE score > 0)
+JOIN item USING (i) WHERE rank <= 10
+"""
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
