@@ -206,7 +206,9 @@ def channel_leaderboard(t: Tables) -> DataFrame:
 
 @query("SELECT * FROM leaderboard", "leaderboard")
 def channel_leaderboard_spread(t: Tables) -> DataFrame:
-    return channels.channel_leaderboard(t.perf(), ranking.dense_ranks_spread)
+    """The same with the last rank spread by quantiles of its scores, the way for scores of unknown range."""
+    board = channels.channel_leaderboard(t.perf())
+    return channels.composite_rank(board.drop("performance_score", "overall_rank"))
 
 
 @query(

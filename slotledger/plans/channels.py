@@ -9,12 +9,11 @@ from pyspark.sql import functions as F
 
 from slotledger import schemas, settings
 from slotledger.functions import numbers, text
-from slotledger.operators.ranking import dense_ranks, minmax_score, top_one, unpivot_metrics
+from slotledger.operators.ranking import BUCKETS, dense_ranks, minmax_score, top_one, unpivot_metrics
 from slotledger.operators.rows import drop_missing, present
 from slotledger.plans.dashboard import spend_figures
 from slotledger.schemas import require_columns
 
-Ranker = Callable[[DataFrame, Mapping[str, Column]], DataFrame]
 
 _LABEL = "channel_display"
 _BOOKED = ("performance_date", "channel", "bookings_count")
@@ -151,20 +150,24 @@ def channel_summary(daily: DataFrame) -> DataFrame:
     return _with_cost(rows.groupBy(_LABEL).agg(_bookings(), _spend()))
 
 
-def composite_rank(ranked: DataFrame, rank: Ranker = dense_ranks) -> DataFrame:
-    """Score from volume and price ranks, lower is better, and the rank of that score."""
+def composite_rank(ranked: DataFrame, buckets: Column | None = None) -> DataFrame:
+    """Score from volume and price ranks, lower is better, and the rank of that score; ``buckets`` as for dense_ranks."""
     scored = ranked.withColumn("performance_score", F.col("booking_rank") + F.col("cpb_rank"))
-    return rank(scored, {"overall_rank": F.col("performance_score")})
+    return dense_ranks(scored, {"overall_rank": F.col("performance_score")}, {"overall_rank": buckets} if buckets is not None else None)
 
 
-def channel_leaderboard(daily: DataFrame, rank: Ranker = dense_ranks) -> DataFrame:
+def channel_leaderboard(daily: DataFrame) -> DataFrame:
     """Every channel with its ranks. Order by ``leaderboard_order()`` to show."""
     ranks = {
         "booking_rank": -F.col("bookings_count"),
         "spend_rank": -F.col("marketing_spend"),
         "cpb_rank": F.col("cost_per_booking"),
     }
-    return composite_rank(rank(channel_summary(daily), ranks), rank)
+    ranked = dense_ranks(channel_summary(daily), ranks, last=True)
+    # scores lie between 2 and the sum of the last places, so their buckets need no look at the data
+    steps = F.col("booking_rank_last") + F.col("cpb_rank_last") - 1
+    bucket = ((F.col("booking_rank") + F.col("cpb_rank") - 2) * BUCKETS / steps).cast("int")
+    return composite_rank(ranked, bucket).drop(*[f"{name}_last" for name in ranks])
 
 
 def leaderboard_order() -> list[Column]:

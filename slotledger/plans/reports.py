@@ -52,9 +52,9 @@ def bookings_trend(daily: DataFrame) -> Report:
     }
 
 
-def channel_leaderboard(daily: DataFrame, rank: channels.Ranker = channels.dense_ranks) -> Report:
+def channel_leaderboard(daily: DataFrame) -> Report:
     """Channels ranked by volume and price."""
-    board = channels.channel_leaderboard(daily, rank)
+    board = channels.channel_leaderboard(daily)
     ordered = board.orderBy(*channels.leaderboard_order())
     return {
         "overall": channels.overall_figures(daily),

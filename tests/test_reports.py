@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from slotledger.catalog import queries
 from slotledger.operators import calendar, ranking, rows as row_ops
 from slotledger.operators.combine import channel_mapping
 from slotledger.operators.rows import in_period
@@ -18,7 +19,7 @@ from slotledger.plans import channels, dashboard, marts, patterns, trends, workl
 from slotledger.schemas import MissingColumnsError
 from slotledger.settings import SPEND_CUTOFF, Selection
 from slotledger.sources.tables import clean_mart
-from tests.conftest import rows
+from tests.conftest import SF_TINY, rows
 
 DAY = date(2026, 6, 10)
 PERF = "performance_date date, channel string, bookings_count bigint, marketing_spend decimal(22,2)"
@@ -203,10 +204,26 @@ def test_leaderboard(perf):
     assert "CPB Rank" in channels.leaderboard_detail(board).columns
 
 
-@pytest.mark.parametrize("rank", [ranking.dense_ranks, ranking.dense_ranks_spread])
-def test_ranks_put_missing_last(spark, rank):
+def test_ranks_put_missing_last(spark):
     df = spark.createDataFrame([(0, 3.0), (1, None), (2, 1.0), (3, None), (4, 3.0)], "i int, x double")
-    assert [r["place"] for r in rank(df, {"place": F.col("x")}).orderBy("i").collect()] == [2, 3, 1, 3, 2]
+    ranked = ranking.dense_ranks(df, {"place": F.col("x")}, last=True).orderBy("i").collect()
+    assert [(r["place"], r["place_last"]) for r in ranked] == [(2, 3), (3, 3), (1, 3), (3, 3), (2, 3)]
+    known = ranking.dense_ranks(df, {"place": F.col("x")}, {"place": F.col("x") * 20})
+    assert [r["place"] for r in known.orderBy("i").collect()] == [2, 3, 1, 3, 2]
+    assert ranking.dense_ranks(df.filter("false"), {"place": F.col("x")}).collect() == []
+
+
+def test_rows_repeated_beyond_one_array_come_back(spark):
+    df = spark.range(25_003).select(F.least(F.col("id"), F.lit(2)).alias("x"))
+    ranked = ranking.dense_ranks(df, {"place": F.col("x")})
+    assert rows(ranked.groupBy("x", "place").count()) == [(0, 1, 1), (1, 2, 1), (2, 3, 25_001)]
+
+
+def test_ranks_of_ranks_stay_one_small_plan(spark):
+    plan = queries()["channel_leaderboard"](spark, SF_TINY)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") <= 12
+    rows_alone = [line for line in plan.splitlines() if "SinglePartition" in line]
+    assert len(rows_alone) == len(re.findall(r"SinglePartition[^\n]*\n[^\n]*partial_collect_list", plan))
 
 
 def test_spread_ranks_are_the_plain_ones(spark):
