@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime
@@ -17,8 +18,8 @@ from slotledger.plans import dashboard, marts, silver
 from slotledger.session import configure
 from slotledger.sinks.staging import staged
 from slotledger.sinks.tables import merge_into_table, publish_mart, upsert_snapshot
-from slotledger.sources.raw import UNREADABLE, read_spend, read_webhooks, readable, unreadable
-from slotledger.sources.tables import load_mart, load_snapshot
+from slotledger.sources.raw import UNREADABLE, list_files, not_in_ledger, read_spend, read_webhooks, readable, unreadable, updated_ledger
+from slotledger.sources.tables import latest_snapshot, load_ledger, load_mart, load_snapshot, table_exists
 
 MARTS = ("daily", "patterns", "load")
 
@@ -27,7 +28,7 @@ MARTS = ("daily", "patterns", "load")
 class Ingested:
     """The table's new version (a catalog keeps its own), and what was counted on the way.
 
-    ``counts``: rows of the table after the merge, documents that could not be read, and batch rows that lack a date,
+    ``counts``: rows of the table after the merge (not with a catalog, which knows them), documents that could not be read, and batch rows that lack a date,
     an amount or a known event type.
     """
 
@@ -37,9 +38,20 @@ class Ingested:
     counts: Mapping[str, int] = field(default_factory=dict, compare=False)
 
 
+@dataclass(frozen=True)
+class Source:
+    """How raw files are found and parsed, and whether those that an earlier run has merged are read again."""
+
+    path: str
+    read: Callable[..., DataFrame]
+    recursive: bool
+    modified_after: datetime | None
+    everything: bool
+
+
 def _ingest(
     spark: SparkSession,
-    raw: DataFrame,
+    source: Source,
     clean: Callable[[DataFrame], DataFrame],
     measures: Mapping[str, Column],
     table: str,
@@ -48,25 +60,48 @@ def _ingest(
     update_when: Callable[[Side, Side], Column] | None,
     provider: str | None,
 ) -> Ingested:
-    """Clean, store and merge a batch; everything is counted while it is stored.
+    """Read new and changed files, clean, store and merge them; everything is counted while it is stored.
 
+    The ledger of a snapshot table is part of its version, so a file is in it if and only if its rows are in the table.
+    Files are listed before they are read: one that changes in between is read again by the next run, which does no harm.
     Documents that cannot be read are not merged. In a snapshot table their text and file go to ``_unreadable`` below
-    it; with a catalog they stay in the raw folder, and their number is returned.
+    it, once; with a catalog they stay in the raw folder, and their number is returned.
     """
-    counted, raw_rows = counted_in_passing(raw, "raw", {"unreadable": F.count_if(F.col(UNREADABLE).isNotNull())})
-    batch, batch_rows = counted_in_passing(clean(readable(counted)), "batch", measures)
-    with staged(batch) as batch:
-        found = {"unreadable": raw_rows.get["unreadable"]} | {name: batch_rows.get[name] for name in measures}
-        if in_catalog:
-            merge_into_table(batch, table, keys, update_when, provider)
-            version, found["table_rows"] = None, spark.table(table).count()
+    ledger = None if in_catalog else load_ledger(spark, table)
+    with staged(list_files(spark, source.path, source.recursive, source.modified_after)) as listed:
+        new = listed if source.everything else not_in_ledger(listed, ledger)
+        if ledger is None or source.everything:
+            raw = source.read(spark, source.path, modified_after=source.modified_after)
+        elif paths := [r["path"] for r in new.select("path").collect()]:
+            raw = source.read(spark, paths)
         else:
-            if found["unreadable"]:
-                unreadable(raw).write.mode("append").parquet(f"{table.rstrip('/')}/_unreadable")
-            version, found["table_rows"] = upsert_snapshot(spark, table, batch, keys, update_when)
+            rows = load_snapshot(spark, table).count()  # from the files' footers
+            return Ingested(latest_snapshot(spark, table), 0, 0, {"unreadable": 0, **dict.fromkeys(measures, 0), "table_rows": rows})
+        counted, raw_rows = counted_in_passing(raw, "raw", {"unreadable": F.count_if(F.col(UNREADABLE).isNotNull())})
+        batch, batch_rows = counted_in_passing(clean(readable(counted)), "batch", measures)
+        with staged(batch) as batch:
+            found = {"unreadable": raw_rows.get["unreadable"]} | {name: batch_rows.get[name] for name in measures}
+            if in_catalog:
+                merge_into_table(batch, table, keys, update_when, provider)
+                version = None
+            else:
+                if found["unreadable"]:
+                    keep_unreadable(raw, f"{table.rstrip('/')}/_unreadable")
+                folder = f"_ledger/{uuid.uuid4().hex}"
+                updated_ledger(new, ledger).write.parquet(f"{table.rstrip('/')}/{folder}")
+                version, found["table_rows"] = upsert_snapshot(spark, table, batch, keys, update_when, folder)
     return Ingested(version, raw_rows.get["row_count"] - found["unreadable"], batch_rows.get["row_count"], found)
 
 
+def keep_unreadable(raw: DataFrame, path: str) -> None:
+    """Add the unreadable documents to a folder, but for those of files that are there already as they are now."""
+    rows = unreadable(raw)
+    if table_exists(raw.sparkSession, path):
+        known = raw.sparkSession.read.schema(rows.schema).parquet(path).select("raw_file_path", "raw_file_modified_at").distinct()
+        rows = rows.join(known, ["raw_file_path", "raw_file_modified_at"], "left_anti").select(rows.columns)
+    rows.write.mode("append").parquet(path)
+
+
 def _missing(column: str) -> Column:
     return F.count_if(F.col(column).isNull())
 
@@ -79,18 +114,20 @@ def ingest_webhooks(
     as_of: datetime | None = None,
     modified_after: datetime | None = None,
     provider: str | None = None,
+    everything: bool = False,
 ) -> Ingested:
     """Merge the newest delivery of every key into the webhook table.
 
     ``table`` is the folder of a snapshot table or, ``in_catalog``, the name of a table that supports
-    MERGE INTO: the way for large tables, as a snapshot is rewritten on every run. With ``modified_after``, only files
-    changed later are read.
+    MERGE INTO: the way for large tables, as a snapshot is rewritten on every run. A snapshot table keeps a ledger of the
+    files in it, and only new and changed ones are read, unless ``everything`` is asked for; a delivery that arrives late
+    does not replace a newer one. With ``modified_after``, only files changed later are looked at.
     """
     configure(spark)
-    raw = read_webhooks(spark, raw_path, modified_after=modified_after)
+    source = Source(raw_path, read_webhooks, True, modified_after, everything)
     clean = lambda df: silver.silver_webhooks(df, as_of)
     measures = {"no_date": _missing("webhook_created_at"), "no_event_type": _missing("event_type_code")}
-    return _ingest(spark, raw, clean, measures, table, in_catalog, silver.WEBHOOK_KEYS, None, provider)
+    return _ingest(spark, source, clean, measures, table, in_catalog, silver.WEBHOOK_KEYS, silver.delivered_later, provider)
 
 
 def ingest_spend(
@@ -102,17 +139,18 @@ def ingest_spend(
     as_of: datetime | None = None,
     modified_after: datetime | None = None,
     provider: str | None = None,
+    everything: bool = False,
 ) -> Ingested:
-    """Merge the newest spend of every day and channel into the spend table, where it changed."""
+    """Merge the newest spend of every day and channel into the spend table, where it changed. Files as for webhooks."""
     configure(spark)
-    raw, keys = read_spend(spark, raw_path, modified_after=modified_after), silver.SPEND_KEYS
+    source, keys = Source(raw_path, read_spend, False, modified_after, everything), silver.SPEND_KEYS
     clean = lambda df: silver.silver_spend(df, codes, as_of)
     measures = {
         "no_date": _missing("spend_date"),
         "no_amount": _missing("spend"),
         "no_event_type": F.count_if(F.col("event_type_code") == settings.UNKNOWN),
     }
-    return _ingest(spark, raw, clean, measures, table, in_catalog, keys, silver.spend_changed, provider)
+    return _ingest(spark, source, clean, measures, table, in_catalog, keys, silver.spend_superseded, provider)
 
 
 def rebuild_marts(

@@ -99,3 +99,14 @@ def silver_spend(
 def spend_changed(table: Side, batch: Side) -> Column:
     """When a spend row is replaced: another amount, or a newer file."""
     return (table("spend") != batch("spend")) | (table("raw_file_modified_at") < batch("raw_file_modified_at"))
+
+
+def spend_superseded(table: Side, batch: Side) -> Column:
+    """The same for a batch of new files only, in which an older file may arrive late: that one changes nothing."""
+    older = F.coalesce(batch("raw_file_modified_at") < table("raw_file_modified_at"), F.lit(False))
+    return spend_changed(table, batch) & ~older
+
+
+def delivered_later(table: Side, batch: Side) -> Column:
+    """When a webhook is replaced by one of a batch of new files only: unless the table's was delivered after it."""
+    return table("webhook_created_at").isNull() | (batch("webhook_created_at") >= table("webhook_created_at"))

@@ -10,7 +10,19 @@ from pyspark.sql import functions as F
 
 from slotledger.operators.audit import counted_in_passing
 from slotledger.operators.versions import Side, upsert
-from slotledger.sources.tables import commit_snapshot, has_data, latest_snapshot, load_table, new_snapshot_path, snapshot_path
+from slotledger.sources.tables import (
+    Version,
+    commit_snapshot,
+    forget_versions,
+    has_data,
+    holdings,
+    latest_snapshot,
+    load_table,
+    new_snapshot_path,
+    next_number,
+    snapshot_path,
+    write_text,
+)
 
 FILE_FORMATS = ("parquet", "orc", "csv", "json", "text", "avro", "xml", "binaryfile", "hive")
 
@@ -24,18 +36,45 @@ def write_table(
 ) -> None:
     """Create or fully replace a table. Plain Parquet takes any new schema; a table format is told to.
 
+    A folder of Parquet is replaced in one step: the rows go to a folder of their own, which a record then makes the
+    current version (see load_table). The version before it stays for readers that have begun; older ones are removed.
     Rows of a partitioned table are rebalanced by partition first: adaptive execution gives a large
     partition several tasks and small ones a common task, instead of every task a file in each.
     """
-    rows = df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
-    writer = rows.write.format(fmt).mode("overwrite")
+    if fmt == "parquet":
+        newest = latest_snapshot(df.sparkSession, path)
+        _commit_written(df.sparkSession, path, newest, _write_files(df, new_snapshot_path(path), partition_by))
+        forget_versions(df.sparkSession, path, 2)
+        return
+    writer = _rebalanced(df, partition_by).write.format(fmt).mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if replace_schema and fmt != "parquet":
+    if replace_schema:
         writer = writer.option("overwriteSchema", "true")
     writer.save(path)
 
 
+def _rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    return df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
+
+
+def _write_files(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
+    writer = _rebalanced(df, partition_by).write.mode("errorifexists")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    return path
+
+
+def _commit_written(
+    spark: SparkSession, root: str, newest: int | None, path: str, ledger: str | None = None, export: str | None = None
+) -> int:
+    """Commit a written folder as the version after ``newest``; the record says what the folder holds."""
+    number = next_number(spark, root, newest)
+    files, size = holdings(spark, path)
+    rows = spark.read.parquet(path).count() if files else 0  # from the files' footers
+    commit_snapshot(spark, root, number, Version(path.rsplit("/", 1)[1], rows, files, size, ledger, export))
+    return number
+
+
 def export_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
@@ -43,30 +82,49 @@ def export_parquet(df: DataFrame, path: str) -> None:
 def publish_mart(df: DataFrame, table_path: str, export_path: str, fmt: str = "parquet") -> int:
     """Build a mart once and export what was written, so both copies hold the same rows and load stamp.
 
-    Returns the number of rows, counted while they are written.
+    Both are folders of their own that one record names, so readers of either (load_table, load_mart) see the old
+    rows or the new ones, and never a half or an empty mart. With another format the mart is replaced as that format
+    does, and the export after it. Returns the number of rows, counted while they are written.
     """
+    spark = df.sparkSession
     counted, rows = counted_in_passing(df, table_path)
-    write_table(counted, table_path, fmt, replace_schema=True)
-    export_parquet(load_table(df.sparkSession, table_path, fmt), export_path)
+    if fmt != "parquet":
+        write_table(counted, table_path, fmt, replace_schema=True)
+        write_table(load_table(spark, table_path, fmt), export_path)
+        return rows.get["row_count"]
+    newest = latest_snapshot(spark, table_path)
+    path = _write_files(counted, new_snapshot_path(table_path))
+    export = _write_files(spark.read.schema(df.schema).parquet(path), new_snapshot_path(export_path))
+    write_text(spark, f"{export_path.rstrip('/')}/_mart", table_path)
+    _commit_written(spark, table_path, newest, path, export=export)
+    forget_versions(spark, table_path, 2)
     return rows.get["row_count"]
 
 
-def write_snapshot(df: DataFrame, root: str, newest: int | None = None) -> int:
+def write_snapshot(df: DataFrame, root: str, newest: int | None = None, ledger: str | None = None) -> int:
     """Write the version after ``newest`` (the one the rows were made from) beside it, and commit it by a record.
 
     The data goes to a folder of its own, and only one writer can create a version's record. A job that dies half way,
     or a second writer of the same version, leaves the table as it was; the second one fails and can run again. A first
-    version is refused where other data lies.
+    version is refused where other data lies. ``ledger`` names the folder that lists the raw files in this version.
     """
     spark = df.sparkSession
     if newest is None and latest_snapshot(spark, root) is not None:
         raise FileExistsError(f"{root} has versions already")
     if newest is None and has_data(spark, root):
         raise FileExistsError(f"{root} holds data that is not a committed version; it would be hidden by a first one")
-    number, path = 0 if newest is None else newest + 1, new_snapshot_path(root)
-    df.write.mode("errorifexists").parquet(path)
-    commit_snapshot(spark, root, number, path)
-    return number
+    return _commit_written(spark, root, newest, _write_files(df, new_snapshot_path(root)), ledger)
+
+
+class RepeatedKeysError(ValueError):
+    """A batch holds a key more than once, so that a merge could not tell which of its rows counts."""
+
+
+def refuse_repeats(batch: DataFrame, keys: Sequence[str]) -> None:
+    """Fail if two rows share a key, as MERGE does; NULL keys match nothing and may repeat. Only keys are read and shuffled."""
+    repeated = batch.dropna(subset=list(keys)).groupBy(*keys).count().filter("count > 1").first()
+    if repeated:
+        raise RepeatedKeysError(f"the batch has {repeated['count']} rows with {', '.join(f'{k}={repeated[k]}' for k in keys)}")
 
 
 def upsert_snapshot(
@@ -75,16 +133,18 @@ def upsert_snapshot(
     batch: DataFrame,
     keys: Sequence[str],
     update_when: Callable[[Side, Side], Column] | None = None,
+    ledger: str | None = None,
 ) -> tuple[int, int]:
     """Create the table from the batch, or merge the batch into its current version.
 
     Returns the version and its number of rows, counted while they are written. Each version is a full copy: for large
-    tables, use a catalog table with row-level changes.
+    tables, use a catalog table with row-level changes. A batch that repeats a key is refused.
     """
+    refuse_repeats(batch, keys)
     newest = latest_snapshot(spark, root)
     rows = batch if newest is None else upsert(spark.read.parquet(snapshot_path(spark, root, newest)), batch, keys, update_when)
     counted, count = counted_in_passing(rows, root)
-    return write_snapshot(counted, root, newest), count.get["row_count"]
+    return write_snapshot(counted, root, newest, ledger), count.get["row_count"]
 
 
 def _can_merge(spark: SparkSession, table: str, provider: str | None) -> bool:
@@ -112,6 +172,7 @@ def merge_into_table(
     second batch is refused before anything is created.
     """
     spark = batch.sparkSession
+    refuse_repeats(batch, keys)
     if not spark.catalog.tableExists(table):
         if not _can_merge(spark, table, provider):
             raise ValueError(f"{table} would be a table of plain files, which cannot take MERGE; name a provider or catalog that can")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
@@ -21,11 +21,37 @@ def with_lineage(df: DataFrame) -> DataFrame:
     )
 
 
+def _since(reader: DataFrameReader, modified_after: datetime | None) -> DataFrameReader:
+    """Only files changed later. A moment without a zone is in the session's; one with a zone is taken in UTC."""
+    if modified_after is None:
+        return reader
+    if modified_after.tzinfo is not None:
+        reader, modified_after = reader.option("timeZone", "UTC"), modified_after.astimezone(timezone.utc)
+    return reader.option("modifiedAfter", modified_after.strftime("%Y-%m-%dT%H:%M:%S"))
+
+
 def _json(spark: SparkSession, schema: str, modified_after: datetime | None) -> DataFrameReader:
     """Documents of a declared shape; what cannot be read as one is kept as text in ``unreadable_text``."""
     reader = spark.read.schema(f"{schema}, {UNREADABLE} string").option("multiLine", True).option("columnNameOfCorruptRecord", UNREADABLE)
-    # the reader compares in the session's zone, as it is written here
-    return reader.option("modifiedAfter", modified_after.strftime("%Y-%m-%dT%H:%M:%S")) if modified_after else reader
+    return _since(reader, modified_after)
+
+
+def list_files(spark: SparkSession, path: str | list[str], recursive: bool = False, modified_after: datetime | None = None) -> DataFrame:
+    """path, modified and length of the raw files that a reader of ``path`` would take, without opening them."""
+    reader = _since(spark.read.format("binaryFile"), modified_after)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", True)
+    return reader.load(path).select("path", F.col("modificationTime").alias("modified"), "length")
+
+
+def not_in_ledger(listed: DataFrame, ledger: DataFrame | None) -> DataFrame:
+    """The files that are not in the ledger as they are now: new ones, and those changed since they were read."""
+    return listed if ledger is None else listed.join(ledger, ["path", "modified", "length"], "left_anti")
+
+
+def updated_ledger(new: DataFrame, ledger: DataFrame | None) -> DataFrame:
+    """The ledger after ``new`` files were read: one row per path."""
+    return new if ledger is None else ledger.join(new.select("path"), "path", "left_anti").unionByName(new)
 
 
 def read_webhooks(
@@ -37,8 +63,8 @@ def read_webhooks(
 ) -> DataFrame:
     """Booking webhooks, one JSON document per file, from a folder tree or from ``*.json`` of one folder.
 
-    With ``modified_after`` (session zone, whole seconds), only files changed later are read: the way not to parse the
-    whole history on every run. By default everything is read. Unreadable documents are rows of their own; see
+    With ``modified_after`` (whole seconds; in its own zone, or else the session's), only files changed later are read.
+    By default everything is read; the jobs read what their ledger does not hold. Unreadable documents are rows of their own; see
     ``readable`` and ``unreadable``.
     """
     reader = _json(spark, schema, modified_after)

@@ -1,7 +1,8 @@
 """Raw files to reports, the way a user runs it."""
 
+import json
 import os
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 from decimal import Decimal
 
 import pytest
@@ -10,7 +11,8 @@ from slotledger import jobs
 from slotledger.plans import channels, dashboard, marts, patterns, reports, workload
 from slotledger.settings import Selection
 from slotledger.sinks import staging
-from slotledger.sources.tables import load_snapshot, load_table
+from slotledger.sources.raw import list_files, read_spend
+from slotledger.sources.tables import exported, load_ledger, load_snapshot, load_table
 from tests.conftest import rows
 from tests.test_ingest import spend_dir, webhook_dir  # noqa: F401  (fixtures)
 
@@ -24,7 +26,7 @@ def paths(tmp_path):
 
 def test_from_files_to_reports(spark, webhook_dir, spend_dir, paths):  # noqa: F811
     for version in (0, 1):  # running a job again adds a version and no rows
-        ingested = jobs.ingest_webhooks(spark, webhook_dir, paths["silver_webhooks"], as_of=NOW)
+        ingested = jobs.ingest_webhooks(spark, webhook_dir, paths["silver_webhooks"], as_of=NOW, everything=True)
         assert ingested == jobs.Ingested(version, raw_rows=5, batch_rows=4)
         assert load_snapshot(spark, paths["silver_webhooks"]).count() == 4
     jobs.ingest_spend(spark, spend_dir, paths["silver_spend"], codes={"tiktok_paid_ads": "ET1"}, as_of=NOW)
@@ -33,7 +35,7 @@ def test_from_files_to_reports(spark, webhook_dir, spend_dir, paths):  # noqa: F
     folders = [paths[name] for name in ("silver_webhooks", "silver_spend", "marts", "exports")]
     assert jobs.rebuild_marts(spark, *folders, as_of=NOW) == {"daily": 3, "patterns": 3, "load": 1}
     for name, width in zip(jobs.MARTS, (11, 12, 10)):
-        mart, export = (load_table(spark, f"{paths[where]}/{name}") for where in ("marts", "exports"))
+        mart, export = (load_table(spark, exported(spark, f"{paths[where]}/{name}")) for where in ("marts", "exports"))
         assert len(mart.columns) == width and rows(mart) == rows(export)
 
     daily, times, load = jobs.open_dashboard(spark, paths["exports"])
@@ -163,3 +165,71 @@ def test_no_machine_local_folder_on_a_cluster():
         staging.staging_folder(Cluster)
     Cluster.conf = {"spark.checkpoint.dir": "s3a://shared/tmp/"}
     assert staging.staging_folder(Cluster) == "s3a://shared/tmp"
+
+
+def test_the_ledger_spares_files_that_are_merged(spark, tmp_path, paths):
+    folder, table = tmp_path / "raw", paths["silver_spend"]
+    folder.mkdir()
+    line = '[{"date": "2026-06-0%d", "channel": "a", "spend": %d}]'
+    for i in (1, 2):
+        (folder / f"{i}.json").write_text(line % (i, i))
+    (folder / "bad.json").write_text("{ not json")
+    assert jobs.ingest_spend(spark, str(folder), table).raw_rows == 2
+    assert load_ledger(spark, table).count() == 3
+    again = jobs.ingest_spend(spark, str(folder), table)
+    assert (again.version, again.raw_rows, again.counts["table_rows"]) == (0, 0, 2)
+    (folder / "3.json").write_text(line % (3, 3))
+    (folder / "1.json").write_text(line % (1, 10))
+    os.utime(folder / "1.json", (1_990_000_000,) * 2)
+    found = jobs.ingest_spend(spark, str(folder), table)
+    assert (found.version, found.raw_rows, found.counts["unreadable"], found.counts["table_rows"]) == (1, 2, 0, 3)
+    assert sorted(r["spend"] for r in load_snapshot(spark, table).collect()) == [2, 3, 10]
+    assert load_ledger(spark, table).count() == 4
+    everything = jobs.ingest_spend(spark, str(folder), table, everything=True)
+    assert (everything.raw_rows, everything.counts["unreadable"], everything.counts["table_rows"]) == (3, 1, 3)
+    assert spark.read.parquet(f"{table}/_unreadable").count() == 1
+
+
+def test_a_run_that_dies_before_its_commit_reads_its_files_again(spark, tmp_path, paths, monkeypatch):
+    folder, table = tmp_path / "raw", paths["silver_spend"]
+    folder.mkdir()
+    (folder / "1.json").write_text('[{"date": "2026-06-01", "channel": "a", "spend": 1}]')
+    (folder / "bad.json").write_text("{ not json")
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(jobs, "upsert_snapshot", dies)
+        with pytest.raises(RuntimeError):
+            jobs.ingest_spend(spark, str(folder), table)
+    assert load_ledger(spark, table) is None
+    assert jobs.ingest_spend(spark, str(folder), table).raw_rows == 1
+    assert spark.read.parquet(f"{table}/_unreadable").count() == 1
+
+
+def test_a_delivery_that_arrives_late_replaces_nothing_newer(spark, tmp_path, paths):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+
+    def deliver(name, created_at, email):
+        payload = {"event": "https://api.example.com/scheduled_events/EV1", "email": email}
+        (folder / name).write_text(json.dumps({"event": "invitee.created", "created_at": created_at, "payload": payload}))
+
+    for name, created_at in (("b", "2026-06-10T05:00:00.000000Z"), ("a", "2026-06-09T05:00:00.000000Z"), ("c", "2026-06-11T05:00:00.000000Z")):
+        deliver(f"{name}.json", created_at, "x@y.z")
+        found = jobs.ingest_webhooks(spark, str(folder), paths["silver_webhooks"], as_of=NOW)
+        assert (found.raw_rows, found.counts["table_rows"]) == (1, 1)
+        stored = load_snapshot(spark, paths["silver_webhooks"]).first()["raw_file_path"]
+        assert stored.endswith("b.json" if name == "a" else f"{name}.json")
+
+
+def test_the_same_moment_in_any_zone_reads_the_same_files(spark, tmp_path):
+    for i in range(2):
+        (tmp_path / f"{i}.json").write_text('[{"date": "2026-06-01", "channel": "a", "spend": 1}]')
+        os.utime(tmp_path / f"{i}.json", (1_780_000_000 + 86_400 * i,) * 2)
+    moment = datetime.fromtimestamp(1_780_000_000 + 3_600, timezone.utc)
+    moments = [moment, moment.astimezone(timezone(timedelta(hours=2))), moment.astimezone(timezone(timedelta(hours=-7))), moment.replace(tzinfo=None)]
+    for since in moments:
+        assert read_spend(spark, str(tmp_path), modified_after=since).count() == 1
+        assert list_files(spark, str(tmp_path), modified_after=since).count() == 1

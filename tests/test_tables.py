@@ -160,7 +160,7 @@ def test_partitioned_write(spark, table, tmp_path):
 def test_export_holds_the_rows_of_the_table(spark, table, tmp_path):
     paths = [str(tmp_path / name) for name in ("table", "export")]
     sinks.publish_mart(with_load_stamp(table), *paths)
-    first, second = (rows(sources.load_table(spark, path)) for path in paths)
+    first, second = (rows(sources.load_table(spark, sources.exported(spark, path))) for path in paths)
     assert first == second and first[0][-1] is not None
 
 
@@ -174,3 +174,89 @@ def test_counting_in_passing(table, tmp_path):
     counted, observation = counted_in_passing(table, "silver")
     sinks.export_parquet(counted, str(tmp_path / "out"))
     assert observation.get == {"row_count": 4}
+
+
+def torn(root, number, text):
+    """A record as a job that died while writing it would have left it, without the rename."""
+    (root / "_versions" / str(number)).write_text(text)
+
+
+@pytest.mark.parametrize("text", ["", '{"folder": "snapshot=', "snapshot=123", "[]", '{"other": 1}', '{"folder": "snapshot=none"}'])
+def test_torn_records_are_passed_over(spark, table, batch, tmp_path, text):
+    root = tmp_path / "silver"
+    sinks.upsert_snapshot(spark, str(root), table, ["k", "c"], changed)
+    torn(root, 1, text)
+    assert sources.latest_snapshot(spark, str(root)) == 0
+    assert rows(sources.load_snapshot(spark, str(root))) == rows(table)
+    assert sinks.upsert_snapshot(spark, str(root), batch, ["k", "c"], changed) == (2, 6)
+    assert rows(sources.load_snapshot(spark, str(root))) == rows(upsert(table, batch, ["k", "c"], changed))
+
+
+def test_a_table_of_torn_records_only_does_not_exist(spark, table, tmp_path):
+    root = tmp_path / "silver"
+    (root / "_versions").mkdir(parents=True)
+    torn(root, 0, "")
+    assert not sources.table_exists(spark, str(root))
+    assert sinks.upsert_snapshot(spark, str(root), table, ["k", "c"]) == (1, 4)
+
+
+def test_a_version_that_lost_a_file_is_passed_over(spark, table, batch, tmp_path):
+    root = tmp_path / "silver"
+    sinks.write_snapshot(table, str(root))
+    sinks.write_snapshot(batch, str(root), 0)
+    version = sources.read_version(spark, str(root), 1)
+    assert version.rows == 5
+    next((root / version.folder).glob("*.parquet")).unlink()
+    assert sources.latest_snapshot(spark, str(root)) == 0
+
+
+def test_records_of_earlier_releases_are_read(spark, table, tmp_path):
+    root, folder = tmp_path / "silver", "snapshot=" + "0" * 32
+    table.write.parquet(str(root / folder))
+    (root / "_versions").mkdir()
+    torn(root, 0, folder)
+    assert rows(sources.load_snapshot(spark, str(root))) == rows(table)
+
+
+def test_stores_without_an_exclusive_rename_are_refused(spark, table, tmp_path, monkeypatch):
+    monkeypatch.setattr(sources, "EXCLUSIVE", ("hdfs",))
+    root = str(tmp_path / "silver")
+    with pytest.raises(ValueError, match="not exclusive"):
+        sinks.write_snapshot(table, root)
+    assert not sources.table_exists(spark, root)
+    spark.conf.set(sources.SINGLE_WRITER, "true")
+    try:
+        assert sinks.write_snapshot(table, root) == 0
+    finally:
+        spark.conf.unset(sources.SINGLE_WRITER)
+
+
+def test_a_batch_that_repeats_a_key_is_refused(spark, table, tmp_path):
+    root = str(tmp_path / "silver")
+    sinks.upsert_snapshot(spark, root, table, ["k", "c"])
+    twice = spark.createDataFrame([(1, "a", 1, 1), (1, "a", 2, 1)], SCHEMA)
+    with pytest.raises(sinks.RepeatedKeysError, match="2 rows with k=1, c=a"):
+        sinks.upsert_snapshot(spark, root, twice, ["k", "c"])
+    assert rows(sources.load_snapshot(spark, root)) == rows(table)
+    null_keys = spark.createDataFrame([(None, "a", 1, 1), (None, "a", 2, 1)], SCHEMA)
+    assert sinks.upsert_snapshot(spark, root, null_keys, ["k", "c"])[1] == 6
+
+
+def test_a_failing_rebuild_leaves_the_old_mart(spark, table, batch, tmp_path):
+    mart, export = (str(tmp_path / name) for name in ("mart", "export"))
+    for fresh in (table, batch, table):
+        sinks.publish_mart(fresh, mart, export)
+        broken = fresh.withColumn("v", F.raise_error(F.lit("executor lost")).cast("int"))
+        with pytest.raises(Exception, match="executor lost"):
+            sinks.publish_mart(broken, mart, export)
+        assert rows(sources.load_table(spark, mart)) == rows(sources.load_table(spark, sources.exported(spark, export))) == rows(fresh)
+    kept = [p.name for p in (tmp_path / "mart" / "_versions").glob("[0-9]*")]
+    assert sorted(kept) == ["1", "2"]  # the version before stays for readers that have begun
+
+
+def test_an_overwrite_that_fails_leaves_the_old_rows(spark, table, tmp_path):
+    path = str(tmp_path / "plain")
+    sinks.write_table(table, path)
+    with pytest.raises(Exception, match="executor lost"):
+        sinks.write_table(table.withColumn("v", F.raise_error(F.lit("executor lost"))), path)
+    assert rows(sources.load_table(spark, path)) == rows(table)
