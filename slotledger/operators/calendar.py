@@ -59,14 +59,40 @@ def densify(df: DataFrame, day: str, series: str, value: str, fill: object = 0,
     )
 
 
+RANGES = 64
+
+
 def rolling_mean(
     df: DataFrame, order: str, value: str, name: str, rows: int = TRAILING_ROWS, by: str | None = None
 ) -> DataFrame:
     """Mean over this and the ``rows - 1`` rows before it, or fewer at the start.
 
-    Without ``by`` all rows share one window, so ``df`` must hold one row per day: a date column has
-    fewer than four million values, whatever the table's size.
+    Without ``by`` and ordered by a date, all rows share one window, so ``df`` must hold one row per day: a date column
+    has fewer than four million values, whatever the table's size. Ordered by anything else, e.g. a time, the rows are
+    cut into ranges, and each range also gets the ``rows - 1`` rows that come before it, so no task holds them all.
     """
+    if by is None and df.schema[order].dataType.typeName() != "date":
+        return _rolling_in_ranges(df, order, value, name, rows)
     window = Window.partitionBy(by) if by else Window.partitionBy()
     trailing = window.orderBy(order).rowsBetween(1 - rows, Window.currentRow)
     return df.withColumn(name, F.avg(value).over(trailing))
+
+
+def _rolling_in_ranges(df: DataFrame, order: str, value: str, name: str, rows: int) -> DataFrame:
+    """Ranges of the order column come from approximate quantiles, which only divide the work.
+
+    The last ``rows - 1`` rows of each range go to all later ones as well, so that short ranges do no harm. Rows of one
+    order value are in one range, and are ordered by ``value``; a column that is no number or time is a single range.
+    """
+    place = F.expr(f"try_cast(`{order}` AS double)")
+    parts = [i / RANGES for i in range(1, RANGES)]
+    bounds = df.agg(F.percentile_approx(place, parts, 1000)).scalar()
+    lower = F.filter("_bounds", lambda b: b < F.col("_size"))
+    ranged = df.select("*", place.alias("_size"), bounds.alias("_bounds"))
+    ranged = ranged.select(*df.columns, F.coalesce(F.when(F.col("_bounds").isNotNull(), F.size(lower)), F.lit(0)).alias("_range"))
+    from_end = F.row_number().over(Window.partitionBy("_range").orderBy(F.col(order).desc(), F.col(value).desc()))
+    later = F.when((from_end < rows) & (F.col("_range") < RANGES), F.sequence(F.col("_range") + 1, F.lit(RANGES)))
+    sent = ranged.withColumn("_to", F.concat(F.array("_range"), F.coalesce(later, F.array().cast("array<int>"))))
+    shared = sent.select(*df.columns, "_range", F.explode("_to").alias("_to"))
+    trailing = Window.partitionBy("_to").orderBy(order, value).rowsBetween(1 - rows, Window.currentRow)
+    return shared.withColumn(name, F.avg(value).over(trailing)).filter("_range = _to").drop("_range", "_to")

@@ -439,3 +439,21 @@ def test_present_leaves_out_what_is_not_there(spark):
     df = spark.createDataFrame([(1, 2)], "a int, b int")
     assert row_ops.present(df, {"a": "A"}).columns == ["A", "b"]
     assert row_ops.present(df, {"a": "A", "c": "C"}, ["c", "a"]).columns == ["A"]
+
+
+@pytest.mark.parametrize(("count", "rows_"), [(3000, 7), (40, 7), (5, 3), (0, 7), (300, 1), (200, 90)])
+def test_trailing_mean_over_times_needs_no_single_task(spark, count, rows_):
+    at = F.timestamp_seconds(F.col("id") * F.col("id") * 17 + 1_700_000_000)
+    df = spark.range(count).select(at.alias("at"), (F.col("id") % 13).cast("double").alias("x"), F.lit("k").alias("_bounds_"))
+    found = calendar.rolling_mean(df, "at", "x", "mean", rows_)
+    plain = df.withColumn("mean", F.avg("x").over(Window.orderBy("at").rowsBetween(1 - rows_, 0)))
+    assert rows(found) == rows(plain)
+    text = found._jdf.queryExecution().executedPlan().toString()
+    alone = re.findall(r"SinglePartition[^\n]*\n([^\n]*)", text)
+    assert all("partial_percentile_approx" in line for line in alone)
+
+
+def test_trailing_mean_with_missing_and_tied_times(spark):
+    df = spark.createDataFrame([(None, 1.0), (2.0, 2.0), (2.0, 4.0), (3.0, 6.0), (None, 3.0)], "at double, x double")
+    found = calendar.rolling_mean(df, "at", "x", "mean", 2)
+    assert rows(found) == [(None, 1.0, 1.0), (None, 3.0, 2.0), (2.0, 2.0, 2.5), (2.0, 4.0, 3.0), (3.0, 6.0, 5.0)]
