@@ -105,7 +105,8 @@ def worst(values: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
+    with np.errstate(over="ignore"):
+        return 1 / (1 + np.exp(-x))
 
 
 class _Adam:
@@ -257,7 +258,8 @@ def sample(docs: DataFrame, labels: DataFrame, most_docs: int = SAMPLE_DOCS, mos
     shares = sized.groupBy("label").agg(F.count("*").alias("all"))
     shares = shares.join(chosen.groupBy("label").agg(F.count("*").alias("used")), "label")
     weighted = chosen.join(shares.select("label", (F.col("all") / F.col("used")).alias("weight")), "label")
-    texts = id_and_text(docs).join(weighted, "doc_id").groupBy("doc_id", "label", "weight").agg(F.min("text").alias("text"))
+    # at most most_docs short rows are broadcast, so that no text is shuffled but those that are learned from
+    texts = id_and_text(docs).join(F.broadcast(weighted), "doc_id").groupBy("doc_id", "label", "weight").agg(F.min("text").alias("text"))
     return texts.select("doc_id", "text", "label", "weight", (F.pmod(F.xxhash64("doc_id", F.lit("check")), F.lit(CHECKED)) == 0).alias("checked"))
 
 
