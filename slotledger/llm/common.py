@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _SETTING = "spark.checkpoint.dir"
@@ -43,6 +43,21 @@ def id_and_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+def with_text(docs: DataFrame, new: Column) -> DataFrame:
+    """The same rows and columns with ``new`` as their text where it is not null; a column n_chars of longs follows."""
+    name = free_name(docs, "new_text")
+
+    def value(column: str, kind: str) -> Column:
+        old, replaced = F.col(f"`{column}`"), F.col(name)
+        if column.lower() == "text":
+            return F.coalesce(replaced, old).alias(column)
+        if column.lower() == "n_chars" and kind == "bigint":
+            return F.coalesce(F.char_length(replaced).cast("long"), old).alias(column)
+        return old
+
+    return docs.withColumn(name, new).select(*[value(*c) for c in docs.dtypes])
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string or binary column without nulls, and the n + 1 offsets of its values; no copy is made."""
     wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)

@@ -17,8 +17,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from slotledger.llm.common import free_name, id_and_text, ragged, slices, utf8
+from slotledger.llm.common import id_and_text, ragged, slices, utf8, with_text
 
 WINDOW_WORDS = 10
 SHARD_BYTES = 32 << 20
@@ -286,35 +287,25 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW_WOR
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW_WORDS) -> DataFrame:
     """The documents with every hit span cut out of their text (a line break marks the place); all columns are kept.
 
-    Texts without hits, null and empty ones are returned as they are; a column named n_chars follows the new text.
+    Texts without hits, null and empty ones are returned as they are; repeated rows are cut each; an empty table gives an
+    empty one; a column named n_chars follows the new text.
     """
     blocks = phrase_blocks(benchmark)
-    names = list(docs.columns)
-    text_at = [n.lower() for n in names].index("text")
-    chars_at = next((i for i, (n, t) in enumerate(docs.dtypes) if n.lower() == "n_chars" and t == "bigint"), None)
     detect = _detector(blocks, width)
-    row, text = free_name(docs, "row_number"), "text"
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            column = batch.column(text_at)
-            filled = column.fill_null("")
-            judged = detect(iter([pa.RecordBatch.from_arrays([pa.array(range(len(column)), pa.int64()), filled], [row, text])]))
-            spans = [s for part in judged for s in part.column(4).to_pylist()]
-            if any(spans):
-                new, sizes = column.to_pylist(), None if chars_at is None else batch.column(chars_at).to_pylist()
-                for i, found in enumerate(spans):
-                    if found:
-                        body = new[i].encode()
-                        edges = [0, *(b for s in found for b in (s["start"], s["end"])), len(body)]
-                        new[i] = b"\n".join(body[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)).decode()
-                        if sizes:
-                            sizes[i] = len(new[i])
-                arrays = list(batch.columns)
-                arrays[text_at] = pa.array(new, column.type)
-                if sizes:
-                    arrays[chars_at] = pa.array(sizes, pa.int64())
-                batch = pa.RecordBatch.from_arrays(arrays, schema=batch.schema)
-            yield batch
-
-    return docs.mapInArrow(cut, docs.schema)
+    @F.arrow_udf(StringType())
+    def cut(texts: pa.Array) -> pa.Array:
+        rows = pa.array(range(len(texts)), pa.int64())
+        judged = detect(iter([pa.RecordBatch.from_arrays([rows, texts.fill_null("")], ["doc_id", "text"])]))
+        new: list[str | None] = []
+        for part in judged:
+            for spans in part.column(4).to_pylist():
+                if spans:
+                    body = texts[len(new)].as_py().encode()
+                    edges = [0, *(b for s in spans for b in (s["start"], s["end"])), len(body)]
+                    new.append(b"\n".join(body[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)).decode())
+                else:
+                    new.append(None)
+        return pa.array(new, pa.string())
+
+    return with_text(docs, cut("text"))  # only texts that change come back from Python

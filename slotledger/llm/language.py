@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from slotledger.llm.common import mix64, slices, stored, utf8
 
@@ -30,7 +31,7 @@ TYPICAL = 0.25  # a trigram belongs to a language whose share of it is at least
 LEAST_COUNT = 3
 UNKNOWN = "und"
 LANGUAGES_A_WORD = 63
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 256 << 10  # of text at once: a dozen words of 8 bytes are held for each letter
 HELD_GRAMS = 1 << 20
 
 _SPACE = np.uint32(32)
@@ -230,18 +231,20 @@ def identify(docs: DataFrame, size: int | None = None) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, least_score: float) -> DataFrame:
-    """The documents, unchanged and with all columns, that have a language and reach ``least_score``."""
+    """The documents, unchanged and with all columns, that have a language and reach ``least_score``.
+
+    Null and empty texts, and texts without a letter, have no language and go. Repeated rows stay or go together. An
+    empty table, or one that teaches no language, gives an empty one.
+    """
     own = docs.select(held_out(docs).alias("held_out"), docs["text"], docs["lang"])
     model = docs.sparkSession.sparkContext.broadcast(learn(own.filter(~F.col("held_out"))))
-    text_at = [n.lower() for n in docs.columns].index("text")
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(text_at).fill_null("")
-            offsets, chosen = utf8(texts)[1], []
-            for first, last in slices(offsets, SLICE_BYTES):
-                names, scores = model.value.predict(texts.slice(first, last - first).to_pylist())
-                chosen += [n != UNKNOWN and s >= least_score for n, s in zip(names, scores, strict=True)]
-            yield batch.filter(pa.array(chosen, pa.bool_()))
+    @F.arrow_udf(BooleanType())
+    def identified(texts: pa.Array) -> pa.Array:
+        texts, chosen = texts.fill_null(""), []
+        for first, last in slices(utf8(texts)[1], SLICE_BYTES):
+            names, scores = model.value.predict(texts.slice(first, last - first).to_pylist())
+            chosen += [n != UNKNOWN and s >= least_score for n, s in zip(names, scores, strict=True)]
+        return pa.array(chosen, pa.bool_())
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.filter(identified("text"))  # only the texts go to Python, and a flag comes back

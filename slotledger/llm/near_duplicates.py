@@ -31,6 +31,8 @@ BLOCKS = 4  # of 16 bits: two fingerprints with at most two differing bits agree
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 CHUNK = 1 << 15
+PAIRS = 1 << 18
+HELD_BYTES = 8 << 20  # of sorted rows, beyond the last whole group
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -87,16 +89,20 @@ def distance_table(prints: np.ndarray, pivots: np.ndarray) -> np.ndarray:
 def close_pairs(prints: np.ndarray, starts: np.ndarray, sizes: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs within ``radius`` bits, inside consecutive groups; pivots first, then the fingerprints themselves."""
     table = distance_table(prints, references(PIVOTS))
-    # the members after each one in its group
+    found = [(np.zeros(0, np.int64),) * 2]
+    # the members after each one in its group, some PAIRS at once: a group of any size takes no more memory than that
     rest = np.concatenate([np.arange(n)[::-1] for n in sizes]) if len(sizes) else np.zeros(0, np.int64)
     member = np.concatenate([np.arange(s, s + n) for s, n in zip(starts, sizes, strict=True)]) if len(sizes) else rest
-    left, right = ragged(member + 1, rest)
-    left = member[left]
-    for column in table.T:
-        keep = np.abs(column[left] - column[right]) <= radius
-        left, right = left[keep], right[keep]
-    keep = np.bitwise_count(prints[left] ^ prints[right]) <= radius
-    return left[keep], right[keep]
+    for first, last in slices(np.concatenate(([0], np.cumsum(rest))), PAIRS):
+        left, right = ragged(member[first:last] + 1, rest[first:last])
+        left = member[first:last][left]
+        for column in table.T:
+            keep = np.abs(column[left] - column[right]) <= radius
+            left, right = left[keep], right[keep]
+        keep = np.bitwise_count(prints[left] ^ prints[right]) <= radius
+        found.append((left[keep], right[keep]))
+    left, right = (np.concatenate(x) for x in zip(*found, strict=True))
+    return left, right
 
 
 def _whole_groups(batches: Iterator[pa.RecordBatch], keys: int, least: int = 1 << 16) -> Iterator[tuple[pa.Table, np.ndarray]]:
@@ -116,10 +122,9 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], keys: int, least: int = 1 <
         if end:
             yield whole.slice(0, end), starts[starts < end]
 
-    for batch in batches:
-        if batch.num_rows:
-            held.append(batch)
-        if sum(b.num_rows for b in held) >= least:
+    for part in (batch.slice(first, PART) for batch in batches for first in range(0, batch.num_rows, PART)):
+        held.append(part)
+        if sum(b.num_rows for b in held) >= least or sum(b.nbytes for b in held) >= HELD_BYTES:
             yield from tables(False)
     if held:
         yield from tables(True)
@@ -277,8 +282,9 @@ def _links(least: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, starts in _whole_groups(batches, 2, 1 << 11):
-            nodes, bodies = rows.column(3).to_numpy(), rows.column(4).to_pylist()
-            sets = [np.frombuffer(b, np.uint32) for b in bodies]
+            nodes = rows.column(3).to_numpy()
+            data, offsets = utf8(rows.column(4).combine_chunks())
+            sets = [data[a:b].view(np.uint32) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
             parent = list(range(len(nodes)))
 
             def root(i: int, parent: list[int] = parent) -> int:
@@ -431,6 +437,8 @@ def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, similarity: fl
     """The documents without near-duplicates: of each group of similar_groups, the row with the smallest doc_id stays.
 
     Rows without an id stay only where their whole group has none. All columns are kept, and kept rows are unchanged.
+    Null and empty texts count as equal, so one of them stays; of rows that repeat id and text one stays; an empty
+    table gives an empty one.
     """
     groups = stored(similar_groups(docs, shingle_words, similarity), "groups")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")

@@ -18,8 +18,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from slotledger.llm.common import id_and_text, stored
+from slotledger.llm.common import id_and_text, stored, with_text
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 LABELERS = 6
@@ -287,35 +288,22 @@ def digest(spans: DataFrame) -> DataFrame:
 def redact(docs: DataFrame) -> DataFrame:
     """The documents with every span replaced by its kind in brackets; all columns are kept, n_chars follows the text.
 
-    Texts without spans, null and empty ones are returned as they are. Two passes over the texts: the first counts
+    Texts without spans, null and empty ones are returned as they are; repeated rows are replaced each, and an empty table
+    gives an empty one. Two passes over the texts: the first counts
     patterns (nothing but counts leaves the tasks), the second finds the same candidates again and replaces them.
     """
     found = docs.select(F.lit(0).cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     accepted = frozenset(trained(found.mapInArrow(_scan, f"doc_id long, found {_SPAN_SQL}")))
-    lower = [n.lower() for n in docs.columns]
-    text_at = lower.index("text")
-    chars_at = next((i for i, (n, t) in enumerate(docs.dtypes) if n.lower() == "n_chars" and t == "bigint"), None)
-
-    def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(text_at).to_pylist()
-            sizes = None if chars_at is None else batch.column(chars_at).to_pylist()
-            changed = False
-            for i, text in enumerate(texts):
-                spans = [c for c in candidates(text) if c.base or c.pattern in accepted] if text else []
-                if spans:
-                    changed, texts[i] = True, redacted(text, spans)
-                    if sizes:
-                        sizes[i] = len(texts[i])
-            if changed:
-                arrays = list(batch.columns)
-                arrays[text_at] = pa.array(texts, arrays[text_at].type)
-                if sizes:
-                    arrays[chars_at] = pa.array(sizes, pa.int64())
-                batch = pa.RecordBatch.from_arrays(arrays, schema=batch.schema)
-            yield batch
-
-    return docs.mapInArrow(replace, docs.schema)
+
+    @F.arrow_udf(StringType())
+    def replaced(texts: pa.Array) -> pa.Array:
+        new = []
+        for text in texts.to_pylist():
+            spans = [c for c in candidates(text) if c.base or c.pattern in accepted] if text else []
+            new.append(redacted(text, spans) if spans else None)
+        return pa.array(new, pa.string())
+
+    return with_text(docs, replaced("text"))  # only texts that change come back from Python
 
 
 def redacted(text: str, spans: list[Candidate]) -> str:
