@@ -35,12 +35,14 @@ _VECTOR = "vec_id long, body binary, norm double, far binary, cell int"
 
 
 def _integers(values: np.ndarray, scale: int) -> np.ndarray | None:
-    """floor(scale * x); None for a vector that takes no part."""
+    """floor(scale * x); None for a vector that takes no part. Numbers that 64 bits cannot hold safely are refused."""
     x = np.asarray(values, np.float64)
     if not np.isfinite(x).all():
         return None
     whole = np.floor(x * scale)
-    return whole.astype(np.int64) if len(whole) == 0 or np.abs(whole).max() < 2.0**62 else None
+    if len(whole) and np.abs(whole).max() >= 2.0**62:
+        raise ValueError(f"a component times {scale} is beyond 62 bits")
+    return whole.astype(np.int64)
 
 
 def _as_bytes(scale: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -215,20 +217,22 @@ def top_k(
     """The k highest inner products of every query: query_id, rank (from 1), vec_id, score; ties to smaller vec_id.
 
     Components become floor(scale * x). Queries are the rows whose vec_id is divisible by ``every``; candidates all
-    rows but the query's own. Vectors that are null or hold null or non-finite components, rows without an id, and
-    vectors of another length than the most frequent one take no part. Of rows with one id, the one with the smallest
-    integers (as bytes) counts. A query with fewer candidates returns them all. Further columns are not read.
+    rows of another id. Vectors that are null or hold null or non-finite components, and rows without an id, take no
+    part. Rows that share an id are candidates each; as queries they share one list of the k best. Vectors of several
+    lengths have no inner product, and are refused, as are numbers beyond 62 bits. A query with fewer candidates returns
+    them all. Further columns are not read; an empty table gives an empty one.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("embedding"))
-    bodies = rows.mapInArrow(_as_bytes(scale), "vec_id long, body binary").groupBy("vec_id").agg(F.min("body").alias("body"))
-    bodies = stored(bodies, "integers")
-    widths = bodies.groupBy(F.octet_length("body").alias("width")).count().orderBy(F.desc("count"), F.desc("width")).first()
-    if widths is None or not widths["width"]:
+    bodies = stored(rows.mapInArrow(_as_bytes(scale), "vec_id long, body binary"), "integers")
+    width = F.octet_length("body")
+    widths = bodies.agg(F.min(width).alias("least"), F.max(width).alias("most")).first()
+    if not widths["most"]:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    bodies = bodies.filter(F.octet_length("body") == widths["width"])
-    sample = bodies.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS).collect()
-    pivots = choose_pivots(_matrix([bytes(r["body"]) for r in sample], widths["width"] // 8).astype(np.float64), PIVOTS)
+    if widths["least"] < widths["most"]:
+        raise ValueError(f"vectors have from {widths['least'] // 8} to {widths['most'] // 8} components; all must have one length")
+    sample = bodies.orderBy(F.xxhash64("vec_id"), "vec_id", "body").limit(SAMPLE_ROWS).collect()
+    pivots = choose_pivots(_matrix([bytes(r["body"]) for r in sample], widths["most"] // 8).astype(np.float64), PIVOTS)
     measured = stored(bodies.mapInArrow(_measure(pivots), _VECTOR), "pivot-tables")
     ranges = (
         measured.mapInArrow(_summarise, "cell int, pivot int, n long, norm double, low double, high double")
@@ -244,7 +248,7 @@ def top_k(
     ]
     sizes = {r["cell"]: r["n"] for r in ranges}
     blocks = [max(1, -(-sizes.get(c, 0) // block_rows)) for c in range(width)]
-    queries = measured.filter(F.col("vec_id") % every == 0)
+    queries = measured.filter(F.col("vec_id") % every == 0).distinct()  # equal rows ask the same
     chunks = max(1, -(-queries.count() // query_rows))
     home = queries.select("vec_id", "body", "norm", "far", F.lit(float("-inf")).alias("reach"), F.array("cell").alias("cells"))
     near = stored(_best(_met(home, measured, blocks, chunks, k), k).drop("rank"), "own-cells")

@@ -141,22 +141,17 @@ def test_derivatives_of_other_responses(spark):
 
 
 def brute(rows, k, every):
-    vectors = {}
-    for key, x in rows:
-        if key is None or x is None or any(v is None or not math.isfinite(v) for v in x):
-            continue
-        whole = [math.floor(64 * v) for v in x]
-        body = np.array(whole, np.int64).tobytes()
-        if key not in vectors or body < vectors[key][1]:
-            vectors[key] = whole, body
-    widths = [len(v[0]) for v in vectors.values()]
-    width = max(set(widths), key=lambda w: (widths.count(w), w))
-    vectors = {key: v[0] for key, v in vectors.items() if len(v[0]) == width}
+    """Every row but those of the query's id, whatever else it shares with others."""
+    vectors = [
+        (key, [math.floor(64 * v) for v in x])
+        for key, x in rows
+        if key is not None and x is not None and all(v is not None and math.isfinite(v) for v in x)
+    ]
     out = []
-    for q, x in vectors.items():
-        if q % every == 0:
-            scored = sorted((-sum(a * b for a, b in zip(x, y, strict=True)), c) for c, y in vectors.items() if c != q)
-            out += [(q, rank, c, -s) for rank, (s, c) in enumerate(scored[:k], 1)]
+    for q in {key for key, _ in vectors if key % every == 0}:
+        asked = {tuple(x) for key, x in vectors if key == q}
+        scored = sorted((-sum(a * b for a, b in zip(x, y, strict=True)), c) for x in asked for c, y in vectors if c != q)
+        out += [(q, rank, c, -s) for rank, (s, c) in enumerate(scored[:k], 1)]
     return sorted(out)
 
 
@@ -166,7 +161,8 @@ def test_top_k_equals_brute_force(spark, block_rows, query_rows):
     rows = [(i, [round(rng.gauss(0, 0.3), 1) for _ in range(6)]) for i in range(300)]
     rows += [(i, [0.5] * 6) for i in range(300, 420)]  # a very common vector: ties
     rows += [(420, None), (421, [0.1, None, 0.2, 0.1, 0.1, 0.1]), (422, [float("nan")] * 6), (423, [float("inf")] + [0.0] * 5)]
-    rows += [(424, [1.0, 2.0]), (None, [0.1] * 6), (5, [9.0] * 6), (425, []), (-20, [1.0] * 6), (426, [1e6] * 6), (440, [-3e5] * 6)]
+    rows += [(None, [0.1] * 6), (5, [9.0] * 6), (-20, [1.0] * 6), (426, [1e6] * 6), (440, [-3e5] * 6)]
+    rows += [(40, [0.7, -0.2, 0.1, 0.9, 0.3, -0.5]), (60, [2.0] * 6), (60, [2.0] * 6), (301, [0.5] * 6), (5, [9.0] * 6)]  # repeated ids
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").selectExpr("*", "1 AS cell", "2 AS score", "'x' AS far")
     rounded = [(key, x and [None if v is None else float(np.float32(v)) for v in x]) for key, x in rows]
     found = top_k.top_k(frame, 20, 64, 20, block_rows, query_rows)
@@ -183,6 +179,19 @@ def test_top_k_of_few_and_no_vectors(spark):
     assert top_k.top_k(few.filter("vec_id = 0")).count() == 0
 
 
+def test_rows_that_share_an_id_are_all_candidates(spark):
+    rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (1, [3.0, 0.0]), (1, [3.0, 0.0])]
+    found = top_k.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).orderBy("rank").collect()
+    assert [tuple(r) for r in found] == [(0, 1, 1, 12288), (0, 2, 1, 12288), (0, 3, 1, 8192)]
+
+
+@pytest.mark.parametrize(("vector", "message"), [([1.0], "one length"), ([], "one length"), ([1e30, 1.0], "62 bits")])
+def test_vectors_without_an_inner_product_are_refused(spark, vector, message):
+    frame = spark.createDataFrame([(0, [1.0, 0.0]), (1, vector)], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match=message):
+        top_k.top_k(frame).collect()
+
+
 def test_scores_beyond_doubles_stay_exact():
     rows = np.array([[1 << 40, 3], [-(1 << 40), 5]])
     query = np.array([(1 << 40) + 1, 7])
