@@ -18,7 +18,7 @@ from slotledger.plans import dashboard, marts, silver
 from slotledger.session import configure
 from slotledger.sinks.staging import staged
 from slotledger.sinks.tables import merge_into_table, publish_mart, upsert_snapshot
-from slotledger.sources.raw import UNREADABLE, list_files, not_in_ledger, read_spend, read_webhooks, readable, unreadable, updated_ledger
+from slotledger.sources.raw import UNDECLARED, UNREADABLE, list_files, not_in_ledger, read_spend, read_webhooks, readable, unreadable, updated_ledger
 from slotledger.sources.tables import latest_snapshot, load_ledger, load_mart, load_snapshot, table_exists
 
 MARTS = ("daily", "patterns", "load")
@@ -64,6 +64,7 @@ def _ingest(
 
     The ledger of a snapshot table is part of its version, so a file is in it if and only if its rows are in the table.
     Files are listed before they are read: one that changes in between is read again by the next run, which does no harm.
+    Fields that the declared shape does not know go along in ``undeclared_fields``, unless a catalog table lacks that column.
     Documents that cannot be read are not merged. In a snapshot table their text and file go to ``_unreadable`` below
     it, once; with a catalog they stay in the raw folder, and their number is returned.
     """
@@ -82,6 +83,8 @@ def _ingest(
         with staged(batch) as batch:
             found = {"unreadable": raw_rows.get["unreadable"]} | {name: batch_rows.get[name] for name in measures}
             if in_catalog:
+                if spark.catalog.tableExists(table) and UNDECLARED not in spark.table(table).columns:
+                    batch = batch.drop(UNDECLARED)  # the owner of a catalog table decides on its columns
                 merge_into_table(batch, table, keys, update_when, provider)
                 version = None
             else:
@@ -125,7 +128,7 @@ def ingest_webhooks(
     """
     configure(spark)
     source = Source(raw_path, read_webhooks, True, modified_after, everything)
-    clean = lambda df: silver.silver_webhooks(df, as_of)
+    clean = lambda df: silver.silver_webhooks(df, as_of, (UNDECLARED,))
     measures = {"no_date": _missing("webhook_created_at"), "no_event_type": _missing("event_type_code")}
     return _ingest(spark, source, clean, measures, table, in_catalog, silver.WEBHOOK_KEYS, silver.delivered_later, provider)
 
@@ -144,7 +147,7 @@ def ingest_spend(
     """Merge the newest spend of every day and channel into the spend table, where it changed. Files as for webhooks."""
     configure(spark)
     source, keys = Source(raw_path, read_spend, False, modified_after, everything), silver.SPEND_KEYS
-    clean = lambda df: silver.silver_spend(df, codes, as_of)
+    clean = lambda df: silver.silver_spend(df, codes, as_of, (UNDECLARED,))
     measures = {
         "no_date": _missing("spend_date"),
         "no_amount": _missing("spend"),

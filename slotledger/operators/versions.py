@@ -32,7 +32,7 @@ def upsert(
 
     ``update_when(target, batch)`` restricts the replacement, e.g.
     ``lambda t, b: t("spend") != b("spend")``; where it is false or NULL the target row stays.
-    Keys must be unique in the batch. A NULL key matches nothing, as in SQL MERGE. The batch is read
+    Columns that only the batch has are NULL in the target's rows. Keys must be unique in the batch. A NULL key matches nothing, as in SQL MERGE. The batch is read
     up to three times, so store it first when it is costly to compute.
 
     Written as anti joins, which can broadcast a batch that Spark has found to be small and then
@@ -40,7 +40,8 @@ def upsert(
     """
     t: Side = lambda name: F.col(f"t.{name}")
     b: Side = lambda name: F.col(f"b.{name}")
-    old, new = target.alias("t"), batch.alias("b")
+    added = {f.name: F.lit(None).cast(f.dataType) for f in batch.schema if f.name not in target.columns}
+    old, new = (target.withColumns(added) if added else target).alias("t"), batch.alias("b")
     matched = reduce(Column.__and__, [t(k) == b(k) for k in keys])
 
     if update_when is None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -18,8 +18,8 @@ WEBHOOK_KEYS = ("webhook_key",)
 SPEND_KEYS = ("spend_date", "channel")
 
 
-def flatten_webhooks(raw: DataFrame) -> DataFrame:
-    """One flat row per delivery, in a single projection over the nested document."""
+def flatten_webhooks(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """One flat row per delivery, in a single projection over the nested document; columns to ``keep`` go along."""
     meeting = "payload.scheduled_event"
     utm = [
         F.col(f"payload.tracking.utm_{part}").alias(f"tracking_utm_{part}")
@@ -43,6 +43,7 @@ def flatten_webhooks(raw: DataFrame) -> DataFrame:
         F.col("payload.last_name").alias("invitee_last_name"),
         *utm,
         "raw_file_path",
+        *keep,
     )
 
 
@@ -60,17 +61,12 @@ def latest_webhooks(keyed: DataFrame) -> DataFrame:
     return latest_by(keyed, WEBHOOK_KEYS, newest)
 
 
-def silver_webhooks(raw: DataFrame, as_of: datetime | None = None) -> DataFrame:
+def silver_webhooks(raw: DataFrame, as_of: datetime | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """Raw webhooks (with lineage) to one row per key; merge into the table by ``WEBHOOK_KEYS``."""
-    return latest_webhooks(with_webhook_key(with_load_stamp(flatten_webhooks(raw), as_of)))
+    return latest_webhooks(with_webhook_key(with_load_stamp(flatten_webhooks(raw, keep), as_of)))
 
 
-def delivered_later(table: Side, batch: Side) -> Column:
-    """Optional merge condition: only a newer delivery replaces a row. Without it every match does."""
-    return table("webhook_created_at") < batch("webhook_created_at")
-
-
-def clean_spend(raw: DataFrame, codes: Mapping[str, str] = settings.CHANNEL_CODES) -> DataFrame:
+def clean_spend(raw: DataFrame, codes: Mapping[str, str] = settings.CHANNEL_CODES, keep: Sequence[str] = ()) -> DataFrame:
     """Typed date and amount, normalised channel and its event type code."""
     channel = text.normalize_channel(F.col("channel"))
     return raw.select(
@@ -80,6 +76,7 @@ def clean_spend(raw: DataFrame, codes: Mapping[str, str] = settings.CHANNEL_CODE
         numbers.parse_money(F.col("spend")).alias("spend"),
         "raw_file_path",
         "raw_file_modified_at",
+        *keep,
     )
 
 
@@ -90,10 +87,10 @@ def latest_spend(clean: DataFrame) -> DataFrame:
 
 
 def silver_spend(
-    raw: DataFrame, codes: Mapping[str, str] = settings.CHANNEL_CODES, as_of: datetime | None = None
+    raw: DataFrame, codes: Mapping[str, str] = settings.CHANNEL_CODES, as_of: datetime | None = None, keep: Sequence[str] = ()
 ) -> DataFrame:
     """Raw spend (with lineage) to one row per day and channel; merge with ``spend_changed``."""
-    return latest_spend(with_load_stamp(clean_spend(raw, codes), as_of))
+    return latest_spend(with_load_stamp(clean_spend(raw, codes, keep), as_of))
 
 
 def spend_changed(table: Side, batch: Side) -> Column:

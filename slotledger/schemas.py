@@ -6,7 +6,8 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 
-# Declared, never inferred: inference costs a pass over every file and changes with the data.
+# Declared, never inferred: inference costs a pass over every file and changes with the data. What a document
+# holds besides is kept by the readers as ``undeclared_fields``.
 RAW_WEBHOOK = (
     "event string, created_at string, created_by string, "
     "payload struct<event: string, email: string, first_name: string, last_name: string, name: string, "

@@ -12,6 +12,7 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.variant.allowDuplicateKeys": "true",  # a document that repeats a field is readable; the last one counts
 }
 
 

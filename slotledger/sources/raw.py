@@ -7,9 +7,13 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import StructType
+
 from slotledger import schemas
+from slotledger.functions.shapes import is_object, shaped, undeclared
 
 UNREADABLE = "unreadable_text"
+UNDECLARED = "undeclared_fields"
 
 
 def with_lineage(df: DataFrame) -> DataFrame:
@@ -30,10 +34,26 @@ def _since(reader: DataFrameReader, modified_after: datetime | None) -> DataFram
     return reader.option("modifiedAfter", modified_after.strftime("%Y-%m-%dT%H:%M:%S"))
 
 
-def _json(spark: SparkSession, schema: str, modified_after: datetime | None) -> DataFrameReader:
-    """Documents of a declared shape; what cannot be read as one is kept as text in ``unreadable_text``."""
-    reader = spark.read.schema(f"{schema}, {UNREADABLE} string").option("multiLine", True).option("columnNameOfCorruptRecord", UNREADABLE)
-    return _since(reader, modified_after)
+def _documents(spark: SparkSession, modified_after: datetime | None) -> DataFrameReader:
+    """Whole documents, whatever they hold; a file that is not JSON is kept as text in ``unreadable_text``."""
+    reader = spark.read.option("multiLine", True).option("singleVariantColumn", "document").option("columnNameOfCorruptRecord", UNREADABLE)
+    return _since(reader.schema(f"document variant, {UNREADABLE} string"), modified_after)
+
+
+def _as_declared(files: DataFrame, schema: str) -> DataFrame:
+    """One row per document, or per element of a file that is an array, in the declared shape and with lineage.
+
+    A field of another type is NULL. It, and every field that the shape does not know, is kept in ``undeclared_fields``
+    (JSON, by JSON pointer; NULL if there is none). What is no object has no fields and is unreadable.
+    """
+    shape, document = StructType.fromDDL(schema), F.col("document")
+    lineage = ["raw_file_path", "raw_file_modified_at"]
+    elements = F.coalesce(F.try_variant_get(document, "$", "array<variant>"), F.array(document))
+    each = with_lineage(files).select(F.explode(elements).alias("document"), UNREADABLE, *lineage)
+    text = F.coalesce(F.col(UNREADABLE), F.when(~is_object(document), F.to_json(document)))
+    return each.select(
+        shaped(document, shape).alias("shaped"), text.alias(UNREADABLE), *lineage, undeclared(document, shape).alias(UNDECLARED)
+    ).select("shaped.*", UNREADABLE, *lineage, UNDECLARED)
 
 
 def list_files(spark: SparkSession, path: str | list[str], recursive: bool = False, modified_after: datetime | None = None) -> DataFrame:
@@ -67,26 +87,26 @@ def read_webhooks(
     By default everything is read; the jobs read what their ledger does not hold. Unreadable documents are rows of their own; see
     ``readable`` and ``unreadable``.
     """
-    reader = _json(spark, schema, modified_after)
+    reader = _documents(spark, modified_after)
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
     else:
         reader = reader.option("pathGlobFilter", "*.json")
-    return with_lineage(reader.json(path))
+    return _as_declared(reader.json(path), schema)
 
 
 def read_spend(
     spark: SparkSession, path: str | list[str], schema: str = schemas.RAW_SPEND, modified_after: datetime | None = None
 ) -> DataFrame:
     """Spend snapshots: each file is a JSON array, each element a row. ``modified_after`` as for webhooks."""
-    return with_lineage(_json(spark, schema, modified_after).json(path))
+    return _as_declared(_documents(spark, modified_after).json(path), schema)
 
 
 def readable(raw: DataFrame) -> DataFrame:
-    """The documents that have the declared shape."""
+    """The documents that are JSON objects."""
     return raw.filter(F.col(UNREADABLE).isNull()).drop(UNREADABLE)
 
 
 def unreadable(raw: DataFrame) -> DataFrame:
-    """The other documents as text, with whatever could be read of them and the files they came from."""
-    return raw.filter(F.col(UNREADABLE).isNotNull())
+    """The other documents as text, with the files they came from."""
+    return raw.filter(F.col(UNREADABLE).isNotNull()).drop(UNDECLARED)

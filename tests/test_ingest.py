@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from slotledger.plans import silver
 from slotledger.sinks.tables import upsert_snapshot
-from slotledger.sources.raw import read_spend, read_webhooks
+from slotledger.sources.raw import read_spend, read_webhooks, readable
 from slotledger.sources.tables import load_snapshot
 from tests.conftest import rows
 
@@ -115,3 +115,57 @@ def test_newest_spend_file_wins_and_merging_again_changes_nothing(spark, spend_d
     upsert_snapshot(spark, table, batch, silver.SPEND_KEYS, silver.spend_changed)
     assert rows(load_snapshot(spark, table)) == first
     assert [r[3] for r in first] == [Decimal("10.01"), Decimal("25.50")]
+
+
+def _written(folder, **documents):
+    folder.mkdir()
+    for name, text in documents.items():
+        (folder / f"{name}.json").write_text(text if isinstance(text, str) else json.dumps(text))
+    return str(folder)
+
+
+def test_fields_that_the_shape_does_not_know_are_kept(spark, tmp_path):
+    known = webhook("invitee.created", "2026-06-10T01:02:03.123456Z", EV1, ET1, "a@b.c", "Jo", ["h@x.y"])
+    more = json.loads(json.dumps(known)) | {"retry": {"of": [1, None]}, "a/b~c": 1.50, "payload.email": "dotted", "nothing": None}
+    more["payload"]["questions"] = [{"q": "why"}]
+    more["payload"]["scheduled_event"]["event_memberships"].append({"user_email": "i@x.y", "role": "co"})
+    other = json.loads(json.dumps(known))
+    other["payload"]["scheduled_event"]["event_memberships"] = {"user_email": "h@x.y"}
+    other["payload"]["tracking"] = "none"
+    other["payload"]["email"] = {"work": "w@x.y"}
+    items = json.loads(json.dumps(known))
+    items["payload"]["scheduled_event"]["event_memberships"] = ["plain", None]
+    path = _written(
+        tmp_path / "raw", known=known, more=more, other=other, items=items, empty="", none="[]", bad="{", scalar="7",
+        twice='{"event": "first", "event": "last"}', text={"payload": "p"}, list=[known, 3],
+    )
+    raw = read_webhooks(spark, path)
+    name = F.regexp_extract("raw_file_path", r"([^/]+)\.json", 1)
+    left = {r[0]: r[1] and json.loads(r[1]) for r in raw.filter("unreadable_text IS NULL").select(name, "undeclared_fields").collect()}
+    assert left == {
+        "known": None,
+        "more": {
+            "/retry": {"of": [1, None]}, "/a~1b~0c": 1.5, "/payload.email": "dotted", "/nothing": None,
+            "/payload/questions": [{"q": "why"}], "/payload/scheduled_event/event_memberships/1/role": "co",
+        },
+        "other": {"/payload/scheduled_event/event_memberships": {"user_email": "h@x.y"}, "/payload/tracking": "none"},
+        "items": {"/payload/scheduled_event/event_memberships/0": "plain"},
+        "twice": None,
+        "text": {"/payload": "p"},
+        "list": None,
+    }
+    assert rows(raw.filter("unreadable_text IS NOT NULL").select(name, F.trim("unreadable_text"))) == [("bad", "{"), ("list", "3"), ("scalar", "7")]
+    flat = {r[0]: tuple(r)[1:] for r in silver.flatten_webhooks(readable(raw)).select(name, "webhook_event_type", "event_id", "user_email", "invitee_email").collect()}
+    assert flat["known"] == flat["more"] == flat["list"] == ("invitee.created", "EV1", "h@x.y", "a@b.c")
+    assert flat["other"] == ("invitee.created", "EV1", None, '{"work":"w@x.y"}')
+    assert flat["items"] == ("invitee.created", "EV1", None, "a@b.c")
+    assert flat["twice"][0] == "last" and flat["text"][0] is None
+
+
+def test_numbers_are_read_as_they_stand(spark, tmp_path):
+    amounts = ["10.005", "0.1", "123456789012345678901234567890.12", "-5", '"1,200.50"', "1e2", "true", "null"]
+    path = _written(tmp_path / "raw", a="[" + ",".join(f'{{"spend": {a}, "note": {a}}}' for a in amounts) + "]")
+    found = read_spend(spark, path)
+    texts = ["10.005", "0.1", "123456789012345678901234567890.12", "-5", "1,200.50", "100.0", "true", None]
+    assert [r["spend"] for r in found.collect()] == texts
+    assert found.filter("undeclared_fields LIKE '{\"/note\":%}'").count() == len(amounts)

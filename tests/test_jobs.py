@@ -11,6 +11,7 @@ from slotledger import jobs
 from slotledger.plans import channels, dashboard, marts, patterns, reports, workload
 from slotledger.settings import Selection
 from slotledger.sinks import staging
+from slotledger.sinks.tables import write_snapshot
 from slotledger.sources.raw import list_files, read_spend
 from slotledger.sources.tables import exported, load_ledger, load_snapshot, load_table
 from tests.conftest import rows
@@ -233,3 +234,18 @@ def test_the_same_moment_in_any_zone_reads_the_same_files(spark, tmp_path):
     for since in moments:
         assert read_spend(spark, str(tmp_path), modified_after=since).count() == 1
         assert list_files(spark, str(tmp_path), modified_after=since).count() == 1
+
+
+def test_undeclared_fields_reach_the_tables_also_those_made_before(spark, tmp_path, paths):
+    folder, table = tmp_path / "raw", paths["silver_spend"]
+    folder.mkdir()
+    (folder / "1.json").write_text('[{"date": "2026-06-01", "channel": "a", "spend": 1, "currency": "EUR"}]')
+    jobs.ingest_spend(spark, str(folder), table)
+    older = paths["silver_webhooks"]  # a table without the column
+    write_snapshot(load_snapshot(spark, table).drop("undeclared_fields"), older)
+    (folder / "2.json").write_text('[{"date": "2026-06-02", "channel": "a", "spend": 2, "currency": "USD"}]')
+    jobs.ingest_spend(spark, str(folder), table)
+    stored = lambda path: rows(load_snapshot(spark, path).select("spend", "undeclared_fields"))
+    assert stored(table) == [(1, '{"/currency":"EUR"}'), (2, '{"/currency":"USD"}')]
+    jobs.ingest_spend(spark, str(folder / "2.json"), older)
+    assert stored(older) == [(1, None), (2, '{"/currency":"USD"}')]
