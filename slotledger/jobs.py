@@ -58,6 +58,7 @@ def _ingest(
     in_catalog: bool,
     keys: Sequence[str],
     update_when: Callable[[Side, Side], Column] | None,
+    split_by: Column,
     provider: str | None,
 ) -> Ingested:
     """Read new and changed files, clean, store and merge them; everything is counted while it is stored.
@@ -92,7 +93,7 @@ def _ingest(
                     keep_unreadable(raw, f"{table.rstrip('/')}/_unreadable")
                 folder = f"_ledger/{uuid.uuid4().hex}"
                 updated_ledger(new, ledger).write.parquet(f"{table.rstrip('/')}/{folder}")
-                version, found["table_rows"] = upsert_snapshot(spark, table, batch, keys, update_when, folder)
+                version, found["table_rows"] = upsert_snapshot(spark, table, batch, keys, update_when, folder, split_by)
     return Ingested(version, raw_rows.get["row_count"] - found["unreadable"], batch_rows.get["row_count"], found)
 
 
@@ -121,16 +122,15 @@ def ingest_webhooks(
 ) -> Ingested:
     """Merge the newest delivery of every key into the webhook table.
 
-    ``table`` is the folder of a snapshot table or, ``in_catalog``, the name of a table that supports
-    MERGE INTO: the way for large tables, as a snapshot is rewritten on every run. A snapshot table keeps a ledger of the
-    files in it, and only new and changed ones are read, unless ``everything`` is asked for; a delivery that arrives late
+    ``table`` is the folder of a snapshot table, of which a run rewrites the days that its batch touches, or,
+    ``in_catalog``, the name of a table that supports MERGE INTO. A snapshot table keeps a ledger of the files in it, and only new and changed ones are read, unless ``everything`` is asked for; a delivery that arrives late
     does not replace a newer one. With ``modified_after``, only files changed later are looked at.
     """
     configure(spark)
     source = Source(raw_path, read_webhooks, True, modified_after, everything)
     clean = lambda df: silver.silver_webhooks(df, as_of, (UNDECLARED,))
     measures = {"no_date": _missing("webhook_created_at"), "no_event_type": _missing("event_type_code")}
-    return _ingest(spark, source, clean, measures, table, in_catalog, silver.WEBHOOK_KEYS, silver.delivered_later, provider)
+    return _ingest(spark, source, clean, measures, table, in_catalog, silver.WEBHOOK_KEYS, silver.delivered_later, silver.webhook_part(), provider)
 
 
 def ingest_spend(
@@ -153,7 +153,7 @@ def ingest_spend(
         "no_amount": _missing("spend"),
         "no_event_type": F.count_if(F.col("event_type_code") == settings.UNKNOWN),
     }
-    return _ingest(spark, source, clean, measures, table, in_catalog, keys, silver.spend_superseded, provider)
+    return _ingest(spark, source, clean, measures, table, in_catalog, keys, silver.spend_superseded, silver.spend_part(), provider)
 
 
 def rebuild_marts(

@@ -18,6 +18,16 @@ WEBHOOK_KEYS = ("webhook_key",)
 SPEND_KEYS = ("spend_date", "channel")
 
 
+def webhook_part() -> Column:
+    """Stored webhooks are split by the day of delivery, so a batch rewrites the days it touches."""
+    return F.date_format("webhook_created_at", "yyyy-MM-dd")
+
+
+def spend_part() -> Column:
+    """Stored spend has few rows a day and is split by month."""
+    return F.date_format("spend_date", "yyyy-MM")
+
+
 def flatten_webhooks(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """One flat row per delivery, in a single projection over the nested document; columns to ``keep`` go along."""
     meeting = "payload.scheduled_event"

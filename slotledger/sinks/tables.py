@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from slotledger.operators.audit import counted_in_passing
 from slotledger.operators.versions import Side, upsert
 from slotledger.sources.tables import (
+    PART,
     Version,
     commit_snapshot,
     forget_versions,
@@ -18,12 +20,14 @@ from slotledger.sources.tables import (
     holdings,
     latest_snapshot,
     load_table,
+    load_version,
     new_snapshot_path,
     next_number,
-    snapshot_path,
+    read_version,
     write_text,
 )
 
+NO_PART = "none"  # the part of rows whose split is NULL
 FILE_FORMATS = ("parquet", "orc", "csv", "json", "text", "avro", "xml", "binaryfile", "hive")
 
 
@@ -108,12 +112,17 @@ def write_snapshot(df: DataFrame, root: str, newest: int | None = None, ledger:
     or a second writer of the same version, leaves the table as it was; the second one fails and can run again. A first
     version is refused where other data lies. ``ledger`` names the folder that lists the raw files in this version.
     """
-    spark = df.sparkSession
-    if newest is None and latest_snapshot(spark, root) is not None:
+    if newest is None:
+        _refuse_hiding(df.sparkSession, root)
+    return _commit_written(df.sparkSession, root, newest, _write_files(df, new_snapshot_path(root)), ledger)
+
+
+def _refuse_hiding(spark: SparkSession, root: str) -> None:
+    """Fail where a first version would hide other rows."""
+    if latest_snapshot(spark, root) is not None:
         raise FileExistsError(f"{root} has versions already")
-    if newest is None and has_data(spark, root):
+    if has_data(spark, root):
         raise FileExistsError(f"{root} holds data that is not a committed version; it would be hidden by a first one")
-    return _commit_written(spark, root, newest, _write_files(df, new_snapshot_path(root)), ledger)
 
 
 class RepeatedKeysError(ValueError):
@@ -134,19 +143,71 @@ def upsert_snapshot(
     keys: Sequence[str],
     update_when: Callable[[Side, Side], Column] | None = None,
     ledger: str | None = None,
+    split_by: Column | None = None,
 ) -> tuple[int, int]:
     """Create the table from the batch, or merge the batch into its current version.
 
-    Returns the version and its number of rows, counted while they are written. Each version is a full copy: for large
-    tables, use a catalog table with row-level changes. A batch that repeats a key is refused.
+    Returns the version and its number of rows. A batch that repeats a key is refused. With ``split_by`` the rows of
+    each of its values (text, or what casts to it) are a part, and a version writes only the parts that the batch
+    touches; without it each version is a full copy. A table changes from one way to the other by a merge.
     """
     refuse_repeats(batch, keys)
     newest = latest_snapshot(spark, root)
-    rows = batch if newest is None else upsert(spark.read.parquet(snapshot_path(spark, root, newest)), batch, keys, update_when)
+    if split_by is not None:
+        return _upsert_parts(spark, root, newest, batch, keys, update_when, ledger, split_by)
+    rows = batch if newest is None else upsert(load_version(spark, root, newest), batch, keys, update_when)
     counted, count = counted_in_passing(rows, root)
     return write_snapshot(counted, root, newest, ledger), count.get["row_count"]
 
 
+def _touched(table: DataFrame, batch: DataFrame, keys: Sequence[str], part: Column) -> set[str]:
+    """Parts that hold keys of the batch, or will hold its rows. Of the table only keys are read; names of parts come back."""
+    own = F.regexp_extract("_metadata.file_path", f"/{PART}=([^/]+)/", 1)
+    holding = table.select(*keys, own.alias(PART)).join(batch.select(*keys), list(keys), "left_semi").select(PART)
+    return {row[PART] for row in holding.union(batch.select(part.alias(PART))).distinct().collect()}
+
+
+def _upsert_parts(
+    spark: SparkSession,
+    root: str,
+    newest: int | None,
+    batch: DataFrame,
+    keys: Sequence[str],
+    update_when: Callable[[Side, Side], Column] | None,
+    ledger: str | None,
+    split_by: Column,
+) -> tuple[int, int]:
+    """Merge into the touched parts, write those anew, and commit them together with the folders of all others.
+
+    A row that moves to another part leaves the one that held it, as both are touched. A part that is split by
+    something else than the rest would be replaced by a few of its rows; that is found before the commit and refused.
+    """
+    part = F.coalesce(split_by.cast("string"), F.lit(NO_PART))
+    version = None if newest is None else read_version(spark, root, newest)
+    stay: dict[str, tuple[str, int]] = {}
+    if version is None:
+        _refuse_hiding(spark, root)
+        rows = batch
+    elif not version.parts:
+        rows = upsert(load_version(spark, root, newest), batch, keys, update_when)
+    else:
+        touched = _touched(load_version(spark, root, newest), batch, keys, part)
+        stay = {name: tuple(place) for name, place in version.parts.items() if name not in touched}
+        rows = upsert(load_version(spark, root, newest, touched), batch, keys, update_when)
+    parted = rows.withColumn(PART, part)
+    path = _write_files(parted, new_snapshot_path(root), [PART])
+    written = {r[PART]: r["count"] for r in spark.read.schema(parted.schema).parquet(path).groupBy(PART).count().collect()}
+    if unfit := [name for name in written if name in stay or not re.fullmatch(r"[\w.+-]+", name, re.ASCII)]:
+        raise ValueError(f"{root} is split by something else, or this is no name of a part: {', '.join(sorted(unfit)[:3])}")
+    folder = path.rsplit("/", 1)[1]
+    parts = stay | {name: (folder, n) for name, n in written.items()}
+    total = sum(n for _, n in parts.values())
+    files, size = holdings(spark, path)
+    number = next_number(spark, root, newest)
+    commit_snapshot(spark, root, number, Version(folder, total, files, size, ledger, parts=parts, schema=rows.schema.json()))
+    return number, total
+
+
 def _can_merge(spark: SparkSession, table: str, provider: str | None) -> bool:
     """Whether a table that would be created now could take MERGE: plain files cannot, table formats and catalogs can."""
     parts = table.split(".")

@@ -5,12 +5,14 @@ from __future__ import annotations
 import json
 import re
 import uuid
+from collections.abc import Collection
 from dataclasses import asdict, dataclass
 
 from py4j.java_gateway import JavaObject
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from slotledger.functions.dates import to_day
 from slotledger.operators.rows import fill_unknown
@@ -24,6 +26,7 @@ MART_CLEANING = {
 _SNAPSHOT = "snapshot="
 _VERSIONS = "_versions"
 _MART = "_mart"
+PART = "stored_part"  # column and folder name of the parts of a split table
 EXCLUSIVE = ("file", "hdfs", "viewfs", "abfs", "abfss", "ofs")  # a rename onto an existing file fails there
 SINGLE_WRITER = "spark.slotledger.singleWriter"
 
@@ -39,9 +42,11 @@ def _hadoop_path(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject
 
 def load_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: str | None = None) -> DataFrame:
     """A stored table; with a declared schema no file is opened before the query runs. Of a folder with versions, the current one."""
-    reader = spark.read.format(fmt)
     number = latest_snapshot(spark, path) if fmt == "parquet" else None
-    return (reader.schema(schema) if schema else reader).load(path if number is None else snapshot_path(spark, path, number))
+    if number is not None:
+        return load_version(spark, path, number, schema=schema)
+    reader = spark.read.format(fmt)
+    return (reader.schema(schema) if schema else reader).load(path)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -65,7 +70,12 @@ def has_data(spark: SparkSession, path: str) -> bool:
 
 @dataclass(frozen=True)
 class Version:
-    """What the record of a version says: its folder, what that must hold, and the folder of the ledger of raw files."""
+    """What the record of a version says: its folder, what that must hold, and the folder of the ledger of raw files.
+
+    The folder of a split table holds only the parts that this version wrote. ``parts`` says of every part in which
+    version's folder it lies and how many rows it has, and ``schema`` (JSON) is that of the table: older parts may lack
+    columns.
+    """
 
     folder: str
     rows: int | None = None
@@ -73,6 +83,12 @@ class Version:
     bytes: int | None = None
     ledger: str | None = None
     export: str | None = None
+    parts: dict[str, tuple[str, int]] | None = None
+    schema: str | None = None
+
+    def places(self) -> set[str]:
+        """Folders, below the table's, of all its rows."""
+        return {self.folder} if self.parts is None else {f"{folder}/{PART}={name}" for name, (folder, _) in self.parts.items()}
 
 
 def _read_text(spark: SparkSession, path: str) -> str:
@@ -134,12 +150,20 @@ def new_snapshot_path(root: str) -> str:
     return f"{root.rstrip('/')}/{_SNAPSHOT}{uuid.uuid4().hex}"
 
 
-def snapshot_path(spark: SparkSession, root: str, number: int) -> str:
-    """The folder that a version's record names."""
+def load_version(
+    spark: SparkSession, root: str, number: int, only: Collection[str] | None = None, schema: str | StructType | None = None
+) -> DataFrame:
+    """The rows of a committed version; of a split table ``only`` some parts, and no folder but theirs is listed."""
     version = read_version(spark, root, number)
     if version is None:
         raise FileNotFoundError(f"version {number} of {root} is not whole")
-    return f"{root.rstrip('/')}/{version.folder}"
+    if version.schema and schema is None:
+        schema = StructType.fromJson(json.loads(version.schema))
+    keep = [f"/{PART}={name}" for name in (version.parts if only is None else only)] if version.parts is not None else [""]
+    paths = [f"{root.rstrip('/')}/{place}" for place in sorted(version.places()) if place.endswith(tuple(keep))]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return (spark.read.schema(schema) if schema else spark.read).parquet(*paths)
 
 
 def next_number(spark: SparkSession, root: str, newest: int | None) -> int:
@@ -179,12 +203,16 @@ def commit_snapshot(spark: SparkSession, root: str, number: int, version: Versio
 
 
 def forget_versions(spark: SparkSession, root: str, keep: int) -> None:
-    """Remove all but the newest ``keep`` whole versions, records first."""
+    """Remove all but the newest ``keep`` whole versions, records first. Parts that a kept version uses stay."""
     whole = [(n, v) for n in _numbers(spark, root) if (v := read_version(spark, root, n))]
+    used = {place for _, version in whole[:keep] for place in version.places() | {version.folder}}
     for number, version in whole[keep:]:
         target, fs = _hadoop_path(spark, f"{root.rstrip('/')}/{_VERSIONS}/{number}")
         fs.delete(target, False)
-        for folder in filter(None, (f"{root.rstrip('/')}/{version.folder}", version.export)):
+        unused = version.places() - used
+        if not any(place.startswith(version.folder) for place in used):
+            unused.add(version.folder)
+        for folder in filter(None, (*(f"{root.rstrip('/')}/{place}" for place in unused), version.export)):
             remove_folder(spark, folder)
 
 
@@ -206,7 +234,7 @@ def load_snapshot(spark: SparkSession, root: str) -> DataFrame:
     number = latest_snapshot(spark, root)
     if number is None:
         raise FileNotFoundError(f"no committed snapshot below {root}")
-    return spark.read.parquet(snapshot_path(spark, root, number))
+    return load_version(spark, root, number)
 
 
 def clean_mart(df: DataFrame, kind: str) -> DataFrame:

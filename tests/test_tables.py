@@ -1,6 +1,7 @@
 """Merging, snapshots and exports."""
 
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -260,3 +261,81 @@ def test_an_overwrite_that_fails_leaves_the_old_rows(spark, table, tmp_path):
     with pytest.raises(Exception, match="executor lost"):
         sinks.write_table(table.withColumn("v", F.raise_error(F.lit("executor lost"))), path)
     assert rows(sources.load_table(spark, path)) == rows(table)
+
+
+def _files(root, spark):
+    """Data files of the current version by part."""
+    version = sources.read_version(spark, root, sources.latest_snapshot(spark, root))
+    found = {}
+    for place in version.places():
+        found[place.split("=")[-1]] = sorted(p.name for p in (Path(root) / place).glob("*.parquet"))
+    return found
+
+
+def test_a_merge_writes_only_the_parts_it_touches(spark, tmp_path):
+    root = str(tmp_path / "split")
+    days = spark.range(60).select(F.col("id").cast("int").alias("k"), F.lit("x").alias("c"), (F.col("id") % 6).cast("int").alias("m"), F.lit(0).alias("v"))
+    assert sinks.upsert_snapshot(spark, root, days, ["k", "c"], split_by=F.col("m")) == (0, 60)
+    before = _files(root, spark)
+    assert sorted(before) == ["0", "1", "2", "3", "4", "5"]
+    # one row changes in part 1, one moves from 2 to 4, one is new in a part of its own
+    batch = spark.createDataFrame([(1, "x", 1, 7), (2, "x", 4, 7), (99, "x", None, 7)], "k int, c string, m int, v int")
+    assert sinks.upsert_snapshot(spark, root, batch, ["k", "c"], split_by=F.col("m")) == (1, 61)
+    after = _files(root, spark)
+    assert {part for part in after if after[part] != before.get(part)} == {"1", "2", "4", "none"}
+    assert rows(sources.load_snapshot(spark, root)) == rows(sources.load_table(spark, root)) == rows(upsert(days, batch, ["k", "c"]))
+    written = [p for p in Path(root).glob("snapshot=*") if (p / "stored_part=none").exists()]
+    assert sorted(p.name for p in written[0].glob("stored_part=*")) == [f"stored_part={n}" for n in ("1", "2", "4", "none")]
+
+
+def test_split_tables_equal_whole_ones(spark, tmp_path):
+    whole, split = str(tmp_path / "whole"), str(tmp_path / "split")
+    for turn in range(4):
+        picked = F.pmod(F.hash("id", F.lit(turn)), F.lit(3)) == 0
+        value = F.pmod(F.hash("id", F.lit(turn + 50)), F.lit(5)).cast("int")
+        batch = spark.range(90).filter(picked).select(
+            F.nullif(F.col("id"), F.lit(7)).cast("int").alias("k"), F.lit("x").alias("c"), F.nullif(value, F.lit(4)).alias("v"), (value + turn).alias("m")
+        )
+        counts = [sinks.upsert_snapshot(spark, root, batch, ["k", "c"], changed, split_by=by) for root, by in ((whole, None), (split, F.col("v")))]
+        assert counts[0] == counts[1]
+        assert rows(sources.load_snapshot(spark, whole)) == rows(sources.load_snapshot(spark, split))
+    empty = batch.limit(0)
+    assert sinks.upsert_snapshot(spark, split, empty, ["k", "c"], changed, split_by=F.col("v")) == (4, counts[0][1])
+    assert rows(sources.load_snapshot(spark, whole)) == rows(sources.load_snapshot(spark, split))
+    # versions before the last go, the files that it shares with them stay
+    sources.forget_versions(spark, split, 1)
+    assert rows(sources.load_snapshot(spark, whole)) == rows(sources.load_snapshot(spark, split))
+    held = {str(p.parent.relative_to(split)) for p in Path(split).rglob("*.parquet")}
+    assert held == sources.read_version(spark, split, 4).places()
+
+
+def test_tables_become_split_and_whole_again_and_take_new_columns(spark, table, batch, tmp_path):
+    root = str(tmp_path / "table")
+    sinks.upsert_snapshot(spark, root, table, ["k", "c"], changed)
+    wider = batch.withColumn("note", F.lit("n"))
+    assert sinks.upsert_snapshot(spark, root, wider, ["k", "c"], changed, split_by=F.col("c")) == (1, 6)
+    assert rows(sources.load_snapshot(spark, root)) == rows(upsert(table, wider, ["k", "c"], changed))
+    more = spark.createDataFrame([(9, "z", 1, 1, "n", True)], SCHEMA + ", note string, seen boolean")
+    assert sinks.upsert_snapshot(spark, root, more, ["k", "c"], split_by=F.col("c")) == (2, 7)
+    assert sources.load_snapshot(spark, root).filter("seen IS NULL").count() == 6  # parts written before have no such column
+    assert sinks.upsert_snapshot(spark, root, more, ["k", "c"]) == (3, 7)
+    assert sources.read_version(spark, root, 3).parts is None
+
+
+def test_an_empty_split_table_can_be_read_and_merged(spark, table, tmp_path):
+    root = str(tmp_path / "table")
+    assert sinks.upsert_snapshot(spark, root, table.limit(0), ["k", "c"], split_by=F.col("c")) == (0, 0)
+    assert sources.load_snapshot(spark, root).columns == table.columns and sources.load_snapshot(spark, root).isEmpty()
+    assert sinks.upsert_snapshot(spark, root, table, ["k", "c"], split_by=F.col("c")) == (1, 4)
+
+
+def test_another_split_cannot_hide_rows(spark, tmp_path):
+    root = str(tmp_path / "table")
+    old = spark.createDataFrame([(1, "a", 1, 2), (2, "b", 2, 3)], SCHEMA)
+    sinks.upsert_snapshot(spark, root, old, ["k", "c"], split_by=F.col("v"))
+    with pytest.raises(ValueError, match="split by something else"):  # the old row of the touched part 1 would go to part 2
+        sinks.upsert_snapshot(spark, root, spark.createDataFrame([(3, "a", 1, 9)], SCHEMA), ["k", "c"], changed, split_by=F.when(F.col("m") == 9, 1).otherwise(2))
+    with pytest.raises(ValueError, match="no name of a part"):
+        sinks.upsert_snapshot(spark, str(tmp_path / "other"), old, ["k", "c"], split_by=F.lit("a/b"))
+    assert sources.latest_snapshot(spark, str(tmp_path / "other")) is None
+    assert rows(sources.load_snapshot(spark, root)) == rows(old)
