@@ -23,7 +23,8 @@ from slotledger.llm.common import slices, utf8
 
 SLICE_BYTES = 4 << 20
 INDENT_UP_TO = 60  # deeper lists are not indented further
-ALIGN_UP_TO = 40  # a wider cell does not widen its column; its text is still written whole
+WRAP_AT = 80  # cells are wrapped between words at this width; a longer word runs on, and only its own line is out of line
+ALIGN_WITHIN = 500  # columns that begin further to the right follow two spaces apart, so that padding stays bounded
 
 
 def _names(text: str) -> frozenset[str]:
@@ -33,7 +34,9 @@ def _names(text: str) -> frozenset[str]:
 # Names of elements by their part in HTML.
 VOID = _names("area base br col embed hr img input link meta param source track wbr")
 RAW = _names("script style textarea title xmp iframe noembed noframes")
-HIDDEN = _names("head script style title template iframe noembed noframes object svg math audio video canvas datalist map")
+HIDDEN = _names("head script style title template iframe noembed noframes object audio video canvas datalist map")
+HIDDEN |= _names("svg:title svg:desc svg:metadata svg:defs svg:style svg:script svg:symbol svg:clippath svg:mask svg:pattern svg:marker")
+HIDDEN |= _names("math:annotation math:annotation-xml")
 BLANK_LINE = _names("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure hr menu")
 OWN_LINE = _names(
     "html body div section article aside nav header footer main address form fieldset legend details summary dt dd li "
@@ -57,6 +60,14 @@ CLOSED_BY = {
 }
 STOPS = {"li": LISTS, "dt": _names("dl"), "dd": _names("dl"), "option": _names("select"), "optgroup": _names("select")}
 TABLE_PARTS = _names("table caption tbody thead tfoot tr td th")
+ROW_GROUPS = _names("tbody thead tfoot")
+HTML_INSIDE = _names("svg:foreignobject math:annotation-xml")
+LEAVES_FOREIGN = _names(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p "
+    "pre ruby s small span strong strike sub sup table tt u ul var"
+)
+LABELS = _names("svg:text svg:foreignobject math:mtable math:mtr")
+SIDE_BY_SIDE = _names("math:mfrac math:msub math:msup math:msubsup math:munder math:mover math:munderover math:mroot math:mtr")
 
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>")
 _ANY_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
@@ -64,12 +75,15 @@ _SPACES = re.compile(r"[ \t\n\r\f]+")
 _HIDES = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?until-found)|display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 _QUOTED = re.compile(r"=\s*(?:\"[^\"]*\"|'[^']*')")
 _SPAN = re.compile(r"\bcolspan\s*=\s*[\"']?(\d{1,4})", re.I)
+_ROWS = re.compile(r"\browspan\s*=\s*[\"']?(\d{1,5})", re.I)
+_VALUE_WITH_SLASH = re.compile(r"=\s*[^\s\"'=>]+/$")
+_SVG_HIDES = re.compile(r"\bdisplay\s*=\s*[\"']?none|\bvisibility\s*=\s*[\"']?(?:hidden|collapse)", re.I)
 _START = re.compile(r"\bstart\s*=\s*[\"']?(-?\d{1,9})", re.I)
 _STYLE = re.compile(r"\bstyle\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 
 
 def _hides(tag: str, attributes: str) -> bool:
-    if tag in HIDDEN:
+    if tag in HIDDEN or (attributes and tag.startswith("svg") and _SVG_HIDES.search(attributes)):
         return True
     if not attributes or not _HIDES.search(attributes):
         return False
@@ -80,12 +94,19 @@ def _hides(tag: str, attributes: str) -> bool:
 
 
 def events(page: str) -> Iterator[tuple[str, str, str]]:
-    """("text", text, ""), ("open", tag, attributes) and ("close", tag, "") of a properly nested tree."""
+    """("text", text, ""), ("open", tag, attributes) and ("close", tag, "") of a properly nested tree.
+
+    Elements of drawings and formulas are named after their root, as svg:text or math:mi, so that none is taken for an
+    HTML element of that name.
+    """
     stack: list[str] = []
+    roots: list[tuple[int, str]] = []  # where in the stack a drawing or formula begins, or HTML within one
     # how many of each element are open, counted anew inside tables and cells, whose content cannot close what is outside
     scopes: list[Counter] = [Counter()]
 
     def push(tag: str) -> None:
+        if tag in ("svg", "math") or tag in HTML_INSIDE:
+            roots.append((len(stack), "" if tag in HTML_INSIDE else tag))
         stack.append(tag)
         scopes[-1][tag] += 1
         if tag in ("table", "td", "th", "caption"):
@@ -96,6 +117,8 @@ def events(page: str) -> Iterator[tuple[str, str, str]]:
         if tag in ("table", "td", "th", "caption"):
             scopes.pop()
         scopes[-1][tag] -= 1
+        if roots and roots[-1][0] == len(stack):
+            roots.pop()
         return tag
 
     def pop_to(tags: frozenset[str], stops: frozenset[str] = frozenset()) -> Iterator[tuple[str, str, str]]:
@@ -126,6 +149,12 @@ def events(page: str) -> Iterator[tuple[str, str, str]]:
             close = page.find("-->", start + 4)
             position = end if close < 0 else close + 3
             continue
+        foreign = roots[-1][1] if roots else ""
+        if foreign and page.startswith("<![CDATA[", start):
+            close = page.find("]]>", start)
+            position = end if close < 0 else close + 3
+            yield "text", html.escape(page[start + 9 : end if close < 0 else close]), ""
+            continue
         after = page[start + 1 : start + 2]
         if after in ("!", "?") or (after == "/" and not page[start + 2 : start + 3].isalpha()):
             close = page.find(">", start)
@@ -141,7 +170,11 @@ def events(page: str) -> Iterator[tuple[str, str, str]]:
         position = match.end()
         closing, tag, attributes = match[1], match[2].lower(), match[3]
         if closing:
-            if tag == "p" and not scopes[-1]["p"]:
+            if foreign and scopes[-1][f"{foreign}:{tag}"]:
+                yield from pop_to(frozenset((f"{foreign}:{tag}",)))
+            elif not foreign and roots and tag in ("foreignobject", "annotation-xml"):
+                yield from pop_to(HTML_INSIDE)
+            elif tag == "p" and not scopes[-1]["p"]:
                 yield "open", "p", ""
                 yield "close", "p", ""
             elif tag in ("body", "html"):
@@ -155,6 +188,10 @@ def events(page: str) -> Iterator[tuple[str, str, str]]:
                 yield "open", "br", ""
                 yield "close", "br", ""
             continue
+        if foreign and tag in LEAVES_FOREIGN:
+            yield from pop_to(frozenset((foreign,)))
+        elif foreign:
+            tag = f"{foreign}:{tag}"
         if stack and stack[-1] == "head" and tag not in IN_HEAD:
             yield "close", pop(), ""
         if tag in ("html", "body") and scopes[0][tag]:
@@ -169,7 +206,8 @@ def events(page: str) -> Iterator[tuple[str, str, str]]:
         elif tag in CLOSED_BY and parts_open(CLOSED_BY[tag]):
             yield from pop_to(CLOSED_BY[tag], STOPS[tag] | _names("table td th caption"))
         yield "open", tag, attributes
-        if tag in VOID:
+        closed = attributes.endswith("/") and (":" in tag or tag in ("svg", "math")) and not _VALUE_WITH_SLASH.search(attributes)
+        if tag in VOID or closed:
             yield "close", tag, ""
             continue
         push(tag)
@@ -194,7 +232,7 @@ class _Flow:
         self.space = False
         self.indent = 0
         self.marker = ""
-        self.colspan = 1
+        self.colspan = self.rowspan = 1
 
     def block(self, breaks: int) -> None:
         self.breaks = max(self.breaks, breaks)
@@ -246,35 +284,90 @@ class _Flow:
         return "".join(self.parts)
 
 
+def _wrapped(text: str) -> list[str]:
+    """The lines of a cell, broken between words where they get too wide."""
+    out = []
+    for line in text.split("\n"):
+        while len(line) > WRAP_AT:
+            cut = line.rfind(" ", len(line) - len(line.lstrip()), WRAP_AT + 1)
+            if cut <= 0 or not line[:cut].strip():
+                cut = line.find(" ", WRAP_AT)
+            if cut < 0:
+                break
+            out.append(line[:cut])
+            line = line[cut + 1 :]
+        out.append(line)
+    return out
+
+
 class _Table:
     def __init__(self) -> None:
-        self.rows: list[list[tuple[list[str], int]]] = []
+        self.rows: list[list[tuple[list[str], int, int]]] = []
+        self.groups: set[int] = set()
+
+    def group(self) -> None:
+        """No cell reaches from one group of rows into the next."""
+        self.groups.add(len(self.rows))
 
-    def add(self, text: str, span: int) -> None:
+    def add(self, text: str, columns: int, rows: int) -> None:
         if not self.rows:
             self.rows.append([])
-        self.rows[-1].append((text.split("\n"), span))
+        self.rows[-1].append((_wrapped(text), columns, rows))
+
+    def _placed(self) -> list[list[tuple[int, list[str], int]]]:
+        """(column, lines, columns) of the cells of each row, beside the cells that reach down into it."""
+        out = []
+        reaching: list[tuple[int, int, float]] = []  # first column, column behind, first row that is free again
+        for number, row in enumerate(self.rows):
+            if number in self.groups:
+                reaching = []
+            placed, column, k = [], 0, 0
+            if row:
+                reaching = [r for r in reaching if r[2] > number]
+            below = []
+            for lines, columns, rows in row:
+                while k < len(reaching) and reaching[k][0] <= column:
+                    column = max(column, reaching[k][1])
+                    k += 1
+                placed.append((column, lines, columns))
+                if rows != 1:
+                    free = number + rows if rows else float("inf")
+                    if below and below[-1][1:] == (column, free):
+                        below[-1] = (below[-1][0], column + columns, free)
+                    else:
+                        below.append((column, column + columns, free))
+                column += columns
+            if below:
+                reaching = sorted(reaching + below)
+            out.append(placed)
+        return out
 
     def lines(self) -> list[str]:
-        """Rows of cells in columns two spaces apart; cells of several lines make their row higher."""
-        widths: dict[int, int] = {}
-        for row in self.rows:
-            column = 0
-            for lines, span in row:
-                if span == 1:
-                    widest = max(map(len, lines))
-                    if widest <= ALIGN_UP_TO:
-                        widths[column] = max(widths.get(column, 0), widest)
-                column += span
+        """Rows of cells in columns two spaces apart; cells of several lines make their row higher.
+
+        A cell over several rows is written in the first; its columns stay free in the others.
+        """
+        rows = self._placed()
+        widths: dict[int, int] = {}  # of the columns in which cells begin
+        for row in rows:
+            for column, lines, columns in row:
+                fit = max((len(line) for line in lines if len(line) <= WRAP_AT), default=0) if columns == 1 else 0
+                widths[column] = max(widths.get(column, 0), fit)
+        offsets, offset = {}, 0
+        for column in sorted(widths):
+            offsets[column] = offset
+            offset += widths[column] + 2
         out = []
-        for row in self.rows:
-            for k in range(max((len(lines) for lines, _ in row), default=0)):
-                pieces, column = [], 0
-                for lines, span in row:
-                    width = sum(widths.get(c, 0) for c in range(column, column + span)) + 2 * (span - 1)
-                    pieces.append((lines[k] if k < len(lines) else "").ljust(width))
-                    column += span
-                out.append("  ".join(pieces).rstrip())
+        for row in rows:
+            for k in range(max((len(lines) for _, lines, _ in row), default=0)):
+                pieces, length = [], 0
+                for column, lines, _ in row:
+                    if k < len(lines) and lines[k]:
+                        start = offsets[column] if offsets[column] <= ALIGN_WITHIN else 0
+                        gap = max(start - length, 2 if length else 0)
+                        pieces.append(" " * gap + lines[k])
+                        length += gap + len(lines[k])
+                out.append("".join(pieces).rstrip())
         return [line for line in out if line]
 
 
@@ -310,6 +403,8 @@ def render(page: str) -> str:
                 flows.append(_Flow())
                 span = _SPAN.search(attributes)
                 flows[-1].colspan = min(max(1, int(span[1])), 1000) if span else 1
+                down = _ROWS.search(attributes)
+                flows[-1].rowspan = min(int(down[1]), 65_534) if down else 1
             elif name == "caption" and tables:
                 flows.append(_Flow())
             elif name in LISTS:
@@ -327,18 +422,22 @@ def render(page: str) -> str:
                 flow.indent += 4
             else:
                 pre += name == "pre"
+                if name in ROW_GROUPS and tables:
+                    tables[-1].group()
                 if name in BLANK_LINE:
                     flow.block(2)
-                elif name in OWN_LINE:
+                elif name in OWN_LINE or name in LABELS:
                     flow.block(1)
             continue
         name, hides = marks.pop()
         was_hidden, hidden = hidden, hidden - hides
         if was_hidden:
             continue
+        if marks and marks[-1][0] in SIDE_BY_SIDE:
+            flow.space = flow.space or (bool(flow.parts) and not flow.breaks)
         if name in ("td", "th") and tables:
             cell = flows.pop()
-            tables[-1].add(cell.text(), cell.colspan)
+            tables[-1].add(cell.text(), cell.colspan, cell.rowspan)
         elif name == "caption" and tables:
             caption = flows.pop().text()
             flows[-1].lines(caption.split("\n") if caption else [])
@@ -359,7 +458,7 @@ def render(page: str) -> str:
         elif name in BLANK_LINE:
             pre -= name == "pre"
             flow.block(2)
-        elif name in OWN_LINE:
+        elif name in OWN_LINE or name in LABELS:
             flow.block(1)
     text = flows[0].text().replace("\x00", " ")
     return "\n".join(line.rstrip() for line in text.split("\n")).strip("\n")

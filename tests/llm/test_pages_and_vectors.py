@@ -225,3 +225,69 @@ def test_conversion_decodes_all_character_references(spark):
     assert [r["record"].partition("\r\n\r\n")[2][:-4] for r in rows] == list(shown.values())
     for r, text in zip(rows, shown.values(), strict=True):
         assert r["content_length"] == len(text.encode()) and r["block_digest"] == "sha256:" + hashlib.sha256(text.encode()).hexdigest()
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<p>Area <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac><annotation>tex</annotation></math> end", "Area x=1 2 end"),
+        ("<p>a<svg viewBox='0 0'><title>icon</title><path d='M0'/></svg>b", "ab"),
+        ("<svg><defs><text>no</text></defs><title/><text x=1>North</text><text>South <tspan>pole</tspan></text></svg>", "North\nSouth pole"),
+        ("<svg><text display='none'>z</text><style>s > t</style><desc>d</desc><text><![CDATA[a<b]]></text></svg>", "a<b"),
+        ("<svg><text>open <p>para <b>bold</b></p>", "open\n\npara bold"),
+        ("<svg><foreignObject><p>one</foreignObject><text>two</text></svg>three", "one\n\ntwo\nthree"),
+        ("<div>a</div><svg><a><text>link</text></a></svg><li>x", "a\nlink\n- x"),
+        ("<table><tr><th rowspan=2>Region<th>Q1<th>Q2<tr><td>10<td>20<tr><td>North long<td>3<td>4</table>",
+         "Region      Q1  Q2\n            10  20\nNorth long  3   4"),
+        ("<table><tbody><tr><td rowspan=0>A<td>b<tr><td>c</tbody><tbody><tr><td>d<td>e</table>", "A  b\n   c\nd  e"),
+        ("<table><tr><td rowspan=3>A<td>b</tbody><tbody><tr><td>c<td>d</table>", "A  b\nc  d"),
+        ("<table><tr><td>a<td rowspan=2>b<td>c<tr><td>d<td>e</table>", "a  b  c\nd     e"),
+    ],
+)
+def test_drawings_formulas_and_cells_over_several_rows(page, text):
+    assert render(page) == text
+
+
+def test_wide_cells_are_wrapped_and_columns_stay_in_line():
+    words = [f"w{i}" for i in range(60)]
+    page = f"<table><tr><td>x<td>{' '.join(words)}<td>z<tr><td>longer<td>s<td>t<tr><td>{'u' * 200}<td>v<td>y</table>"
+    lines = render(page).split("\n")
+    assert lines[0].startswith("x       w0 ") and lines[0].endswith("  z") and max(map(len, lines[:-1])) <= 8 + html_text.WRAP_AT + 3
+    assert [w for w in " ".join(lines).split() if w[0] == "w"] == words
+    at = lines[0].index("  z") + 2
+    assert [line[at:] for line in lines if line.startswith(("x ", "longer"))] == ["z", "t"]
+    assert lines[-1] == "u" * 200 + "  v  " + " " * (at - 205) + "y" if at > 205 else lines[-1].split() == ["u" * 200, "v", "y"]
+
+
+def test_tables_against_a_grid():
+    """Cells at random, without line breaks: each is found where a grid that is filled cell by cell has it."""
+    dealt = random.Random(5)
+    for _ in range(200):
+        height, taken, cells, source = dealt.randint(1, 6), set(), {}, []
+        for r in range(height):
+            source.append("<tr>")
+            column = 0
+            for k in range(dealt.randint(1, 5)):
+                while (r, column) in taken:
+                    column += 1
+                across, down, name = dealt.choice((1, 1, 1, 2)), dealt.choice((1, 1, 2, 3)), f"c{r}_{k}" + "x" * dealt.randint(0, 6)
+                if any((r, column + j) in taken for j in range(across)):
+                    across = 1
+                cells[name] = (r, column)
+                taken |= {(r + i, column + j) for i in range(down) for j in range(across)}
+                source.append(f"<td colspan={across} rowspan={down}>{name}")
+                column += across
+        lines = render("<table>" + "".join(source) + "</table>").split("\n")
+        starts = {}
+        for name, (r, column) in cells.items():
+            place = re.search(rf"(?<!\S){name}(?!\S)", lines[r])
+            starts.setdefault(column, {})[name] = place.start()
+        for column, found in starts.items():
+            # a cell over several columns may push what follows it in its row to the right
+            plain = {at for name, at in found.items() if not _pushed(lines[cells[name][0]], at)}
+            assert len(plain) <= 1, (source, lines)
+
+
+def _pushed(line, at):
+    """Whether only the least gap parts a cell from the one before."""
+    return at >= 2 and line[at - 2 : at] == "  " and line[at - 3 : at - 2] not in ("", " ")
