@@ -131,6 +131,17 @@ def events(page: str) -> Iterator[tuple[str, str, str]]:
             if stack[depth] in stops:
                 return
 
+    def pop_row(tags: frozenset[str]) -> Iterator[tuple[str, str, str]]:
+        """Close all of ``tags`` that are open in the current table."""
+        lowest = None
+        for depth in range(len(stack) - 1, -1, -1):
+            if stack[depth] == "table":
+                break
+            if stack[depth] in tags:
+                lowest = depth
+        while lowest is not None and len(stack) > lowest:
+            yield "close", pop(), ""
+
     def parts_open(tags: frozenset[str]) -> bool:
         return any(scopes[-1][t] for t in tags)
 
@@ -199,7 +210,7 @@ def events(page: str) -> Iterator[tuple[str, str, str]]:
         if tag in CLOSES_P and scopes[-1]["p"]:
             yield from pop_to(frozenset(("p",)))
         if tag in ("td", "th", "tr", "tbody", "thead", "tfoot"):
-            yield from pop_to(CLOSED_BY[tag], frozenset(("table",)))
+            yield from pop_row(CLOSED_BY[tag])
             if tag in ("td", "th") and stack and stack[-1] in ("table", "tbody", "thead", "tfoot"):
                 push("tr")
                 yield "open", "tr", ""

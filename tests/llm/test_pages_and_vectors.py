@@ -288,6 +288,15 @@ def test_tables_against_a_grid():
             assert len(plain) <= 1, (source, lines)
 
 
+def test_rows_without_end_tags_do_not_nest():
+    page = "<table><tr><td>a<tr><td>b<tbody><tr><th>c<td>d</table>"
+    depth = deepest = 0
+    for kind, _, _ in html_text.events(page):
+        depth += (kind == "open") - (kind == "close")
+        deepest = max(deepest, depth)
+    assert (depth, deepest) == (0, 4) and render(page) == "a\nb\nc  d"
+
+
 def _pushed(line, at):
     """Whether only the least gap parts a cell from the one before."""
     return at >= 2 and line[at - 2 : at] == "  " and line[at - 3 : at - 2] not in ("", " ")
