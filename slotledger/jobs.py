@@ -74,7 +74,7 @@ def _ingest(
         new = listed if source.everything else not_in_ledger(listed, ledger)
         if ledger is None or source.everything:
             raw = source.read(spark, source.path, modified_after=source.modified_after)
-        elif paths := [r["path"] for r in new.select("path").collect()]:
+        elif paths := new.agg(F.collect_list("path")).first()[0]:  # a reader takes its files by name
             raw = source.read(spark, paths)
         else:
             rows = load_snapshot(spark, table).count()  # from the files' footers

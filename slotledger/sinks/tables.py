@@ -164,7 +164,8 @@ def _touched(table: DataFrame, batch: DataFrame, keys: Sequence[str], part: Colu
     """Parts that hold keys of the batch, or will hold its rows. Of the table only keys are read; names of parts come back."""
     own = F.regexp_extract("_metadata.file_path", f"/{PART}=([^/]+)/", 1)
     holding = table.select(*keys, own.alias(PART)).join(batch.select(*keys), list(keys), "left_semi").select(PART)
-    return {row[PART] for row in holding.union(batch.select(part.alias(PART))).distinct().collect()}
+    names = holding.union(batch.select(part.alias(PART))).distinct()
+    return set(names.agg(F.collect_set(PART)).first()[0])
 
 
 def _upsert_parts(
@@ -196,7 +197,8 @@ def _upsert_parts(
         rows = upsert(load_version(spark, root, newest, touched), batch, keys, update_when)
     parted = rows.withColumn(PART, part)
     path = _write_files(parted, new_snapshot_path(root), [PART])
-    written = {r[PART]: r["count"] for r in spark.read.schema(parted.schema).parquet(path).groupBy(PART).count().collect()}
+    sizes = spark.read.schema(parted.schema).parquet(path).groupBy(PART).count()
+    written = dict(sizes.agg(F.collect_list(F.struct(PART, "count"))).first()[0])
     if unfit := [name for name in written if name in stay or not re.fullmatch(r"[\w.+-]+", name, re.ASCII)]:
         raise ValueError(f"{root} is split by something else, or this is no name of a part: {', '.join(sorted(unfit)[:3])}")
     folder = path.rsplit("/", 1)[1]
