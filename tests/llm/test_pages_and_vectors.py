@@ -192,6 +192,26 @@ def test_vectors_without_an_inner_product_are_refused(spark, vector, message):
         top_k.top_k(frame).collect()
 
 
+def test_numbers_are_kept_as_small_as_is_exact():
+    assert [top_k.smallest_kind(t) for t in (0, 127, 128, 40_000, 1 << 31)] == [np.int8, np.int8, np.int16, np.int32, np.int64]
+    assert [top_k.exact_floats(t, 64) for t in (127, 511, 512, 1 << 23, 1 << 24)] == [np.float32, np.float32, np.float64, np.float64, None]
+
+
+def test_highest_bounds_come_first():
+    bounds = np.array([3.0, 9.0, 9.0, 1.0, 7.0, 2.0])
+    first, rest = top_k.highest(np.array([0, 1, 2, 4, 5]), bounds, 3)
+    assert sorted(first.tolist()) == [1, 2, 4] and sorted(rest.tolist()) == [0, 5]
+    assert [len(r) for r in top_k.highest(np.arange(6), bounds, 6)] == [6, 0]
+
+
+@pytest.mark.parametrize("scale", [1, 1000, 1 << 20])
+def test_top_k_of_numbers_of_any_size(spark, scale):
+    rng = random.Random(scale)
+    rows = [(i, [float(rng.randint(-9, 9) * scale) for _ in range(5)]) for i in range(200)]
+    found = top_k.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 20, 64, 20, 32, 4)
+    assert sorted(tuple(r) for r in found.collect()) == brute(rows, 20, 20)
+
+
 def test_scores_beyond_doubles_stay_exact():
     rows = np.array([[1 << 40, 3], [-(1 << 40), 5]])
     query = np.array([(1 << 40) + 1, 7])
