@@ -1,4 +1,4 @@
-"""Exact repeated byte strings by a depth-limited radix sort of suffixes.
+"""Repeated byte strings by a depth-limited radix sort of suffixes.
 
 Suffixes are ordered most significant digit first, only as far as the threshold, and a suffix leaves the sort as soon
 as it is alone in its group; the groups left at the end are exactly the repeated windows. The first digit is chosen so
@@ -9,7 +9,8 @@ others travel to their gram's task, where the next digits are sorted and the res
 
 Equal texts are collapsed before anything else, into a table bucketed by text digest: texts are shuffled once, and
 later joins with it move only small rows. Nothing is capped: grams of very many runs take a path that never gathers
-them, with one row for each window and counts that are combined before the shuffle.
+them, with one row for each window and counts that are combined before the shuffle. Windows on that path are taken as
+equal by 128 bits of hash, those of all other grams by their bytes; so the result is exact up to such hashes.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from slotledger.llm.common import mix64, ragged, scratch_path, stored, utf8
 
 THRESHOLD = 400
 HOT_RUNS = 1 << 15
+SALTS = 32  # places of one very common window meet in that many tasks
 SLICE_BYTES = 1 << 20
 BATCH_ROWS = 4096
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd, so that they can be inverted modulo 2 to the 64
@@ -348,8 +350,8 @@ def text_key(text: Column) -> Column:
 def _distinct_texts(docs: DataFrame) -> DataFrame:
     """(key, text, copies), bucketed by key, so that joins with it do not shuffle texts again.
 
-    Copies are combined before the shuffle. The files lie in the shared scratch folder; the table's name is only known
-    to this session.
+    Copies are combined before the shuffle. The files lie in the shared scratch folder. Buckets need a table's name; it
+    is dropped from the catalog at once, which leaves the files and the DataFrame.
     """
     spark = docs.sparkSession
     text = F.coalesce(docs["text"], F.lit("")).cast("string")
@@ -357,7 +359,9 @@ def _distinct_texts(docs: DataFrame) -> DataFrame:
     distinct = texts.groupBy("key").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
     name, buckets = f"texts_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
     distinct.write.bucketBy(buckets, "key").option("path", scratch_path(spark, "texts")).saveAsTable(name)
-    return spark.table(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return table
 
 
 def repeated_ranges(texts: DataFrame, threshold: int = THRESHOLD, hot_runs: int = HOT_RUNS) -> DataFrame:
@@ -370,7 +374,7 @@ def repeated_ranges(texts: DataFrame, threshold: int = THRESHOLD, hot_runs: int
     )
     known = runs.filter(F.col("gram").isNotNull())
     counts = known.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1")
-    shared = known.join(counts, "gram")
+    shared = stored(known.join(counts, "gram"), "shared-runs")
 
     def bodies(which: DataFrame) -> DataFrame:
         listed = which.groupBy("key").agg(F.collect_list(F.struct("gram", "first", "last")).alias("runs"))
@@ -381,9 +385,11 @@ def repeated_ranges(texts: DataFrame, threshold: int = THRESHOLD, hot_runs: int
     usual = bodies(shared.filter(F.col("n") <= hot_runs)).repartition("gram").sortWithinPartitions("gram")
     found = usual.mapInArrow(_sort_groups(threshold), "key binary, start long, end long")
     hot = shared.filter(F.col("n") > hot_runs)
-    windows = bodies(hot).mapInArrow(_window_prints(threshold), "x long, y long, key binary, place long")
+    prints = bodies(hot).mapInArrow(_window_prints(threshold), "x long, y long, key binary, place long")
+    windows = stored(prints, "windows").withColumn("salt", F.pmod(F.xxhash64("key", "place"), F.lit(SALTS)))
     again = windows.groupBy("x", "y").agg(F.count("*").alias("n")).filter("n > 1").select("x", "y")
-    places = windows.join(again, ["x", "y"]).select("key", F.col("place").alias("start"), (F.col("place") + threshold).alias("end"))
+    again = again.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    places = windows.join(again, ["x", "y", "salt"]).select("key", F.col("place").alias("start"), (F.col("place") + threshold).alias("end"))
     own = runs.filter(F.col("gram").isNull()).select(
         "key", F.col("first").cast("long").alias("start"), (F.col("last") + threshold).cast("long").alias("end")
     )

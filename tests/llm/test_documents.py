@@ -252,6 +252,16 @@ def test_repeated_bytes_of_awkward_rows(awkward, crowded, no_documents):
     assert repeated_bytes.remove_repeats(no_documents, 40).count() == 0
 
 
+def test_one_window_in_most_texts(spark):
+    shared = "the same forty bytes and more in most texts of the table "
+    rows = [(i, f"{i * 7919:x} {shared}{i * 104729:x}" if i % 3 else f"{i * 7919:x}") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    before = {t.name for t in spark.catalog.listTables()}
+    result = repeated_bytes.remove_repeats(docs, 40, 16)
+    assert {t.name for t in spark.catalog.listTables()} == before  # no name of an intermediate table stays
+    same(collected(result, *COLUMNS), removed(rows, 40))
+
+
 def test_long_text_in_parts(monkeypatch):
     rng = np.random.default_rng(5)
     text = rng.integers(97, 123, 5000, dtype=np.uint8)
