@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 
 from slotledger.llm.common import id_and_text, slices, utf8
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 1 << 20  # of text at once: split into words it takes about fifteen times that, and workers keep what they once took
 CACHED_WORDS = 1 << 19
 PIECES_AT_ONCE = 1 << 18
 

@@ -5,10 +5,13 @@ import hashlib
 import json
 import random
 import re
+import tracemalloc
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from tokenizers import Tokenizer
@@ -316,6 +319,20 @@ def test_long_texts_and_a_full_cache(vocabulary, monkeypatch):
         assert bpe.decode(ids, vocabulary) == text
 
 
+def test_words_of_a_batch_are_not_all_held_at_once():
+    with open(PATH, encoding="utf-8") as file:
+        spec = SimpleNamespace(value=file.read())
+    bpe._vocabulary(spec.value)
+    texts = ["the same few words of text " * 400] * 600  # 6 MB, 1.4 million words
+    batch = pa.RecordBatch.from_arrays([pa.array(range(600), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    tracemalloc.start()
+    try:
+        assert sum(made.num_rows for made in bpe._coder(spec)(iter([batch]))) == 600
+        assert tracemalloc.get_traced_memory()[1] < 40 << 20
+    finally:
+        tracemalloc.stop()
+
+
 def test_tokens_contract(awkward, crowded, no_documents):
     library = Tokenizer.from_file(PATH)
     expected = []
