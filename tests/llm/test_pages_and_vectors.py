@@ -8,6 +8,7 @@ import re
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from slotledger.llm import catalog, html_text, top_k, warc
 from slotledger.llm.html_text import render
@@ -140,6 +141,24 @@ def test_derivatives_of_other_responses(spark):
     assert found[1, "conversion"] == found[2, "conversion"] == "\r\n\r\n"
 
 
+def test_derivatives_search_a_text_no_more_often_than_needed(pages):
+    plan = warc.derivatives(warc.responses(pages))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("RLIKE") == 1  # two before: in the input of Python and beside its result
+    assert plan.count("regexp_replace") == 5 and "|<title" not in plan
+
+
+def test_shorter_patterns_mean_what_the_stated_ones_mean(spark):
+    rng = random.Random(7)
+    parts = ["<", "<!--", "-->", "<title", "</title >", "<SCRIPT", "</script>", "<style>", "</Style\n>", "<template ", "</template>", "<noscript>"]
+    parts += ["</noscript>", "<titles>", ">", " ", "\n", "\n \n", "\t", "\x0b", "a", "é", "&amp;", "|", "\u00a0"]
+    rows = [("".join(rng.choice(parts) for _ in range(rng.randint(0, 12))),) for _ in range(3000)]
+    texts = spark.createDataFrame(rows, "text string")
+    hidden, seen = (F.regexp_replace("text", pattern, " ") for pattern in (warc.HIDDEN, warc.UNSEEN))
+    stated = F.regexp_replace(F.regexp_replace(F.regexp_replace("text", warc.SPACES, " "), warc.LINES, "\n"), warc.ENDS, "")
+    assert texts.filter((hidden != seen) | (warc.plain_text(F.col("text")) != stated)).count() == 0
+    assert texts.filter(hidden != F.col("text")).count() > 1000
+
+
 def brute(rows, k, every):
     """Every row but those of the query's id, whatever else it shares with others."""
     vectors = [
