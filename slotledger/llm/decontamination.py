@@ -23,6 +23,7 @@ from slotledger.llm.common import id_and_text, ragged, slices, utf8, with_text
 
 WINDOW_WORDS = 10
 SHARD_BYTES = 32 << 20
+CUT_BYTES = 4 << 20  # the shards of decontaminate, whose workers go on to other stages and keep what they once took
 PIECE_BYTES = 4 << 20
 BLOCK_BYTES = 8 << 20
 SAMPLE_EVERY = 16
@@ -186,7 +187,7 @@ def _word_bounds(text: bytes, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return bounds[wanted[:, 0], 0], bounds[wanted[:, 1] - 1, 1]
 
 
-def _detector(blocks: list, width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _detector(blocks: list, width: int, shard_bytes: int = SHARD_BYTES) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def detect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema(
             [
@@ -200,7 +201,7 @@ def _detector(blocks: list, width: int) -> Callable[[Iterator[pa.RecordBatch]],
         only = Phrases(blocks[0].value, width) if len(blocks) == 1 else None
         for batch in batches:
             data, offsets = utf8(batch.column(1))
-            for first, last in slices(offsets, SHARD_BYTES):
+            for first, last in slices(offsets, shard_bytes):
                 texts = [data[offsets[i] : offsets[i + 1]].tobytes() for i in range(first, last)]
                 items: list[set[str]] = [set() for _ in texts]
                 covers: list[list[np.ndarray]] = [[] for _ in texts]
@@ -291,7 +292,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW_WOR
     empty one; a column named n_chars follows the new text.
     """
     blocks = phrase_blocks(benchmark)
-    detect = _detector(blocks, width)
+    detect = _detector(blocks, width, CUT_BYTES if len(blocks) == 1 else SHARD_BYTES)  # several are parsed again for each shard
 
     @F.arrow_udf(StringType())
     def cut(texts: pa.Array) -> pa.Array:

@@ -298,7 +298,7 @@ def redact(docs: DataFrame) -> DataFrame:
     @F.arrow_udf(StringType())
     def replaced(texts: pa.Array) -> pa.Array:
         new = []
-        for text in texts.to_pylist():
+        for text in (x.as_py() for x in texts):
             spans = [c for c in candidates(text) if c.base or c.pattern in accepted] if text else []
             new.append(redacted(text, spans) if spans else None)
         return pa.array(new, pa.string())

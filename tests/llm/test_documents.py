@@ -319,6 +319,18 @@ def test_long_texts_and_a_full_cache(vocabulary, monkeypatch):
         assert bpe.decode(ids, vocabulary) == text
 
 
+def test_cut_out_passages_take_little_memory_at_once():
+    texts = ["some words of a text that no phrase has, and more of them " * 600] * 600  # 21 MB, one batch
+    batch = pa.RecordBatch.from_arrays([pa.array(range(600), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    detect = decontamination._detector([SimpleNamespace(value=[("1", b"a phrase of two")])], 10, decontamination.CUT_BYTES)
+    tracemalloc.start()
+    try:
+        assert sum(made.num_rows for made in detect(iter([batch]))) == 600
+        assert tracemalloc.get_traced_memory()[1] < 40 << 20
+    finally:
+        tracemalloc.stop()
+
+
 def test_words_of_a_batch_are_not_all_held_at_once():
     with open(PATH, encoding="utf-8") as file:
         spec = SimpleNamespace(value=file.read())
