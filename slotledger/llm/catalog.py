@@ -65,8 +65,8 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = repeated_bytes.remove_repeats(table(spark, sf_dir, "documents"))
-    return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    cleaned = repeated_bytes.remove_repeats(table(spark, sf_dir, "documents"), passage_words=repeated_bytes.PASSAGE_WORDS)
+    return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_repeated_words")
 
 
 @query

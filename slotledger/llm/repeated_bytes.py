@@ -11,6 +11,9 @@ Equal texts are collapsed before anything else, into a table bucketed by text di
 later joins with it move only small rows. Nothing is capped: grams of very many runs take a path that never gathers
 them, with one row for each window and counts that are combined before the shuffle. Windows on that path are taken as
 equal by 128 bits of hash, those of all other grams by their bytes; so the result is exact up to such hashes.
+
+The same sort runs over words, each taken as a digit of 64 bits of hash: passages of so many words that repeat are
+counted beside the bytes, as a passage may be long in words and yet shorter than the threshold in bytes.
 """
 
 from __future__ import annotations
@@ -24,9 +27,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slotledger.llm.common import mix64, ragged, scratch_path, stored, utf8
+from slotledger.llm.common import mix64, ragged, scratch_path, slices, stored, utf8
 
 THRESHOLD = 400
+PASSAGE_WORDS = 51
 HOT_RUNS = 1 << 15
 SALTS = 32  # places of one very common window meet in that many tasks
 SLICE_BYTES = 1 << 20
@@ -82,16 +86,56 @@ def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
 def same_bytes(data: np.ndarray, left: np.ndarray, right: np.ndarray, length: int) -> np.ndarray:
     """Whether the strings that start at left[i] and right[i] are equal."""
     windows = np.lib.stride_tricks.sliding_window_view(data, length)
-    step = max(1, (8 << 20) // length)
+    step = max(1, (8 << 20) // (length * data.itemsize))
     parts = [(windows[left[i : i + step]] == windows[right[i : i + step]]).all(1) for i in range(0, len(left), step)]
     return np.concatenate(parts) if parts else np.zeros(0, bool)
 
 
-def runs_of(data: np.ndarray, bounds: np.ndarray, threshold: int) -> tuple[np.ndarray, ...]:
+def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of some bytes start and end: all but blanks, tabs and line breaks."""
+    word = np.zeros(len(data) + 2, np.int8)
+    word[1:-1] = (data != 32) & ((data < 9) | (data > 13))
+    change = np.diff(word)
+    return np.flatnonzero(change == 1), np.flatnonzero(change == -1)
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64 bits for each word, a slice of bytes at a time; words of more than a slice are hashed alone."""
+    found = np.empty(len(starts), np.uint64)
+    i = 0
+    while i < len(starts):
+        low = int(starts[i])
+        j = max(i + 1, int(np.searchsorted(ends, low + SLICE_BYTES, "right")))
+        part = data[low : ends[j - 1]]
+        if len(part) > SLICE_BYTES:
+            found[i] = int.from_bytes(hashlib.blake2b(part, digest_size=8).digest(), "little")
+        else:
+            found[i:j] = Hashes(part).of(starts[i:j] - low, ends[i:j] - starts[i:j])
+        i = j
+    return found
+
+
+def _units(data: np.ndarray, offsets: np.ndarray, words: bool) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, units, offsets of the rows from there on): the bytes of all rows, or hashes of words, some rows at a time."""
+    if not words:
+        yield 0, data, offsets
+        return
+    for first, last in slices(offsets, SLICE_BYTES):
+        edges = offsets[first : last + 1]
+        joined, begin = data[edges[0] : edges[-1]], np.zeros(1, np.int64)
+        if last - first > 1:  # a blank after each text, so that no word goes on in the next one
+            begin = edges - edges[0] + np.arange(len(edges))
+            joined = np.insert(joined, edges[1:] - edges[0], 32)
+        starts, ends = word_bounds(joined)
+        yield first, word_hashes(joined, starts, ends), np.append(np.searchsorted(starts, begin[: last - first]), len(starts))
+
+
+def runs_of(data: np.ndarray, bounds: np.ndarray, threshold: int, short: int = 16) -> tuple[np.ndarray, ...]:
     """For texts data[bounds[i] : bounds[i + 1]]: window runs (gram hash, first, last), and windows repeated in their own text.
 
-    A run is a range of window starts that share their smallest gram. In texts with many short runs (periodic ones)
-    repeated windows are found at once; only the first of each goes on, so that no text yields more rows than windows.
+    A run is a range of window starts that share their smallest gram. In texts with many short runs (periodic ones: fewer
+    than ``short`` windows a run) repeated windows are found at once; only the first of each goes on, so that no text
+    yields more rows than windows.
     """
     nothing = np.zeros(0, np.int64)
     if len(data) < threshold:
@@ -114,7 +158,7 @@ def runs_of(data: np.ndarray, bounds: np.ndarray, threshold: int) -> tuple[np.nd
     first, end = split(starts)
     repeated = nothing
     runs = np.bincount(text[first], minlength=len(bounds) - 1)
-    dense = runs * 16 > np.bincount(text, minlength=len(bounds) - 1)
+    dense = runs * short > np.bincount(text, minlength=len(bounds) - 1)
     dense &= runs > 16
     if dense.any():
         at = starts[dense[text]]
@@ -155,59 +199,66 @@ def _segments(data: np.ndarray, offsets: np.ndarray, threshold: int) -> Iterator
         yield flush()
 
 
-def _find_runs(threshold: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _find_runs(threshold: int, words: bool = False) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    short = max(2, min(16, (threshold - gram_bytes(threshold)) // 20))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = utf8(batch.column(1))
-            for joined, bounds, rows, places in _segments(data, offsets, threshold):
-                grams, first, last, repeated = runs_of(joined, bounds, threshold)
-                cuts = np.flatnonzero(np.diff(repeated) != 1) + 1
-                again = [(r[0], r[-1]) for r in np.split(repeated, cuts)] if len(repeated) else []
-                # a repeated range never spans two texts: the windows between them do not exist
-                first = np.concatenate((first, np.array([a for a, _ in again], np.int64)))
-                last = np.concatenate((last, np.array([b for _, b in again], np.int64)))
-                part = np.searchsorted(bounds, first, "right") - 1
-                shift = places[part] - bounds[part]
-                known = np.arange(len(first)) < len(grams)
-                values = np.concatenate((grams.view(np.int64), np.zeros(len(again), np.int64)))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(values, mask=~known),
-                        batch.column(0).take(pa.array(rows[part])),
-                        pa.array((first + shift).astype(np.int32)),
-                        pa.array((last + shift).astype(np.int32)),
-                    ],
-                    ["gram", "key", "first", "last"],
-                )
+            for above, units, offsets in _units(*utf8(batch.column(1)), words):
+                for joined, bounds, rows, places in _segments(units, offsets, threshold):
+                    grams, first, last, repeated = runs_of(joined, bounds, threshold, short)
+                    cuts = np.flatnonzero(np.diff(repeated) != 1) + 1
+                    again = [(r[0], r[-1]) for r in np.split(repeated, cuts)] if len(repeated) else []
+                    # a repeated range never spans two texts: the windows between them do not exist
+                    first = np.concatenate((first, np.array([a for a, _ in again], np.int64)))
+                    last = np.concatenate((last, np.array([b for _, b in again], np.int64)))
+                    part = np.searchsorted(bounds, first, "right") - 1
+                    shift = places[part] - bounds[part]
+                    known = np.arange(len(first)) < len(grams)
+                    values = np.concatenate((grams.view(np.int64), np.zeros(len(again), np.int64)))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(values, mask=~known),
+                            batch.column(0).take(pa.array(above + rows[part])),
+                            pa.array((first + shift).astype(np.int32)),
+                            pa.array((last + shift).astype(np.int32)),
+                        ],
+                        ["gram", "key", "first", "last"],
+                    )
 
     return run
 
 
-def _contexts(threshold: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The bytes that the windows of each listed run cover."""
+def _contexts(threshold: int, words: bool = False) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The bytes, or hashes of words, that the windows of each listed run cover."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = utf8(batch.column(1))
-            listed = batch.column(2)
-            counts = np.diff(listed.offsets.to_numpy())
-            fields = listed.flatten().flatten()
-            owner = np.repeat(np.arange(batch.num_rows), counts)
-            gram, first, last = (f.to_numpy() for f in fields)
-            body = memoryview(data)
-            for i in range(0, len(owner), BATCH_ROWS):
-                rows = slice(i, i + BATCH_ROWS)
-                low = offsets[owner[rows]] + first[rows]
-                high = offsets[owner[rows]] + last[rows] + threshold
-                texts = [bytes(body[a:b]) for a, b in zip(low.tolist(), high.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(gram[rows]), batch.column(0).take(pa.array(owner[rows])), pa.array(first[rows]), pa.array(texts, pa.binary())],
-                    ["gram", "key", "first", "body"],
-                )
+            for above, units, offsets in _units(*utf8(batch.column(1)), words):
+                keys, listed = (c.slice(above, len(offsets) - 1) for c in (batch.column(0), batch.column(2)))
+                owner = np.repeat(np.arange(len(listed)), np.diff(listed.offsets.to_numpy()))
+                gram, first, last = (f.to_numpy() for f in listed.flatten().flatten())
+                body, size = memoryview(units.view(np.uint8)), units.itemsize
+                for i in range(0, len(owner), BATCH_ROWS):
+                    rows = slice(i, i + BATCH_ROWS)
+                    low = (offsets[owner[rows]] + first[rows]) * size
+                    high = (offsets[owner[rows]] + last[rows] + threshold) * size
+                    texts = [bytes(body[a:b]) for a, b in zip(low.tolist(), high.tolist(), strict=True)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(gram[rows]), keys.take(pa.array(owner[rows])), pa.array(first[rows]), pa.array(texts, pa.binary())],
+                        ["gram", "key", "first", "body"],
+                    )
 
     return run
 
 
+def _bodies(column: pa.Array, words: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes, or hashes of words, that lie in a binary column, and the offsets of its values."""
+    data, offsets = utf8(column)
+    data, offsets = data[offsets[0] : offsets[-1]], offsets - offsets[0]
+    return (data.view(np.uint64), offsets // 8) if words else (data, offsets)
+
+
 def repeated_windows(data: np.ndarray, starts: np.ndarray, groups: np.ndarray, threshold: int) -> np.ndarray:
     """Which windows occur more than once among those of their group: radix passes, then a comparison byte by byte."""
     hashes = Hashes(data)
@@ -239,7 +290,7 @@ def repeated_windows(data: np.ndarray, starts: np.ndarray, groups: np.ndarray, t
     return found
 
 
-def _sort_groups(threshold: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _sort_groups(threshold: int, words: bool = False) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
@@ -252,9 +303,7 @@ def _sort_groups(threshold: int) -> Callable[[Iterator[pa.RecordBatch]], Iterato
             if not end:
                 return
             rows = rows.slice(0, end).to_batches()[0]
-            data, offsets = utf8(rows.column(3))
-            data = data[offsets[0] : offsets[-1]]
-            offsets = offsets - offsets[0]
+            data, offsets = _bodies(rows.column(3), words)
             group = np.concatenate(([0], np.cumsum(gram[1:end] != gram[: end - 1])))
             owner, starts = ragged(offsets[:-1], np.diff(offsets) - threshold + 1)
             found = np.flatnonzero(repeated_windows(data, starts, group[owner], threshold))
@@ -284,13 +333,12 @@ def _sort_groups(threshold: int) -> Callable[[Iterator[pa.RecordBatch]], Iterato
     return run
 
 
-def _window_prints(threshold: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _window_prints(threshold: int, words: bool = False) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """One row for each window of the runs: 128 bits of hash, and where it starts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = utf8(batch.column(3))
-            data, offsets = data[offsets[0] : offsets[-1]], offsets - offsets[0]
+            data, offsets = _bodies(batch.column(3), words)
             owner, starts = ragged(offsets[:-1], np.diff(offsets) - threshold + 1)
             prints = [Hashes(data, base).of(starts, threshold).view(np.int64) for base in BASES]
             place = (starts - offsets[owner] + batch.column(2).to_numpy()[owner]).astype(np.int64)
@@ -304,21 +352,27 @@ def _window_prints(threshold: int) -> Callable[[Iterator[pa.RecordBatch]], Itera
     return run
 
 
-def _remove(with_kept: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _merged(found: list[tuple[int, int]]) -> list[list[int]]:
+    merged: list[list[int]] = []
+    for a, b in sorted(found):
+        if merged and a <= merged[-1][1]:
+            merged[-1][1] = max(b, merged[-1][1])
+        else:
+            merged.append([a, b])
+    return merged
+
+
+def _remove(with_kept: bool, passage_words: int = PASSAGE_WORDS) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = utf8(batch.column(1))
             listed, whole = batch.column(2), batch.column(3).to_pylist()
-            removed, count, digests, kept, spans = [], [], [], [], []
+            passages, copied = batch.column(4), batch.column(5).to_pylist()
+            removed, count, digests, kept, spans, words = [], [], [], [], [], []
             for i in range(batch.num_rows):
                 text = data[offsets[i] : offsets[i + 1]].tobytes()
                 found = [(0, len(text))] if whole[i] else [(s["start"], s["end"]) for s in listed[i].as_py() or ()]
-                merged: list[list[int]] = []
-                for a, b in sorted(found):
-                    if merged and a <= merged[-1][1]:
-                        merged[-1][1] = max(b, merged[-1][1])
-                    else:
-                        merged.append([a, b])
+                merged = _merged(found)
                 edges = [0, *(x for m in merged for x in m), len(text)]
                 rest = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)) if merged else text
                 removed.append(len(text) - len(rest))
@@ -326,6 +380,11 @@ def _remove(with_kept: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
                 digests.append(hashlib.sha256(rest).hexdigest())
                 kept.append(rest if with_kept else None)
                 spans.append([{"start": a, "end": b} for a, b in merged])
+                if copied[i]:
+                    n = len(word_bounds(data[offsets[i] : offsets[i + 1]])[0])
+                    words.append(n if n >= passage_words else 0)
+                else:
+                    words.append(sum(b - a for a, b in _merged([(s["start"], s["end"]) for s in passages[i].as_py() or ()])))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -335,8 +394,9 @@ def _remove(with_kept: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
                     pa.array(digests, pa.string()),
                     pa.array(kept, pa.binary()),
                     pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+                    pa.array(words, pa.int64()),
                 ],
-                ["key", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "spans"],
+                ["key", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "spans", "n_repeated_words"],
             )
 
     return run
@@ -364,28 +424,31 @@ def _distinct_texts(docs: DataFrame) -> DataFrame:
     return table
 
 
-def repeated_ranges(texts: DataFrame, threshold: int = THRESHOLD, hot_runs: int = HOT_RUNS) -> DataFrame:
-    """(key, start, end): byte ranges of distinct texts that are covered by repeated windows; ranges may overlap."""
+def repeated_ranges(texts: DataFrame, threshold: int = THRESHOLD, hot_runs: int = HOT_RUNS, words: bool = False) -> DataFrame:
+    """(key, start, end): ranges of distinct texts that are covered by repeated windows; ranges may overlap.
+
+    Windows are strings of ``threshold`` bytes and ranges count bytes, or words in place of bytes.
+    """
     runs = stored(
-        texts.filter(F.octet_length("text") >= threshold)
+        texts.filter(F.octet_length("text") >= (2 * threshold - 1 if words else threshold))
         .select("key", "text")
-        .mapInArrow(_find_runs(threshold), "gram long, key binary, first int, last int"),
+        .mapInArrow(_find_runs(threshold, words), "gram long, key binary, first int, last int"),
         "runs",
     )
     known = runs.filter(F.col("gram").isNotNull())
-    counts = known.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1")
-    shared = stored(known.join(counts, "gram"), "shared-runs")
+    counts = stored(known.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1"), "counts")
+    crowded = F.broadcast(counts.filter(F.col("n") > hot_runs).select("gram"))  # at most one for that many runs
 
     def bodies(which: DataFrame) -> DataFrame:
         listed = which.groupBy("key").agg(F.collect_list(F.struct("gram", "first", "last")).alias("runs"))
         return texts.join(listed, "key").select("key", "text", "runs").mapInArrow(
-            _contexts(threshold), "gram long, key binary, first int, body binary"
+            _contexts(threshold, words), "gram long, key binary, first int, body binary"
         )
 
-    usual = bodies(shared.filter(F.col("n") <= hot_runs)).repartition("gram").sortWithinPartitions("gram")
-    found = usual.mapInArrow(_sort_groups(threshold), "key binary, start long, end long")
-    hot = shared.filter(F.col("n") > hot_runs)
-    prints = bodies(hot).mapInArrow(_window_prints(threshold), "x long, y long, key binary, place long")
+    shared = known.join(crowded, "gram", "left_anti").join(counts.select("gram"), "gram", "left_semi")
+    usual = bodies(shared).repartition("gram").sortWithinPartitions("gram")
+    found = usual.mapInArrow(_sort_groups(threshold, words), "key binary, start long, end long")
+    prints = bodies(known.join(crowded, "gram")).mapInArrow(_window_prints(threshold, words), "x long, y long, key binary, place long")
     windows = stored(prints, "windows").withColumn("salt", F.pmod(F.xxhash64("key", "place"), F.lit(SALTS)))
     again = windows.groupBy("x", "y").agg(F.count("*").alias("n")).filter("n > 1").select("x", "y")
     again = again.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
@@ -396,28 +459,42 @@ def repeated_ranges(texts: DataFrame, threshold: int = THRESHOLD, hot_runs: int
     return found.union(places).union(own)
 
 
-def remove_repeats(docs: DataFrame, threshold: int = THRESHOLD, hot_runs: int = HOT_RUNS, with_kept: bool = False) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, threshold: int = THRESHOLD, hot_runs: int = HOT_RUNS, with_kept: bool = False, passage_words: int | None = None
+) -> DataFrame:
     """Remove every byte that a string of ``threshold`` bytes covers which also starts anywhere else in the table.
 
     One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (merged byte ranges) and, if asked
     for, kept (the remaining bytes, which need not be valid UTF-8). All strings are judged on the input. Null text is
     empty. Repeated rows are copies like any other. Texts shorter than the threshold keep everything. Further columns
     are not read; an empty table gives an empty one.
+
+    With ``passage_words`` a column n_repeated_words follows: the words covered by a passage of so many words that also
+    starts anywhere else, whatever its bytes and the blanks between its words. Nothing is removed for it.
     """
     if threshold < 2:
         raise ValueError("threshold must be at least 2 bytes")
+    if passage_words is not None and passage_words < 2:
+        raise ValueError("a passage must have at least 2 words")
     texts = _distinct_texts(docs)
-    ranges = repeated_ranges(texts, threshold, hot_runs).groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
-    copied = (F.col("copies") > 1) & (F.octet_length("text") >= threshold)
+    ranges = repeated_ranges(texts, threshold, hot_runs).withColumn("of_words", F.lit(False))
+    if passage_words:
+        ranges = ranges.union(repeated_ranges(texts, passage_words, hot_runs, words=True).withColumn("of_words", F.lit(True)))
+    span = F.struct("start", "end")
+    ranges = ranges.groupBy("key").agg(
+        F.collect_list(F.when(~F.col("of_words"), span)).alias("ranges"), F.collect_list(F.when(F.col("of_words"), span)).alias("passages")
+    )
+    copied = F.col("copies") > 1
     judged = (
         texts.join(ranges, "key", "left")
-        .select("key", "text", "ranges", copied.alias("whole"))
+        .select("key", "text", "ranges", (copied & (F.octet_length("text") >= threshold)).alias("whole"), "passages", copied.alias("copied"))
         .mapInArrow(
-            _remove(with_kept),
+            _remove(with_kept, passage_words or PASSAGE_WORDS),
             "key binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, "
-            "spans array<struct<start: long, end: long>>",
+            "spans array<struct<start: long, end: long>>, n_repeated_words long",
         )
     )
+    judged = judged if passage_words else judged.drop("n_repeated_words")
     result = judged if with_kept else judged.drop("kept")
     keyed = docs.select("doc_id", text_key(F.coalesce(docs["text"], F.lit(""))).alias("key"))
     return keyed.join(result, "key").drop("key")

@@ -265,6 +265,77 @@ def test_one_window_in_most_texts(spark):
     same(collected(result, *COLUMNS), removed(rows, 40))
 
 
+def repeated_words(rows, length):
+    seen, out = collections.Counter(), []
+    bodies = [(r[0], re.findall(r"[^\x20\x09-\x0D]+", r[1] or "")) for r in rows]
+    windows = [[tuple(words[i : i + length]) for i in range(len(words) - length + 1)] for _, words in bodies]
+    for found in windows:
+        seen.update(found)
+    for (doc_id, _), found in zip(bodies, windows, strict=True):
+        out.append((doc_id, len({i + k for i, w in enumerate(found) if seen[w] > 1 for k in range(length)})))
+    return out
+
+
+@pytest.mark.parametrize(("length", "hot"), [(2, 1 << 15), (9, 1 << 15), (9, 3), (51, 1 << 15)])
+def test_repeated_words_equal_brute_force(spark, length, hot):
+    rng = random.Random(length)
+    words = ["".join(rng.choice("abcé\u00a0") for _ in range(rng.randint(1, 9))) for _ in range(40)]
+    rows = []
+    for i in range(200):
+        kind = rng.random()
+        if kind < 0.5:
+            text = "".join(rng.choice(words) + rng.choice([" ", " ", "\n", " \t"]) for _ in range(rng.randint(0, 150)))
+        elif kind < 0.7:
+            text = rng.choice(["a ", "ab\n", "abc a ", "é"]) * rng.randint(0, 150)
+        else:
+            old = rng.choice(rows)[1] or "" if rows else ""
+            text = "x " + old[rng.randint(0, 60) :].replace(" ", rng.choice([" ", "  "])) if kind < 0.9 else old or None
+        rows.append((i, text))
+    rows += [(rows[3][0], rows[3][1]), (None, rows[5][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = repeated_bytes.remove_repeats(docs, 40, hot, passage_words=length)
+    same(collected(found, "doc_id", "n_repeated_words"), repeated_words(rows, length))
+    same(collected(found, *COLUMNS), removed(rows, 40))
+
+
+def test_passages_of_over_fifty_words_below_the_bytes(spark, tmp_path):
+    rng = random.Random(9)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+    passage, short = prose(55), prose(50)
+    assert len(passage) < repeated_bytes.THRESHOLD
+    rows = [(i, f"{prose(80)} {passage} {prose(70)}") for i in range(3)]
+    rows += [(i, f"{prose(80)} {short} {prose(70)}") for i in range(3, 6)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = catalog.QUERIES["op4_suffix_dedup"](spark, str(tmp_path))
+    # the bytes that are removed stay as they were; the passage shows in words
+    assert collected(found, "doc_id", "n_removed", "n_repeated_words") == [(i, 0, 55 if i < 3 else 0) for i in range(6)]
+
+
+def test_repeated_words_of_awkward_rows(awkward, crowded, no_documents):
+    for frame in (awkward, crowded):
+        found = collected(repeated_bytes.remove_repeats(frame, 40, passage_words=5), "doc_id", "n_repeated_words")
+        same(found, repeated_words(AWKWARD, 5))
+    assert repeated_bytes.remove_repeats(no_documents, 40, passage_words=5).count() == 0
+
+
+def test_words_are_hashed_alike_in_any_slice(monkeypatch):
+    texts = ["", "one two  three", " \t", "two", "wo", "a" * 90 + " two " + "a" * 90, "t", "three\r\none"]
+    column = pa.array(texts)
+    known, pieces = {}, []
+    for size in (64, 70, 300):
+        monkeypatch.setattr(repeated_bytes, "SLICE_BYTES", size)
+        parts = list(repeated_bytes._units(*repeated_bytes.utf8(column), True))
+        pieces.append(len(parts))
+        for first, units, offsets in parts:
+            for row in range(len(offsets) - 1):
+                split = texts[first + row].split()
+                mine = units[offsets[row] : offsets[row + 1]]
+                assert len(mine) == len(split)
+                for word, unit in zip(split, mine, strict=True):
+                    assert known.setdefault((word, len(word) > size), unit) == unit
+    assert pieces[0] > 1 and pieces[2] == 1 and len(set(known.values())) == len(known)
+
+
 def test_long_text_in_parts(monkeypatch):
     rng = np.random.default_rng(5)
     text = rng.integers(97, 123, 5000, dtype=np.uint8)
